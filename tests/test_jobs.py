@@ -1,0 +1,181 @@
+"""Both jobs end to end on files."""
+
+import glob
+import json
+import os
+
+import pytest
+
+from rollmill.plans.batch import BatchJob
+from rollmill.spec import ROLLUP_COUNT, Dimension, Metric, TableSpec
+from rollmill.streaming.job import METRICS, StreamJob
+from tests import stock
+
+NEXT_DAY = 1420329600000
+
+
+def write_raw(folder, lines, name="a.txt"):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as out:
+        out.write("\n".join(lines) + "\n")
+
+
+def run_stream(spark, indexer, tables, raw, checkpoint, **kwargs):
+    job = StreamJob(spark, indexer, tables, **kwargs)
+    query = job.start(str(checkpoint), spark.readStream.text(str(raw)), available_now=True)
+    query.awaitTermination()
+    return query
+
+
+def manifests(root, queue):
+    found = [json.load(open(p)) for p in glob.glob(f"{root}/{queue}/*.msg")]
+    return sorted(found, key=lambda m: m["id"])
+
+
+@pytest.mark.parametrize("partitions", [3, None])
+def test_stream_then_batch(spark, tmp_path, partitions):
+    table, indexer = stock.table(), stock.indexer(tmp_path, partitions)
+    write_raw(tmp_path / "raw", stock.RAW_LINES)
+    run_stream(spark, indexer, [table], tmp_path / "raw", tmp_path / "cp")
+
+    assert stock.store_lines(spark, f"{indexer.realtime_root}/foo") == stock.GOLDEN
+    (micro,) = manifests(tmp_path, "rt")
+    info = micro["tables"]["foo"]
+    assert info["recordCount"] == 6
+    assert info["columns"] == ["company", "timestamp", "stock_price_sum", "stock_price_avg", "stock_price_max", "count"]
+    assert info["paths"] == [f"{indexer.realtime_root}/foo/dt={p}/mb={micro['id']}" for p in stock.PERIODS]
+
+    sent = BatchJob(spark, indexer, [table]).run()
+    assert [m["id"] for m in sent] == stock.PERIODS
+    assert [m["tables"]["foo"]["recordCount"] for m in sent] == [2, 4, 6]
+    newest = f"{indexer.batch_root}/foo/dt={stock.PERIODS[-1]}"
+    assert stock.store_lines(spark, newest) == stock.GOLDEN
+    assert manifests(tmp_path, "b") == [json.loads(json.dumps(_plain(m))) for m in sent]
+    if partitions:
+        last = sent[-1]["tables"]["foo"]
+        assert sorted(last["partitioning"]) == [0, 1, 2]
+        assert last["partitionConf"] == {"columns": ["company"], "partitions": 3}
+        folders = sorted(os.path.basename(p) for p in glob.glob(f"{newest}/part=*"))
+        assert len(folders) == 2
+        for folder in folders:
+            companies = {line.split("\t")[0] for line in stock.store_lines(spark, f"{newest}/{folder}")}
+            assert len(companies) == 1
+    # nothing is due any more
+    assert BatchJob(spark, indexer, [table]).run() == []
+
+
+def _plain(doc):
+    if isinstance(doc, dict):
+        return {k: _plain(v) for k, v in doc.items() if v is not None}
+    return doc
+
+
+def test_later_micro_batches_and_late_data(spark, tmp_path):
+    table, indexer = stock.table(), stock.indexer(tmp_path)
+    raw = tmp_path / "raw"
+    write_raw(raw, [l for l in stock.RAW_LINES if "2015-01-01" in l][:3], "a.txt")
+    run_stream(spark, indexer, [table], raw, tmp_path / "cp")
+    write_raw(raw, [l for l in stock.RAW_LINES if "2015-01-01" in l][3:], "b.txt")
+    run_stream(spark, indexer, [table], raw, tmp_path / "cp")
+    micro = manifests(tmp_path, "rt")
+    assert len(micro) == 2
+
+    # the first day is still open, then it closes and both micro-batches merge
+    assert BatchJob(spark, indexer, [table]).run(stock.PERIODS[0] + 1000) == []
+    (sent,) = BatchJob(spark, indexer, [table]).run(stock.PERIODS[1] + 1000)
+    assert sent["microBatches"] == [m["id"] for m in micro]
+    assert stock.store_lines(spark, f"{indexer.batch_root}/foo/dt={stock.PERIODS[0]}") == [
+        l for l in stock.GOLDEN if "2015-01-01" in l
+    ]
+
+    # a late row of the first day is skipped for good; the third day follows over a gap
+    write_raw(raw, ["Late\t2015-01-01\t1.0", *(l for l in stock.RAW_LINES if "2015-01-03" in l)], "c.txt")
+    run_stream(spark, indexer, [table], raw, tmp_path / "cp")
+    (sent,) = BatchJob(spark, indexer, [table]).run(NEXT_DAY)
+    assert sent["id"] == stock.PERIODS[2]
+    assert stock.store_lines(spark, f"{indexer.batch_root}/foo/dt={stock.PERIODS[2]}") == [
+        l for l in stock.GOLDEN if "2015-01-02" not in l
+    ]
+
+
+def test_unnamed_micro_batch_is_not_read(spark, tmp_path):
+    table, indexer = stock.table(), stock.indexer(tmp_path)
+    write_raw(tmp_path / "raw", stock.RAW_LINES)
+    run_stream(spark, indexer, [table], tmp_path / "raw", tmp_path / "cp")
+    stray = f"{indexer.realtime_root}/foo/dt={stock.PERIODS[0]}/mb=5"
+    os.makedirs(stray)
+    with open(f"{stray}/part-0.txt", "w") as out:
+        out.write("Stray\t2015-01-01\t1.0\t1.0\t1.0\t1\n")
+    BatchJob(spark, indexer, [table]).run()
+    assert stock.store_lines(spark, f"{indexer.batch_root}/foo/dt={stock.PERIODS[-1]}") == stock.GOLDEN
+
+
+def test_failed_batch_runs_again_into_the_same_folder(spark, tmp_path):
+    table, indexer = stock.table(), stock.indexer(tmp_path)
+    write_raw(tmp_path / "raw", stock.RAW_LINES)
+    ids = []
+
+    class Failing(StreamJob):
+        def notify(self, manifest):
+            ids.append(manifest["id"])
+            if len(ids) == 1:
+                raise RuntimeError("lost before the manifest")
+            super().notify(manifest)
+
+    for _ in range(2):
+        job = Failing(spark, indexer, [table])
+        query = job.start(str(tmp_path / "cp"), spark.readStream.text(str(tmp_path / "raw")), available_now=True)
+        try:
+            query.awaitTermination()
+        except Exception:
+            pass
+    assert len(ids) == 2 and ids[0] == ids[1]
+    assert len(manifests(tmp_path, "rt")) == 1
+    assert stock.store_lines(spark, f"{indexer.realtime_root}/foo") == stock.GOLDEN
+
+
+def test_fan_out_counts_and_empty_batches(spark, tmp_path):
+    days = TableSpec("days", (Dimension("timestamp", type="time", format="%Y-%m-%d"),), (Metric("stock_price", "double_min"),))
+    indexer = stock.indexer(tmp_path)
+    indexer = type(indexer)(
+        store=indexer.store,
+        real_time=type(indexer.real_time)(
+            parse=type(indexer.real_time.parse)(
+                format="tsv",
+                columns=("company", "timestamp", "stock_price"),
+                time_formats={"timestamp": "%Y-%m-%d"},
+                skip_bad_rows=True,
+            ),
+            channel=indexer.real_time.channel,
+        ),
+        batch=indexer.batch,
+    )
+    write_raw(tmp_path / "raw", [*stock.RAW_LINES, "IBM\tnever\t1.0", "IBM\t2015-01-01"])
+    query = run_stream(spark, indexer, [stock.table(), days], tmp_path / "raw", tmp_path / "cp")
+    counts = [p["observedMetrics"][METRICS] for p in query.recentProgress if p["observedMetrics"]]
+    assert sum(c["read"] for c in counts) == 12 and sum(c["bad"] for c in counts) == 2
+    (micro,) = manifests(tmp_path, "rt")
+    assert micro["tables"]["days"]["columns"] == ["timestamp", "stock_price", ROLLUP_COUNT]
+    # without a time column the period is that of the batch
+    period = micro["id"] // 86_400_000 * 86_400_000
+    assert micro["tables"]["foo"]["paths"] == [f"{indexer.realtime_root}/foo/dt={period}/mb={micro['id']}"]
+    assert stock.store_lines(spark, f"{indexer.realtime_root}/days") == [
+        "2015-01-01\t50.0\t4",
+        "2015-01-02\t89.22\t4",
+        "2015-01-03\t1.01\t2",
+    ]
+    write_raw(tmp_path / "raw", ["IBM\tnever\t1.0"], "b.txt")
+    run_stream(spark, indexer, [stock.table(), days], tmp_path / "raw", tmp_path / "cp")
+    assert len(manifests(tmp_path, "rt")) == 1
+
+
+def test_bad_line_fails_the_stream_by_default(spark, tmp_path):
+    write_raw(tmp_path / "raw", [*stock.RAW_LINES, "IBM\tnever\t1.0"])
+    with pytest.raises(Exception, match="could not be parsed"):
+        run_stream(spark, stock.indexer(tmp_path), [stock.table()], tmp_path / "raw", tmp_path / "cp")
+    assert manifests(tmp_path, "rt") == []
+
+
+def test_no_source(spark, tmp_path):
+    with pytest.raises(ValueError, match="no real-time source"):
+        StreamJob(spark, stock.indexer(tmp_path), [stock.table()]).start(str(tmp_path / "cp"))
