@@ -23,6 +23,7 @@ BAD = "__bad"
 VALUE = "value"
 _DOC = "__doc"
 _CELLS = "__cells"
+_KEPT = "__kept"
 
 RecordParser = Callable[[DataFrame], DataFrame]
 
@@ -92,28 +93,29 @@ def json_paths(parse: ParseSpec, schema: T.StructType) -> dict[str, str]:
     return paths
 
 
-def _json_field(path: str, kind: T.DataType, parse: ParseSpec, fmt: TimeFormat) -> Column:
+def _json_field(path: str, kind: Column, field: T.StructField, parse: ParseSpec) -> Column:
+    """Typed value at a path; ``kind`` is the type name of what the document holds there."""
     doc = F.col(_DOC)
-    found = F.schema_of_variant(F.try_variant_get(doc, path, "variant"))
-    absent = found.isNull() | (found == "VOID")
+    absent = doc.isNotNull() & (kind.isNull() | (kind == "VOID"))
 
     def read(as_type: str) -> Column:
         return F.try_variant_get(doc, path, as_type)
 
-    if isinstance(kind, T.StringType):
-        # decimals print as Java doubles do (2 -> 2.0); only 19 and more digits can be a whole number
-        fraction = found.startswith("DECIMAL") & ~found.rlike(r"^DECIMAL\((?:19|[23]\d),0\)$")
+    if isinstance(field.dataType, T.StringType):
+        # fractions print as Java doubles do (2 -> 2.0); only 19 and more digits can be a whole number
+        fraction = kind.startswith("DECIMAL") & ~kind.rlike(r"^DECIMAL\((?:19|[23]\d),0\)$")
         text = F.when(fraction, read("double").cast("string")).otherwise(read("string"))
-        return F.coalesce(text, F.lit("")) if parse.null_string_as_empty else text
-    if isinstance(kind, T.TimestampType):
+        return F.when(absent, F.lit("")).otherwise(text) if parse.null_string_as_empty else text
+    if isinstance(field.dataType, T.TimestampType):
         # a number is epoch millis whatever the format says
-        number = (found == "BIGINT") | found.startswith("DECIMAL") | (found == "DOUBLE")
+        number = (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
+        fmt = TimeFormat.of(parse.time_formats.get(field.name))
         return F.when(number, F.timestamp_millis(read("bigint"))).when(
-            found == "STRING", fmt.parse(read("string"))
+            kind == "STRING", fmt.parse(read("string"))
         )
-    value = F.when(found != "BOOLEAN", read(kind.simpleString()))
+    value = F.when(kind != "BOOLEAN", read(field.dataType.simpleString()))
     if parse.null_numeric_as_zero:
-        value = F.when(absent, F.lit(0).cast(kind)).otherwise(value)
+        value = F.when(absent, F.lit(0).cast(field.dataType)).otherwise(value)
     return value
 
 
@@ -125,15 +127,17 @@ def json_parser(parse: ParseSpec, schema: T.StructType) -> RecordParser:
         text = F.col(VALUE)
         # anything but an object is no record, and must not count as one with all fields absent
         whole = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
-        doc = F.when(whole, F.try_parse_json(text))
-        fields = [
-            F.when(
-                F.col(_DOC).isNotNull(),
-                _json_field(paths[f.name], f.dataType, parse, TimeFormat.of(parse.time_formats.get(f.name))),
-            ).alias(f.name)
-            for f in schema.fields
+        others = _others(df, schema)
+        docs = df.select(F.when(whole, F.try_parse_json(text)).alias(_DOC), *others)
+        kinds = [
+            F.schema_of_variant(F.try_variant_get(F.col(_DOC), paths[n], "variant")).alias(f"__kind_{i}")
+            for i, n in enumerate(schema.names)
         ]
-        return _flag(df.withColumn(_DOC, doc).select(*fields, *_others(df, schema)), schema)
+        typed = [
+            _json_field(paths[f.name], F.col(f"__kind_{i}"), f, parse).alias(f.name)
+            for i, f in enumerate(schema.fields)
+        ]
+        return _flag(docs.select(_DOC, *kinds, *others).select(*typed, *others), schema)
 
     return run
 
@@ -157,12 +161,18 @@ def record_parser(parse: ParseSpec, schema: T.StructType) -> RecordParser:
 
 
 def good_records(df: DataFrame, parse: ParseSpec) -> DataFrame:
-    """Drop bad records, or fail on the first one, as the settings say."""
-    good = ~F.col(BAD)
+    """Drop bad records, or fail on the first one, as the settings say.
+
+    A plain filter would be pushed below the parse and repeat it for every field it looks at.
+    Exploding one element for a good record and none for a bad one selects the same rows, and the
+    parse below it runs once.
+    """
+    none = F.array().cast("array<int>")
     if not parse.drops_bad_rows:
-        stop = F.raise_error(F.lit("a record could not be parsed; set skipBadRows to drop such records"))
-        good = F.when(good, F.lit(True)).otherwise(stop.cast("boolean"))
-    return df.where(good).drop(BAD)
+        stop = F.lit("a record could not be parsed; set skipBadRows to drop such records")
+        none = F.raise_error(stop).cast("array<int>")
+    kept = F.explode(F.when(F.col(BAD), none).otherwise(F.array(F.lit(0)))).alias(_KEPT)
+    return df.select("*", kept).drop(BAD, _KEPT)
 
 
 def parse_records(df: DataFrame, parse: ParseSpec, schema: T.StructType) -> DataFrame:
