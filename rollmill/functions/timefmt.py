@@ -77,11 +77,15 @@ def _quote(text: str) -> str:
     """Quote what a pattern would read as a field or an option."""
     out, quoted = [], False
     for char in text:
+        if char == "'":
+            # a doubled quote is a quote, inside and outside of quoted text
+            out.append("''")
+            continue
         special = char in "[]{}#" or (char.isascii() and char.isalpha())
         if special != quoted:
             out.append("'")
             quoted = special
-        out.append("''" if char == "'" else char)
+        out.append(char)
     if quoted:
         out.append("'")
     return "".join(out)

@@ -13,10 +13,10 @@ from rollmill.functions.text import clean_text
 from rollmill.operators.balance import PART
 from rollmill.sources.records import VALUE
 from rollmill.sources.store import NULL_TEXT, SEPARATOR
-from rollmill.spec import TableSpec
+from rollmill.spec import ROLLUP_COUNT, TableSpec
 
 
-def line_column(table: TableSpec) -> Column:
+def line_column(table: TableSpec, fields: list[T.StructField]) -> Column:
     """One store line: cells in output order, joined by tabs."""
     times = {d.name: table.time_format(d.name) for d in table.time_dimensions}
 
@@ -28,11 +28,14 @@ def line_column(table: TableSpec) -> Column:
             return F.coalesce(clean_text(col), F.lit(""))
         return F.coalesce(col.cast("string"), F.lit(NULL_TEXT))
 
-    return F.concat_ws(SEPARATOR, *(cell(f) for f in table.store_schema.fields))
+    return F.concat_ws(SEPARATOR, *(cell(f) for f in fields))
 
 
 def to_lines(df: DataFrame, table: TableSpec, *keep: str) -> DataFrame:
-    return df.select(line_column(table).alias(VALUE), *keep)
+    """Rows as lines. Parsed rows that were not rolled up have no synthetic count yet; all else must be there."""
+    uncounted = ROLLUP_COUNT not in df.columns
+    fields = [f for f in table.store_schema.fields if not (uncounted and f.name == ROLLUP_COUNT)]
+    return df.select(line_column(table, fields).alias(VALUE), *keep)
 
 
 @dataclass(frozen=True)

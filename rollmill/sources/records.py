@@ -32,10 +32,8 @@ _REGEX_META = set(".$|()[{^?*+\\")
 
 
 def split_pattern(delimiter: str) -> str:
-    """Regex for a literal delimiter, in the single-character forms that need no regex engine."""
-    if len(delimiter) == 1:
-        return f"\\{delimiter}" if delimiter in _REGEX_META else delimiter
-    return r"\Q" + delimiter + r"\E"
+    """Pattern for a literal delimiter. One character, escaped or not, is split without a regex engine."""
+    return "".join(f"\\{c}" if c in _REGEX_META else c for c in delimiter)
 
 
 def convert_text(text: Column, kind: T.DataType, fmt: TimeFormat) -> Column:
