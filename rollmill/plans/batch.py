@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from rollmill.operators.chain import Processor, load_hook
 from rollmill.plans.snapshot import History, publish_snapshot
 from rollmill.plans.worklist import late_entries, open_periods, period_entries
-from rollmill.session import configure
+from rollmill.session import configure, own_session, size_shuffles
 from rollmill.sinks.manifests import send_manifest
 from rollmill.sources.manifests import BATCH_SCHEMA, MICRO_BATCH_SCHEMA, all_manifests
 from rollmill.sources.store import read_micro_batches, read_snapshot
@@ -58,16 +58,15 @@ class BatchJob:
     def publish_table(
         self, name: str, period: int, micro_batches: list[int], previous: tuple[int, Any] | None
     ) -> dict[str, Any]:
-        table = self.tables[name]
-        new_rows = read_micro_batches(
-            self.spark, table, self.indexer.realtime_root, period, micro_batches
-        )
+        table, spark = self.tables[name], own_session(self.spark)
+        new_rows = read_micro_batches(spark, table, self.indexer.realtime_root, period, micro_batches)
         history = None
         if previous:
-            rows = read_snapshot(self.spark, table, self.indexer.batch_root, previous[0])
+            rows = read_snapshot(spark, table, self.indexer.batch_root, previous[0])
             history = History(rows, previous[1])
+        size_shuffles(spark, new_rows, *([history.rows] if history else []))
         return publish_snapshot(
-            self.spark, table, self.indexer, period, new_rows, history, self.processors.get(name)
+            spark, table, self.indexer, period, new_rows, history, self.processors.get(name)
         )
 
     def run(self, now_millis: int | None = None) -> list[dict[str, Any]]:
@@ -78,12 +77,16 @@ class BatchJob:
         published = self.published()
         last_done = max((seen[0][0] for seen in published.values()), default=0)
         micro = all_manifests(self.spark, self.indexer.real_time.channel, MICRO_BATCH_SCHEMA)
-        entries = period_entries(micro)
-        late = late_entries(entries, last_done).count()
+        entries = period_entries(micro).persist()
+        try:
+            late = late_entries(entries, last_done).count()
+            worklist = open_periods(entries, last_done, current).collect()
+        finally:
+            entries.unpersist()
         if late:
             log.warning("%s micro-batch paths came after their period was published; skipped", late)
         sent = []
-        for due in open_periods(entries, last_done, current).collect():
+        for due in worklist:
             period, micro_batches, names = due["period"], due["micro_batches"], due["tables"]
             unknown = sorted(set(names) - set(self.tables))
             if unknown:

@@ -64,8 +64,9 @@ def keys_are_new(history: History, new_rows: DataFrame, column: str, period: int
     latest = history.fact("maxTime")
     if latest is None or latest >= period:
         return False
-    time = F.unix_millis(F.col(f"`{column}`").cast("timestamp"))
-    return new_rows.where(time.isNull() | (time < period)).isEmpty()
+    time = F.col(f"`{column}`")
+    strays = new_rows.where(time.isNull() | (time < F.timestamp_millis(F.lit(period))))
+    return strays.count() == 0
 
 
 def _same_layout(history: History, partitioning: Partitioning) -> bool:

@@ -23,6 +23,34 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# What a byte of gzip text becomes in a shuffle, and what one shuffle partition should hold. Adaptive
+# execution puts partitions together that turn out small, but cannot split those of an aggregate.
+GZIP_TEXT_EXPANSION = 6
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 32_768
+
+
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings, whose settings can change without touching other jobs."""
+    child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            child.conf.set(key, value)
+    return configure(child)
+
+
+def shuffle_partitions(store_bytes: int, least: int) -> int:
+    wanted = -(-store_bytes * GZIP_TEXT_EXPANSION // SHUFFLE_PARTITION_BYTES)
+    return max(least, min(wanted, MOST_SHUFFLE_PARTITIONS))
+
+
+def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> None:
+    """Set the number of shuffle partitions by the size of the store files the inputs read."""
+    total = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions(total, least))
+
+
 @lru_cache(maxsize=1)
 def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="rollmill-")

@@ -79,10 +79,10 @@ class StreamJob:
         parsed = batch.persist()
         try:
             records = good_records(parsed, self.indexer.real_time.parse)
-            first = records.select(BATCH_TIME).first()
-            if first is None:
+            # one parallel pass that fills the cache, and tells an empty batch
+            batch_millis = records.agg(F.min(BATCH_TIME)).first()[0]
+            if batch_millis is None:
                 return
-            batch_millis = first[0]
             written = {t.name: self.save(t, self.process(t, records), batch_millis) for t in self.tables}
             manifest: dict[str, Any] = {
                 "id": batch_millis,
