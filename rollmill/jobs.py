@@ -17,6 +17,7 @@ def main(argv: list[str] | None = None) -> None:
     options.add_argument("job", choices=("stream", "batch"))
     options.add_argument("settings", help="JSON file with the indexer and table settings")
     options.add_argument("--checkpoint", help="stream checkpoint (default: below spark.checkpoint.dir)")
+    options.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
     args = options.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"rollmill-{args.job}").getOrCreate()
@@ -24,7 +25,8 @@ def main(argv: list[str] | None = None) -> None:
     indexer, tables = read_settings(text)
     if args.job == "stream":
         checkpoint = args.checkpoint or f"{shared_dir(spark)}/{indexer.id}"
-        StreamJob(spark, indexer, tables).start(checkpoint).awaitTermination()
+        job = StreamJob(spark, indexer, tables)
+        job.start(checkpoint, available_now=args.available_now).awaitTermination()
     else:
         BatchJob(spark, indexer, tables).run()
 

@@ -73,3 +73,8 @@ def indexer(root, partitions=3, **batch):
 def store_lines(spark, path):
     reader = spark.read.option("recursiveFileLookup", True)
     return sorted(r[0] for r in reader.text(path).collect())
+
+
+def file_source(spark, indexer):
+    """A stream source hook: text files next to the store."""
+    return spark.readStream.text(f"{indexer.store}/../raw")

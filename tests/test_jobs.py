@@ -3,9 +3,12 @@
 import glob
 import json
 import os
+from dataclasses import replace
 
 import pytest
 
+from rollmill.jobs import main
+from rollmill.operators.rollup import rollup
 from rollmill.plans.batch import BatchJob
 from rollmill.spec import ROLLUP_COUNT, Dimension, Metric, TableSpec
 from rollmill.streaming.job import METRICS, StreamJob
@@ -137,19 +140,8 @@ def test_failed_batch_runs_again_into_the_same_folder(spark, tmp_path):
 def test_fan_out_counts_and_empty_batches(spark, tmp_path):
     days = TableSpec("days", (Dimension("timestamp", type="time", format="%Y-%m-%d"),), (Metric("stock_price", "double_min"),))
     indexer = stock.indexer(tmp_path)
-    indexer = type(indexer)(
-        store=indexer.store,
-        real_time=type(indexer.real_time)(
-            parse=type(indexer.real_time.parse)(
-                format="tsv",
-                columns=("company", "timestamp", "stock_price"),
-                time_formats={"timestamp": "%Y-%m-%d"},
-                skip_bad_rows=True,
-            ),
-            channel=indexer.real_time.channel,
-        ),
-        batch=indexer.batch,
-    )
+    parse = replace(indexer.real_time.parse, time_column=None, skip_bad_rows=True)
+    indexer = replace(indexer, real_time=replace(indexer.real_time, parse=parse))
     write_raw(tmp_path / "raw", [*stock.RAW_LINES, "IBM\tnever\t1.0", "IBM\t2015-01-01"])
     query = run_stream(spark, indexer, [stock.table(), days], tmp_path / "raw", tmp_path / "cp")
     counts = [p["observedMetrics"][METRICS] for p in query.recentProgress if p["observedMetrics"]]
@@ -179,3 +171,71 @@ def test_bad_line_fails_the_stream_by_default(spark, tmp_path):
 def test_no_source(spark, tmp_path):
     with pytest.raises(ValueError, match="no real-time source"):
         StreamJob(spark, stock.indexer(tmp_path), [stock.table()]).start(str(tmp_path / "cp"))
+
+
+def test_jobs_by_settings_file(spark, tmp_path):
+    """Both jobs as a scheduler would start them."""
+    table = {
+        "name": "foo",
+        "dimensions": [{"name": "company"}, {"name": "timestamp", "type": "time", "format": "%Y-%m-%d"}],
+        "metrics": [
+            {"name": "stock_price_sum", "field": "stock_price", "type": "double_sum"},
+            {"name": "stock_price_avg", "field": "stock_price", "type": "double_avg"},
+            {"name": "stock_price_max", "field": "stock_price", "type": "double_max"},
+            {"name": "count", "type": "count"},
+        ],
+    }
+    channel = {"type": "file", "channel": str(tmp_path)}
+    indexer = {
+        "deepStorePath": f"{tmp_path}/store",
+        "tables": ["foo"],
+        "realTime": {
+            "windowDuration": "PT1S",
+            "streamingProcessClass": "tests.stock:file_source",
+            "parseSpec": {
+                "format": "tsv",
+                "timeColumn": "timestamp",
+                "columns": ["company", "timestamp", "stock_price"],
+                "timeFormats": {"timestamp": "%Y-%m-%d"},
+            },
+            "notifier": {**channel, "queue": "rt"},
+        },
+        "batch": {"partitioning": {"columns": ["company"], "partitions": 3}, "notifier": {**channel, "queue": "b"}},
+    }
+    (tmp_path / "settings.json").write_text(json.dumps({"indexer": indexer, "tables": {"foo": table}}, indent=1))
+    write_raw(tmp_path / "raw", stock.RAW_LINES)
+    settings = str(tmp_path / "settings.json")
+    main(["stream", settings, "--checkpoint", str(tmp_path / "cp"), "--available-now"])
+    main(["batch", settings])
+    newest = f"{tmp_path}/store/batch/foo/dt={stock.PERIODS[-1]}"
+    assert stock.store_lines(spark, newest) == stock.GOLDEN
+    assert manifests(tmp_path, "b")[-1]["tables"]["foo"]["recordCount"] == 6
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    """A running stream picks new files up at its interval."""
+    table, indexer = stock.table(), stock.indexer(tmp_path)
+    indexer = replace(indexer, real_time=replace(indexer.real_time, window="PT1S"))
+    write_raw(tmp_path / "raw", stock.RAW_LINES[:5])
+    query = StreamJob(spark, indexer, [table]).start(str(tmp_path / "cp"), spark.readStream.text(str(tmp_path / "raw")))
+    try:
+        query.processAllAvailable()
+        write_raw(tmp_path / "raw", stock.RAW_LINES[5:], "b.txt")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert len(manifests(tmp_path, "rt")) == 2
+    assert stock.store_lines(spark, f"{indexer.realtime_root}/foo") == stock.GOLDEN
+
+
+def test_json_stream_with_hooks(spark, tmp_path):
+    """JSON in, a broken document dropped, and a processor of one's own per table."""
+    table = stock.table()
+    indexer = stock.indexer(tmp_path)
+    parse = replace(indexer.real_time.parse, format="json", columns=None)
+    indexer = replace(indexer, real_time=replace(indexer.real_time, parse=parse))
+    docs = [json.dumps(dict(zip(("company", "timestamp", "stock_price"), r))) for r in stock.RAW]
+    write_raw(tmp_path / "raw", [*docs, "{broken"])
+    no_ibm = {"foo": lambda df: rollup(table)(df.where("company != 'IBM'"))}
+    run_stream(spark, indexer, [table], tmp_path / "raw", tmp_path / "cp", processors=no_ibm)
+    assert stock.store_lines(spark, f"{indexer.realtime_root}/foo") == [l for l in stock.GOLDEN if "IBM" not in l]

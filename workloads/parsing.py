@@ -254,13 +254,13 @@ WORKLOADS = {
     "tsv_parse": Workload(
         tsv_parse,
         f"""SELECT l_returnflag AS returnflag, l_linestatus AS linestatus,
-                   CAST(date_trunc('day', l_shipdate) AS DATE) AS shipdate, {LINE_METRICS_SQL}
+                   CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS shipdate, {LINE_METRICS_SQL}
             FROM lineitem GROUP BY 1, 2, 3""",
     ),
     "other_delimiter": Workload(
         other_delimiter,
         f"""SELECT l_returnflag AS returnflag, l_linestatus AS linestatus,
-                   CAST(date_trunc('day', l_shipdate) AS DATE) AS shipdate, {LINE_METRICS_SQL}
+                   CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS shipdate, {LINE_METRICS_SQL}
             FROM lineitem GROUP BY 1, 2, 3""",
     ),
     "bad_records": Workload(

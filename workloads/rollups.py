@@ -63,11 +63,11 @@ def _order_cube(granularity: str) -> TableSpec:
 
 
 def rollup_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(load(spark, sf_dir, "orders").transform(rollup(_order_cube("year"))), 2)
+    return shown(load(spark, sf_dir, "orders").transform(rollup(_order_cube("year"))), 2, dates=True)
 
 
 def rollup_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(load(spark, sf_dir, "orders").transform(rollup(_order_cube("month"))), 2)
+    return shown(load(spark, sf_dir, "orders").transform(rollup(_order_cube("month"))), 2, dates=True)
 
 
 def _order_sql(unit: str) -> str:
@@ -97,7 +97,7 @@ LINE_CUBE = TableSpec(
 
 
 def rollup_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(load(spark, sf_dir, "lineitem").transform(rollup(LINE_CUBE)), 2)
+    return shown(load(spark, sf_dir, "lineitem").transform(rollup(LINE_CUBE)), 2, dates=True)
 
 
 LINE_METRICS_SQL = """
@@ -264,13 +264,13 @@ WORKLOADS = {
     "rollup_global": Workload(rollup_global, f"SELECT {LINE_METRICS_SQL} FROM lineitem"),
     "rollup_bitset": Workload(
         rollup_bitset,
-        """SELECT event_type, CAST(date_trunc('day', ts) AS DATE) AS ts, user_id AS users,
+        """SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts, user_id AS users,
                   round(sum(value), 4) AS value, count(*) AS events
            FROM events GROUP BY 1, 2, 3""",
     ),
     "bitset_distinct": Workload(
         bitset_distinct,
-        """SELECT event_type, CAST(date_trunc('day', ts) AS DATE) AS ts, count(DISTINCT user_id) AS users,
+        """SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts, count(DISTINCT user_id) AS users,
                   round(sum(value), 4) AS value, count(*) AS events
            FROM events GROUP BY 1, 2""",
     ),
@@ -290,13 +290,13 @@ WORKLOADS = {
     "rerollup_batches": Workload(
         rerollup_batches,
         f"""SELECT l_returnflag AS returnflag, l_linestatus AS linestatus,
-                   CAST(date_trunc('day', l_shipdate) AS DATE) AS shipdate, {LINE_METRICS_SQL}
+                   CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS shipdate, {LINE_METRICS_SQL}
             FROM lineitem GROUP BY 1, 2, 3""",
     ),
     "rerollup_union": Workload(
         rerollup_union,
         f"""SELECT l_returnflag AS returnflag, l_linestatus AS linestatus,
-                   CAST(date_trunc('day', l_shipdate) AS DATE) AS shipdate, {LINE_METRICS_SQL}
+                   CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS shipdate, {LINE_METRICS_SQL}
             FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem) GROUP BY 1, 2, 3""",
     ),
     "avg_finalise": Workload(
