@@ -20,6 +20,8 @@ from rollmill.spec import Partitioning, TableSpec
 BUCKET = "__bucket"
 PART = "part"
 SLOT = "__slot"
+# A shuffle into more partitions than this costs more than larger files do.
+MOST_SLOTS = 32_768
 
 
 def bucket_column(table: TableSpec, partitioning: Partitioning) -> Column:
@@ -84,7 +86,8 @@ class Layout:
         rows = [0] * partitions
         for bucket, weight in weights.items():
             rows[parts[bucket]] += weight
-        slots = [-(-r // rows_per_file) if r else 0 for r in rows]
+        most = max(rows_per_file, -(-sum(rows) // MOST_SLOTS))
+        slots = [-(-r // most) for r in rows]
         first = [sum(slots[:p]) for p in range(partitions)]
         return cls(tuple(parts), tuple(first), tuple(slots))
 

@@ -6,6 +6,7 @@ aggregate. Rows of a hot key meet in the partial step, before the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,19 @@ def select_inputs(table: TableSpec) -> Processor:
     return lambda df: df.select(*(F.col(f"`{c.input_field}`").alias(c.name) for c in wanted))
 
 
+def _field_column(metric: Metric) -> str:
+    return f"__field_{metric.input_field}"
+
+
+def _select_fields(table: TableSpec) -> Processor:
+    """As ``select_inputs``, but every metric field once, however many metrics read it. A sum and an
+    average over one field are then the same aggregate to Spark, kept and shuffled once."""
+    keys = [F.col(f"`{c.input_field}`").alias(c.name) for c in (*table.dimensions, *table.bitset_metrics)]
+    read = {_field_column(m): m for m in table.metrics if not m.is_count and not m.is_bitset}
+    fields = [F.col(f"`{m.input_field}`").alias(name) for name, m in read.items()]
+    return lambda df: df.select(*keys, *fields)
+
+
 def truncate_column(time: Column, granularity: str) -> Column:
     """Year, month and day give a DATE, hour and minute a TIMESTAMP; second changes nothing."""
     if granularity in ("year", "month"):
@@ -43,13 +57,13 @@ def truncate_times(table: TableSpec) -> Processor:
     return lambda df: df.withColumns(cut) if cut else df
 
 
-def aggregate_column(metric: Metric) -> Column:
+def aggregate_column(metric: Metric, column: str | None = None) -> Column:
     """An average is kept as its sum, so that it can be added up again; ``finalise`` divides."""
     combine = {"sum": F.sum, "avg": F.sum, "min": F.min, "max": F.max, "count": F.sum}[metric.aggregate]
-    return combine(F.col(f"`{metric.name}`"))
+    return combine(F.col(f"`{column or metric.name}`"))
 
 
-def aggregate(table: TableSpec) -> Processor:
+def aggregate(table: TableSpec, column_of: Callable[[Metric], str] = lambda m: m.name) -> Processor:
     """Group by dimensions and ids; add up stored counts, or count the rows where there are none."""
 
     def run(df: DataFrame) -> DataFrame:
@@ -58,10 +72,11 @@ def aggregate(table: TableSpec) -> Processor:
         for metric in table.metrics:
             if metric.is_bitset:
                 continue
-            if metric.is_count and metric.name not in present:
-                merged.append(F.count(F.lit(1)).alias(metric.name))
+            if metric.is_count:
+                counted = metric.name in present
+                merged.append((aggregate_column(metric) if counted else F.count(F.lit(1))).alias(metric.name))
             else:
-                merged.append(aggregate_column(metric).alias(metric.name))
+                merged.append(aggregate_column(metric, column_of(metric)).alias(metric.name))
         if not table.count_metrics:
             stored = table.count_column in present
             rows = F.sum(F.col(f"`{table.count_column}`")) if stored else F.count(F.lit(1))
@@ -78,7 +93,12 @@ def select_outputs(table: TableSpec) -> Processor:
 
 def rollup(table: TableSpec) -> Processor:
     """Raw rows to rolled-up rows."""
-    return chain(select_inputs(table), truncate_times(table), aggregate(table), select_outputs(table))
+    return chain(
+        _select_fields(table),
+        truncate_times(table),
+        aggregate(table, _field_column),
+        select_outputs(table),
+    )
 
 
 def rerollup(table: TableSpec) -> Processor:

@@ -26,7 +26,7 @@ def configure(spark: SparkSession) -> SparkSession:
 # What a byte of gzip text becomes in a shuffle, and what one shuffle partition should hold. Adaptive
 # execution puts partitions together that turn out small, but cannot split those of an aggregate.
 GZIP_TEXT_EXPANSION = 6
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
 MOST_SHUFFLE_PARTITIONS = 32_768
 
 

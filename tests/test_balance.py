@@ -70,6 +70,12 @@ def test_layout_cuts_heavy_parts():
     assert layout.total_slots == 11
 
 
+def test_layout_of_very_many_rows():
+    layout = Layout.plan({0: 10**12, 1: 2 * 10**12}, 2, 10)
+    assert layout.total_slots <= 32_768 + 2
+    assert max(layout.slots) == layout.slots[layout.parts[1]] >= 21_000
+
+
 @pytest.mark.parametrize("rows_per_file", [50, 10_000])
 def test_hot_key_is_cut_and_nothing_is_lost(spark, tmp_path, rows_per_file):
     """A third of all rows share a key: its part is written by several tasks, every row once, each

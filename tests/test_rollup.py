@@ -9,7 +9,15 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rollmill.operators.chain import chain, load_hook
-from rollmill.operators.rollup import finalise, rerollup, rollup, truncate_times
+from rollmill.operators.rollup import (
+    aggregate,
+    finalise,
+    rerollup,
+    rollup,
+    select_inputs,
+    select_outputs,
+    truncate_times,
+)
 from rollmill.sinks.store import to_lines
 from rollmill.sources.records import parse_records
 from rollmill.spec import AGGREGATES, NUMBER_TYPES, ROLLUP_COUNT, Dimension, Metric, ParseSpec, TableSpec, input_schema
@@ -194,3 +202,17 @@ def test_hot_key_meets_before_the_shuffle(spark):
     plan = rolled._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_count" in plan
     assert dict(values(rolled))["hot"] == 10000
+
+
+def test_one_field_is_aggregated_once(spark):
+    """Sum and average over one field share an aggregate; the steps one by one give the same rows."""
+    rows = spark.createDataFrame(stock.RAW, "company STRING, timestamp STRING, stock_price STRING").select(
+        "company", F.to_timestamp("timestamp").alias("timestamp"), F.col("stock_price").cast("double").alias("stock_price")
+    )
+    table = stock.table()
+    rolled = rows.transform(rollup(table))
+    plan = rolled._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_sum(") == 1 and plan.count("partial_max(") == 1
+    steps = chain(select_inputs(table), truncate_times(table), aggregate(table), select_outputs(table))
+    assert values(rolled) == values(steps(rows))
+    assert sorted(r[0] for r in to_lines(rolled, table).collect()) == stock.GOLDEN

@@ -27,15 +27,17 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("timestamp") for n in times}) if times else df
 
 
-def shown(df: DataFrame, digits: int | None = None, dates: bool = False) -> DataFrame:
+def shown(
+    df: DataFrame, digits: int | None = None, dates: bool = False, finer: dict[str, int] | None = None
+) -> DataFrame:
     """Times (and, unless asked for, dates) as times without zone, as the SQL side has them; doubles
-    rounded where summing order shows."""
+    rounded where summing order shows (``finer``: columns with digits of their own)."""
     out = []
     for f in df.schema.fields:
         col = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.TimestampType) or (isinstance(f.dataType, T.DateType) and not dates):
             col = col.cast("timestamp_ntz")
         elif digits is not None and isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            col = F.round(col.cast("double"), digits)
+            col = F.round(col.cast("double"), (finer or {}).get(f.name, digits))
         out.append(col.alias(f.name))
     return df.select(*out)
