@@ -33,10 +33,10 @@ MOST_SHUFFLE_PARTITIONS = 32_768
 def own_session(spark: SparkSession) -> SparkSession:
     """A session with the same settings, whose settings can change without touching other jobs."""
     child = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(key):
+    for key, value in spark.conf.getAll.items() - child.conf.getAll.items():
+        if child.conf.isModifiable(key):
             child.conf.set(key, value)
-    return configure(child)
+    return child
 
 
 def shuffle_partitions(store_bytes: int, least: int) -> int:

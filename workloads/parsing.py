@@ -40,9 +40,11 @@ def line_text(spark: SparkSession, sf_dir: str, separator: str = "\t") -> DataFr
     return delimited(lines, LINE_COLUMNS, separator, l_shipdate=F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
 
 
+LINE_PARSE = ParseSpec("tsv", columns=LINE_COLUMNS, time_formats={"l_shipdate": "%Y-%m-%d %H:%M:%S"})
+
+
 def tsv_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parse = ParseSpec("tsv", columns=LINE_COLUMNS, time_formats={"l_shipdate": "%Y-%m-%d %H:%M:%S"})
-    rows = parse_records(line_text(spark, sf_dir), parse, input_schema([LINE_CUBE]))
+    rows = parse_records(line_text(spark, sf_dir), LINE_PARSE, input_schema([LINE_CUBE]))
     return shown(rows.transform(rollup(LINE_CUBE)), 2)
 
 
@@ -140,22 +142,25 @@ def event_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "events").select(F.concat(head, tail).alias("value"))
 
 
+NESTED = TableSpec(
+    "nested",
+    (Dimension("type"), Dimension("tag")),
+    (
+        Metric("k_sum", "int_sum", field="k"),
+        Metric("k_max", "int_max", field="k"),
+        Metric("value", "double_sum"),
+        Metric("n", "count"),
+    ),
+)
+NESTED_PARSE = ParseSpec(
+    "json",
+    field_mapping={"type": "$.meta.type", "tag": "$.meta.tags[1]", "k": "$.payload.k", "value": "$.value"},
+)
+
+
 def json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = TableSpec(
-        "nested",
-        (Dimension("type"), Dimension("tag")),
-        (
-            Metric("k_sum", "int_sum", field="k"),
-            Metric("k_max", "int_max", field="k"),
-            Metric("value", "double_sum"),
-            Metric("n", "count"),
-        ),
-    )
-    mapping = {"type": "$.meta.type", "tag": "$.meta.tags[1]", "k": "$.payload.k", "value": "$.value"}
-    rows = parse_records(
-        event_docs(spark, sf_dir), ParseSpec("json", field_mapping=mapping), input_schema([table])
-    )
-    return shown(rows.transform(rollup(table)), 4)
+    rows = parse_records(event_docs(spark, sf_dir), NESTED_PARSE, input_schema([NESTED]))
+    return shown(rows.transform(rollup(NESTED)), 4)
 
 
 def json_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
