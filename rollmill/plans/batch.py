@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from rollmill.operators.chain import Processor, load_hook
 from rollmill.plans.snapshot import History, publish_snapshot
@@ -46,14 +47,16 @@ class BatchJob:
         self.processors |= dict(processors or {})
         self.side_by_side = side_by_side
 
-    def published(self) -> dict[str, list[tuple[int, Any]]]:
-        """Published snapshots per table, newest first, from the manifests of this job."""
-        found: dict[str, list[tuple[int, Any]]] = {}
+    def published(self) -> tuple[int, dict[str, tuple[int, Any]]]:
+        """The last published period, and the newest snapshot of every table with its manifest entry."""
         manifests = all_manifests(self.spark, self.indexer.batch.channel, BATCH_SCHEMA)
-        for row in manifests.select("id", "tables").collect():
-            for name, info in (row["tables"] or {}).items():
-                found.setdefault(name, []).append((row["id"], info))
-        return {name: sorted(seen, key=lambda e: -e[0]) for name, seen in found.items()}
+        last = manifests.agg(F.max("id")).first()[0]
+        newest = (
+            manifests.select("id", F.explode("tables").alias("table", "info"))
+            .groupBy("table")
+            .agg(F.max_by(F.struct("id", "info"), "id").alias("newest"))
+        )
+        return last or 0, {r["table"]: (r["newest"]["id"], r["newest"]["info"]) for r in newest.collect()}
 
     def publish_table(
         self, name: str, period: int, micro_batches: list[int], previous: tuple[int, Any] | None
@@ -74,8 +77,7 @@ class BatchJob:
         now = int(time.time() * 1000) if now_millis is None else now_millis
         length = self.indexer.batch.period_millis
         current = now // length * length
-        published = self.published()
-        last_done = max((seen[0][0] for seen in published.values()), default=0)
+        last_done, newest = self.published()
         micro = all_manifests(self.spark, self.indexer.real_time.channel, MICRO_BATCH_SCHEMA)
         entries = period_entries(micro).persist()
         try:
@@ -93,19 +95,12 @@ class BatchJob:
                 raise ValueError(f"no settings for tables: {', '.join(unknown)}")
             with ThreadPoolExecutor(max_workers=max(1, min(self.side_by_side, len(names)))) as pool:
                 jobs = {
-                    n: pool.submit(
-                        self.publish_table,
-                        n,
-                        period,
-                        micro_batches,
-                        next((e for e in published.get(n, ()) if e[0] < period), None),
-                    )
+                    n: pool.submit(self.publish_table, n, period, micro_batches, newest.get(n))
                     for n in names
                 }
                 infos = {n: job.result() for n, job in jobs.items()}
             manifest = {"id": period, "tables": infos, "microBatches": micro_batches}
             send_manifest(self.spark, self.indexer.batch.channel, manifest)
-            for name, info in infos.items():
-                published.setdefault(name, []).insert(0, (period, info))
+            newest |= {name: (period, info) for name, info in infos.items()}
             sent.append(manifest)
         return sent

@@ -60,7 +60,8 @@ def write_micro_batch(
     """
     target = f"{root}/{table.name}"
     if time_column:
-        period = period_of(F.col(f"`{time_column}`"), period_millis)
+        timeless = F.raise_error(F.lit(f"{table.name}: a row without {time_column} has no period"))
+        period = F.coalesce(period_of(F.col(f"`{time_column}`"), period_millis), timeless.cast("bigint"))
     else:
         period = period_of_millis(F.lit(batch_millis), period_millis)
     rows = df.withColumn("dt", period).withColumn("mb", F.lit(batch_millis))

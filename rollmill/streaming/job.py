@@ -45,6 +45,10 @@ class StreamJob:
         self.spark = configure(spark)
         self.indexer = indexer
         self.tables = list(tables)
+        column = indexer.real_time.parse.time_column
+        timeless = [t.name for t in self.tables if column and column not in {d.name for d in t.time_dimensions}]
+        if timeless:
+            raise ValueError(f"tables without the time dimension {column}: {', '.join(timeless)}")
         self.parser = parser or record_parser(indexer.real_time.parse, input_schema(tables))
         custom = indexer.real_time.processor
         make: Callable[[TableSpec], Processor] = load_hook(custom) if custom else rollup

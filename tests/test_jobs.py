@@ -10,6 +10,7 @@ import pytest
 from rollmill.jobs import main
 from rollmill.operators.rollup import rollup
 from rollmill.plans.batch import BatchJob
+from rollmill.sinks.store import write_micro_batch
 from rollmill.spec import ROLLUP_COUNT, Dimension, Metric, TableSpec
 from rollmill.streaming.job import METRICS, StreamJob
 from tests import stock
@@ -239,3 +240,33 @@ def test_json_stream_with_hooks(spark, tmp_path):
     no_ibm = {"foo": lambda df: rollup(table)(df.where("company != 'IBM'"))}
     run_stream(spark, indexer, [table], tmp_path / "raw", tmp_path / "cp", processors=no_ibm)
     assert stock.store_lines(spark, f"{indexer.realtime_root}/foo") == [l for l in stock.GOLDEN if "IBM" not in l]
+
+
+def test_time_column_must_be_a_time_dimension(spark, tmp_path):
+    table = TableSpec("t", (Dimension("company"),), (Metric("n", "count"),))
+    with pytest.raises(ValueError, match="timestamp: t"):
+        StreamJob(spark, stock.indexer(tmp_path), [table])
+
+
+def test_row_without_time_fails(spark, tmp_path):
+    rows = spark.sql("SELECT 'x' AS company, CAST(null AS TIMESTAMP) AS timestamp, 1.0D a, 1.0D b, 1.0D c, 1L d")
+    named = rows.toDF(*stock.table().columns)
+    with pytest.raises(Exception, match="has no period"):
+        write_micro_batch(named, stock.table(), str(tmp_path), 86_400_000, 1, "timestamp")
+
+
+def test_two_tables_and_a_gap_for_one(spark, tmp_path):
+    """Tables advance on their own: one that had nothing in a period builds on its older snapshot."""
+    one, two = stock.table("one"), stock.table("two")
+    indexer = stock.indexer(tmp_path)
+    two_days = {"two": lambda df: rollup(two)(df.where("timestamp <> DATE'2015-01-02'"))}
+    write_raw(tmp_path / "raw", stock.RAW_LINES)
+    run_stream(spark, indexer, [one, two], tmp_path / "raw", tmp_path / "cp", processors=two_days)
+    sent = BatchJob(spark, indexer, [one, two]).run()
+    assert [sorted(m["tables"]) for m in sent] == [["one", "two"], ["one"], ["one", "two"]]
+    last = stock.PERIODS[-1]
+    assert stock.store_lines(spark, f"{indexer.batch_root}/one/dt={last}") == stock.GOLDEN
+    assert stock.store_lines(spark, f"{indexer.batch_root}/two/dt={last}") == [
+        l for l in stock.GOLDEN if "2015-01-02" not in l
+    ]
+    assert BatchJob(spark, indexer, [one, two]).published()[0] == last
