@@ -71,12 +71,12 @@ def balanced_write(spark):
 
 
 def stream_drain(spark):
-    store._event_stream(spark, SF_DIR, "bench-stream", [store.USER_CUBE])
+    store.event_stream(spark, SF_DIR, "bench-stream", [store.USER_CUBE])
 
 
 def period_close(spark):
     """All weeks closed one after the other, each on top of the snapshot before."""
-    store._run_history(spark, SF_DIR, "bench-close", store.USER_CUBE, partitioning=Partitioning(("user_id",), 8))
+    store.run_history(spark, SF_DIR, "bench-close", store.USER_CUBE, partitioning=Partitioning(("user_id",), 8))
 
 
 QUERIES = {

@@ -9,7 +9,7 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from rollmill.operators.chain import Processor, load_hook
 from rollmill.plans.snapshot import History, publish_snapshot
 from rollmill.plans.worklist import late_entries, open_periods, period_entries
-from rollmill.session import configure, own_session, size_shuffles
+from rollmill.session import configure, own_session, side_by_side, size_shuffles
 from rollmill.sinks.manifests import send_manifest
 from rollmill.sources.manifests import BATCH_SCHEMA, MICRO_BATCH_SCHEMA, all_manifests
 from rollmill.sources.store import read_micro_batches, read_snapshot
@@ -36,7 +36,7 @@ class BatchJob:
         indexer: IndexerSpec,
         tables: list[TableSpec],
         processors: Mapping[str, Processor] | None = None,
-        side_by_side: int = 4,
+        workers: int = 4,
     ) -> None:
         self.spark = configure(spark)
         self.indexer = indexer
@@ -45,7 +45,7 @@ class BatchJob:
         make: Callable[[TableSpec], Processor] | None = load_hook(custom) if custom else None
         self.processors: dict[str, Processor] = {t.name: make(t) for t in tables} if make else {}
         self.processors |= dict(processors or {})
-        self.side_by_side = side_by_side
+        self.workers = workers
 
     def published(self) -> tuple[int, dict[str, tuple[int, Any]]]:
         """The last published period, and the newest snapshot of every table with its manifest entry."""
@@ -93,12 +93,8 @@ class BatchJob:
             unknown = sorted(set(names) - set(self.tables))
             if unknown:
                 raise ValueError(f"no settings for tables: {', '.join(unknown)}")
-            with ThreadPoolExecutor(max_workers=max(1, min(self.side_by_side, len(names)))) as pool:
-                jobs = {
-                    n: pool.submit(self.publish_table, n, period, micro_batches, newest.get(n))
-                    for n in names
-                }
-                infos = {n: job.result() for n, job in jobs.items()}
+            tasks = {n: partial(self.publish_table, n, period, micro_batches, newest.get(n)) for n in names}
+            infos = side_by_side(self.spark, self.workers, tasks)
             manifest = {"id": period, "tables": infos, "microBatches": micro_batches}
             send_manifest(self.spark, self.indexer.batch.channel, manifest)
             newest |= {name: (period, info) for name, info in infos.items()}

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+R = TypeVar("R")
+
 # Results depend on these: UTC time, casts that fail instead of yielding NULL, last key wins in JSON.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,6 +57,14 @@ def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> None:
     spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions(total, least))
 
 
+def side_by_side(spark: SparkSession, workers: int, tasks: Mapping[str, Callable[[], R]]) -> dict[str, R]:
+    """Run Spark jobs of several tables at the same time; they keep the job group and pool of the caller."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(tasks)))) as pool:
+        running = {name: pool.submit(inherit(task)) for name, task in tasks.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
 @lru_cache(maxsize=1)
 def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="rollmill-")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rollmill.operators.chain import Processor, load_hook
 from rollmill.operators.rollup import rollup
-from rollmill.session import configure
+from rollmill.session import configure, side_by_side
 from rollmill.sinks.manifests import send_manifest
 from rollmill.sinks.store import Written, write_micro_batch
 from rollmill.sources import kafka
@@ -41,7 +42,9 @@ class StreamJob:
         tables: list[TableSpec],
         parser: RecordParser | None = None,
         processors: Mapping[str, Processor] | None = None,
+        workers: int = 4,
     ) -> None:
+        self.workers = workers
         self.spark = configure(spark)
         self.indexer = indexer
         self.tables = list(tables)
@@ -75,6 +78,9 @@ class StreamJob:
             self.indexer.real_time.parse.time_column,
         )
 
+    def _save_table(self, table: TableSpec, records: DataFrame, batch_millis: int) -> Written:
+        return self.save(table, self.process(table, records), batch_millis)
+
     def notify(self, manifest: Mapping[str, Any]) -> None:
         send_manifest(self.spark, self.indexer.real_time.channel, manifest)
 
@@ -87,7 +93,8 @@ class StreamJob:
             batch_millis = records.agg(F.min(BATCH_TIME)).first()[0]
             if batch_millis is None:
                 return
-            written = {t.name: self.save(t, self.process(t, records), batch_millis) for t in self.tables}
+            tasks = {t.name: partial(self._save_table, t, records, batch_millis) for t in self.tables}
+            written = side_by_side(self.spark, self.workers, tasks)
             manifest: dict[str, Any] = {
                 "id": batch_millis,
                 "tables": {

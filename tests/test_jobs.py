@@ -270,3 +270,27 @@ def test_two_tables_and_a_gap_for_one(spark, tmp_path):
         l for l in stock.GOLDEN if "2015-01-02" not in l
     ]
     assert BatchJob(spark, indexer, [one, two]).published()[0] == last
+
+
+def test_table_without_rows_in_a_batch(spark, tmp_path):
+    """A table that gets nothing from a micro-batch is told with no paths and no rows."""
+    table, indexer = stock.table(), stock.indexer(tmp_path)
+    nothing = {"none": lambda df: rollup(table)(df.where("company = 'nobody'"))}
+    write_raw(tmp_path / "raw", stock.RAW_LINES)
+    tables = [table, stock.table("none")]
+    run_stream(spark, indexer, tables, tmp_path / "raw", tmp_path / "cp", processors=nothing)
+    (micro,) = manifests(tmp_path, "rt")
+    assert micro["tables"]["none"]["paths"] == [] and micro["tables"]["none"]["recordCount"] == 0
+    assert micro["tables"]["foo"]["recordCount"] == 6
+    sent = BatchJob(spark, indexer, tables).run()
+    assert all(list(m["tables"]) == ["foo"] for m in sent) and len(sent) == 3
+
+
+@pytest.mark.parametrize("partitions", [3, None])
+def test_snapshot_without_rows(spark, tmp_path, partitions):
+    table = stock.table()
+    indexer = stock.indexer(tmp_path, partitions, keep="2020-01-01/P1D")
+    write_raw(tmp_path / "raw", stock.RAW_LINES)
+    run_stream(spark, indexer, [table], tmp_path / "raw", tmp_path / "cp")
+    sent = BatchJob(spark, indexer, [table]).run()
+    assert [m["tables"]["foo"]["recordCount"] for m in sent] == [0, 0, 0]

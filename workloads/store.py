@@ -130,7 +130,7 @@ def late_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.groupBy("period", "table").agg(F.count(F.lit(1)).alias("paths"))
 
 
-def _run_history(spark: SparkSession, sf_dir: str, name: str, table: TableSpec, **batch) -> tuple[IndexerSpec, list]:
+def run_history(spark: SparkSession, sf_dir: str, name: str, table: TableSpec, **batch) -> tuple[IndexerSpec, list]:
     """Store all events as two micro-batches (mornings, afternoons), which meet in every period, and
     close all periods."""
     job = indexer(scratch_path(spark, name), period="P7D", **batch)
@@ -147,7 +147,7 @@ def _run_history(spark: SparkSession, sf_dir: str, name: str, table: TableSpec,
 def snapshot_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every snapshot of the chain: all history up to its period."""
     table = event_cube("hour", "cube")
-    job, sent = _run_history(spark, sf_dir, "snapshot-chain", table)
+    job, sent = run_history(spark, sf_dir, "snapshot-chain", table)
     rows = None
     for manifest in sent:
         snapshot = read_snapshot(spark, table, job.batch_root, manifest["id"])
@@ -158,7 +158,7 @@ def snapshot_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest snapshot of a partitioned, sorted table."""
-    job, sent = _run_history(
+    job, sent = run_history(
         spark,
         sf_dir,
         "snapshot-balanced",
@@ -172,7 +172,7 @@ def snapshot_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A granularity coarser than the period: all rows meet in the period of the first of the month."""
     table = event_cube("month", "cube")
-    job, sent = _run_history(spark, sf_dir, "snapshot-monthly", table)
+    job, sent = run_history(spark, sf_dir, "snapshot-monthly", table)
     rows = read_snapshot(spark, table, job.batch_root, sent[-1]["id"])
     return shown(rows.withColumn("period", F.lit(sent[-1]["id"])), 4)
 
@@ -180,14 +180,14 @@ def snapshot_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only events inside the interval to keep stay in history."""
     table = event_cube("hour", "cube")
-    job, sent = _run_history(spark, sf_dir, "snapshot-kept", table, keep="2024-01-06T12:00:00/P10D")
+    job, sent = run_history(spark, sf_dir, "snapshot-kept", table, keep="2024-01-06T12:00:00/P10D")
     return shown(read_snapshot(spark, table, job.batch_root, sent[-1]["id"]), 4)
 
 
 def snapshot_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the batch job tells about every period."""
     table = event_cube("hour", "cube")
-    job, _ = _run_history(
+    job, _ = run_history(
         spark, sf_dir, "snapshot-manifests", table, partitioning=Partitioning(("event_type",), 2)
     )
     told = all_manifests(spark, job.batch.channel, BATCH_SCHEMA)
@@ -255,14 +255,14 @@ def sorted_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _event_stream(spark: SparkSession, sf_dir: str, name: str, tables: list[TableSpec], **batch):
+def event_stream(spark: SparkSession, sf_dir: str, name: str, tables: list[TableSpec], **batch):
     """All events as text files through the streaming job."""
     root = scratch_path(spark, name)
     events = load(spark, sf_dir, "events")
     raw = delimited(events, EVENT_COLUMNS, "\t", ts=F.unix_micros("ts").cast("string"))
     raw.write.text(f"{root}/raw")
     job = indexer(root, **batch)
-    records = spark.readStream.option("maxFilesPerTrigger", 4).text(f"{root}/raw")
+    records = spark.readStream.option("maxBytesPerTrigger", 256 * 1024**3).text(f"{root}/raw")
     query = StreamJob(spark, job, tables).start(f"{root}/checkpoint", records, available_now=True)
     query.awaitTermination()
     return job
@@ -275,7 +275,7 @@ def _stored(spark: SparkSession, job: IndexerSpec, table: TableSpec) -> DataFram
 
 def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = event_cube("hour", "cube")
-    job = _event_stream(spark, sf_dir, "stream", [table])
+    job = event_stream(spark, sf_dir, "stream", [table])
     return shown(_stored(spark, job, table), 4)
 
 
@@ -283,14 +283,14 @@ def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One parse feeds two tables of different shape."""
     daily = TableSpec("daily", (Dimension("ts", type="time", granularity="day"),), VALUE_METRICS)
     kinds = TableSpec("kinds", (Dimension("event_type"), Dimension("ts", type="time", granularity="month")), VALUE_METRICS)
-    job = _event_stream(spark, sf_dir, "fan-out", [daily, kinds])
+    job = event_stream(spark, sf_dir, "fan-out", [daily, kinds])
     left = _stored(spark, job, daily).withColumn("event_type", F.lit("*"))
     return shown(left.unionByName(_stored(spark, job, kinds)), 4)
 
 
 def stream_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both jobs in a row: text files to the newest balanced snapshot."""
-    job = _event_stream(
+    job = event_stream(
         spark, sf_dir, "both", [USER_CUBE], period="P7D", partitioning=Partitioning(("user_id",), 4)
     )
     sent = BatchJob(spark, job, [USER_CUBE]).run(LATER)
@@ -300,7 +300,7 @@ def stream_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def manifest_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periods the stream's manifests name, and the last manifest among them."""
     table = event_cube("hour", "cube")
-    job = _event_stream(spark, sf_dir, "manifests", [table])
+    job = event_stream(spark, sf_dir, "manifests", [table])
     told = all_manifests(spark, job.real_time.channel, MICRO_BATCH_SCHEMA)
     last = last_manifest(told)
     return (
