@@ -57,6 +57,55 @@ def other_delimiter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(rows.transform(rollup(LINE_CUBE)), 2)
 
 
+# Dimension of every type: source expression of the raw text.
+KIND_SOURCES = {
+    "string": "l_returnflag",
+    "numeric": "l_linenumber",
+    "time": "l_shipdate",
+    "microtime": "l_shipdate",
+    "byte": "l_linenumber",
+    "ubyte": "cast(l_quantity as int)",
+    "short": "-l_linenumber",
+    "ushort": "l_suppkey",
+    "int": "l_partkey",
+    "uint": "l_orderkey",
+    "long": "-l_orderkey",
+    "ulong": "l_partkey",
+    "float": "l_discount",
+    "double": "l_tax",
+}
+ALL_KINDS = TableSpec(
+    "kinds",
+    tuple(Dimension(f"d_{k}", type=k) for k in KIND_SOURCES),
+    (Metric("price", "double_sum"), Metric("n", "count")),
+)
+
+
+def _kind_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = load(spark, sf_dir, "lineitem")
+    return lines.select(
+        *(F.expr(e).alias(f"d_{k}") for k, e in KIND_SOURCES.items()), F.col("l_extendedprice").alias("price")
+    )
+
+
+def tsv_all_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _kind_source(spark, sf_dir)
+    iso = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ssxx") for c in ("d_time", "d_microtime")}
+    raw = delimited(source, tuple(source.columns), "\t", **iso)
+    rows = parse_records(raw, ParseSpec("tsv", columns=tuple(source.columns)), input_schema([ALL_KINDS]))
+    return shown(rows.transform(rollup(ALL_KINDS)), 2)
+
+
+def json_all_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers as numbers, one of them as text, and one time as epoch millis."""
+    source = _kind_source(spark, sf_dir).withColumns(
+        {"d_microtime": F.unix_millis("d_microtime"), "d_int": F.col("d_int").cast("string")}
+    )
+    raw = source.select(F.to_json(F.struct("*")).alias("value"))
+    rows = parse_records(raw, ParseSpec("json"), input_schema([ALL_KINDS]))
+    return shown(rows.transform(rollup(ALL_KINDS)), 2)
+
+
 EVENTS = TableSpec(
     "events",
     (Dimension("event_type"), Dimension("event_id", type="long")),
@@ -253,6 +302,16 @@ def text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return again.transform(rerollup(table))
 
 
+def _all_kinds_sql() -> str:
+    kinds = {
+        "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT", "bigint": "BIGINT", "string": "VARCHAR",
+        "timestamp": "TIMESTAMP", "float": "DOUBLE", "double": "DOUBLE",
+    }
+    shown_as = {f"d_{k}": kinds[d.data_type.simpleString()] for k, d in zip(KIND_SOURCES, ALL_KINDS.dimensions)}
+    columns = ", ".join(f"CAST({KIND_SOURCES[n[2:]]} AS {t}) AS {n}" for n, t in shown_as.items())
+    return f"SELECT {columns}, round(sum(l_extendedprice), 2) AS price, count(*) AS n FROM lineitem GROUP BY ALL"
+
+
 _CLEAN = r"""regexp_replace(regexp_replace(text, '[\t\n\r\x00\\]', '', 'g'), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"""
 
 WORKLOADS = {
@@ -268,6 +327,8 @@ WORKLOADS = {
                    CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS shipdate, {LINE_METRICS_SQL}
             FROM lineitem GROUP BY 1, 2, 3""",
     ),
+    "tsv_all_types": Workload(tsv_all_types, _all_kinds_sql()),
+    "json_all_types": Workload(json_all_types, _all_kinds_sql()),
     "bad_records": Workload(
         bad_records,
         """SELECT event_type, event_id, round(sum(value), 4) AS value, count(*) AS n FROM events
