@@ -109,13 +109,9 @@ def print_pattern(spec: str) -> str:
     return _assemble(_pieces(spec))
 
 
-def read_pattern(spec: str) -> str:
-    """Spark pattern that reads the strptime format.
-
-    Day names carry no information and Spark refuses to read them, so they are left out (and cut
-    from the value). Fractions may have three or six digits. A number field that stands between
-    non-digits may be written with one digit.
-    """
+def _read_pieces(spec: str) -> list[_Piece]:
+    """Pieces for reading: no day names (they carry no information and Spark refuses to read them),
+    fractions of three or six digits, and one digit allowed in a number between non-digits."""
     kept = [p for p in _pieces(spec) if p.literal or not p.text.startswith("E")]
 
     def numeric(i: int) -> bool:
@@ -130,11 +126,40 @@ def read_pattern(spec: str) -> str:
         if not piece.literal:
             alone = not any(numeric(j) or digit_literal(j) for j in (i - 1, i + 1))
             if text == "SSS":
+                if not alone:
+                    raise ValueError(f"time format {spec!r}: %f needs a separator from other digits")
                 text = "[SSSSSS][SSS]"
             elif alone:
                 text = _LOOSE.get(text, text)
         out.append(_Piece(text, piece.literal))
-    return _assemble(out)
+    return out
+
+
+def read_pattern(spec: str) -> str:
+    """Spark pattern that reads the strptime format."""
+    return _assemble(_read_pieces(spec))
+
+
+# What a field that is not a two-digit number looks like.
+_LOOKS = {
+    "yyyy": r"\d{4}",
+    "DDD": r"\d{3}",
+    "[SSSSSS][SSS]": r"(?:\d{6}|\d{3})",
+    "MMM": r"[A-Za-z]+",
+    "MMMM": r"[A-Za-z]+",
+    "a": r"[AaPp][Mm]",
+    "Z": r"[+-]\d{4}",
+    "zzz": r"[A-Za-z][A-Za-z0-9/_+\-]*",
+}
+
+
+def read_regex(spec: str) -> str:
+    """Regex for the beginning of a text that may go on after the time."""
+    looks = (
+        re.escape(p.text) if p.literal else _LOOKS.get(p.text, r"\d{1,2}" if len(p.text) == 1 else r"\d{2}")
+        for p in _read_pieces(spec)
+    )
+    return "^" + "".join(looks)
 
 
 @dataclass(frozen=True)
@@ -165,7 +190,10 @@ class TimeFormat:
         codes = [p.text for p in _pieces(self.spec) if not p.literal]
         if any(c.startswith("E") for c in codes):
             text = F.regexp_replace(text, _DAY_NAMES, "")
-        found = F.try_to_timestamp(text, F.lit(read_pattern(self.spec)))
+        pattern = F.lit(read_pattern(self.spec))
+        # text after the time is ignored; it is only cut off where the whole does not fit
+        head = F.regexp_extract(text, read_regex(self.spec), 0)
+        found = F.coalesce(F.try_to_timestamp(text, pattern), F.try_to_timestamp(head, pattern))
         if "yy" in codes and "yyyy" not in codes:
             # two-digit years lie within 80 years before and 20 years after now
             century = F.make_ym_interval(F.lit(100))

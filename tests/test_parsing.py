@@ -204,6 +204,15 @@ def test_time_texts(spark):
     assert read("%Y-%m-%d", "2015-1-1") == "2015-01-01 00:00:00"
     assert read("%Y%m%d", "20150102") == "2015-01-02 00:00:00"
     assert read("%Y-%m-%d", "2015-13-01") is None
+    assert read("%Y-%m-%d", "2015-01-02T10:11:12Z") == "2015-01-02 00:00:00"
+    assert read("%Y-%m-%d %H:%M:%S", "2015-1-2 10:11:12.345") == "2015-01-02 10:11:12"
+    assert read("%d.%m.%Y %I %p", "02.01.2015 10 pm sharp") == "2015-01-02 22:00:00"
+    assert read("%Y%m%d.%f", "20150102.123456789") == "2015-01-02 00:00:00.123456"
+    with pytest.raises(ValueError, match="separator"):
+        TimeFormat.of("%Y%m%d%f")
+    assert read("%b %d %Y (%z)", "Jan 02 2015 (+0100) x") == "2015-01-01 23:00:00"
+    for wrong in ("x2015-01-02", "2015-01", "", "2015/01/02"):
+        assert read("%Y-%m-%d", wrong) is None
     assert read("%A %d %b %Y", "Wednesday 07 Jan 2015") == "2015-01-07 00:00:00"
     assert read("%a, %d %b %Y", "Wed, 07 Jan 2015") == "2015-01-07 00:00:00"
     assert read("%y-%m-%d", "97-02-03") == "1997-02-03 00:00:00"

@@ -25,6 +25,14 @@ def test_cluster_without_shared_dir_is_refused():
         shared_dir(Session())
 
 
+def test_local_session_without_shared_dir_gets_a_temporary_one():
+    class Session:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: {"spark.master": "local[2]"}.get(key, default))
+
+    assert shared_dir(Session) == shared_dir(Session)
+
+
 def test_shuffle_sizing(spark):
     assert shuffle_partitions(0, 200) == 200
     assert shuffle_partitions(10**13, 200) == 32_768
