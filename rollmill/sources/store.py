@@ -17,25 +17,32 @@ _CELLS = "__cells"
 
 
 def parse_lines(df: DataFrame, table: TableSpec) -> DataFrame:
-    """Store lines in ``value`` to typed rows; other columns pass through. A damaged line is an error."""
+    """Store lines in ``value`` to typed rows; other columns pass through. A damaged line is an error.
+
+    Cells are converted in one projection and checked in the next, so each is converted once.
+    """
     times = {d.name: table.time_format(d.name) for d in table.time_dimensions}
+    fields = table.store_schema.fields
+    others = [F.col(c) for c in df.columns if c != VALUE]
 
-    def typed(index: int, field: T.StructField) -> Column:
-        cell = F.get(F.col(_CELLS), F.lit(index))
-        if isinstance(field.dataType, T.StringType):
-            found, absent = cell, F.lit(False)
-        else:
-            found = convert_text(cell, field.dataType, times.get(field.name))
-            absent = cell == NULL_TEXT
+    def cell(index: int) -> Column:
+        return F.get(F.col(_CELLS), F.lit(index))
+
+    def checked(index: int, field: T.StructField) -> Column:
+        found = F.col(f"__typed_{index}")
+        valid = found.isNotNull()
+        if not isinstance(field.dataType, T.StringType):
+            valid = valid | (cell(index) == NULL_TEXT)
         complaint = F.concat(F.lit(f"store line of {table.name}: cannot read {field.name}: "), F.col(VALUE))
-        checked = F.when(found.isNotNull() | absent, found).otherwise(
-            F.raise_error(complaint).cast(field.dataType)
-        )
-        return checked.alias(field.name)
+        return F.when(valid, found).otherwise(F.raise_error(complaint).cast(field.dataType)).alias(field.name)
 
-    others = [F.col(c) for c in df.columns if c != VALUE]
+    typed = [
+        convert_text(cell(i), f.dataType, times.get(f.name)).alias(f"__typed_{i}") for i, f in enumerate(fields)
+    ]
     cells = df.withColumn(_CELLS, F.split(F.col(VALUE), SEPARATOR, -1))
-    return cells.select(*(typed(i, f) for i, f in enumerate(table.store_schema.fields)), *others)
+    return cells.select(VALUE, _CELLS, *typed, *others).select(
+        *(checked(i, f) for i, f in enumerate(fields)), *others
+    )
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], base: str | None = None) -> DataFrame:
