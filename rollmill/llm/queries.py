@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rollmill.llm import packing, token_files
+from rollmill.llm import near_dup, packing, token_files
 from rollmill.llm.base import table
 from rollmill.session import scratch_path
 from workloads.base import Workload
@@ -13,6 +13,11 @@ from workloads.base import Workload
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+def op1_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component and kept document of every document, by sets of five-word shingles at 0.75."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.MinHash(width=5, percent=75))
+
+
 def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of whole documents in sequences of 1024 tokens, each document ended by id 0."""
     docs = table(spark, sf_dir, "documents")
@@ -28,6 +33,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WORKLOADS: dict[str, Workload] = {
+    "op1_bbit_minhash": Workload(op1_bbit_minhash),
     "op3_harmonic_packing": Workload(op3_harmonic_packing),
     "op7_token_files": Workload(op7_token_files),
 }
