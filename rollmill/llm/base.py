@@ -61,8 +61,14 @@ def with_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.name for f in schema.fields]
-        for batch in batches:
-            for made in compute(iter([batch])):
-                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
+        held: list[pa.RecordBatch] = []
+
+        def kept() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                held.append(batch)
+                yield batch
+
+        for made in compute(kept()):
+            yield pa.RecordBatch.from_arrays([*held.pop().columns, *made], names=names)
 
     return df.mapInArrow(run, schema)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rollmill.llm import near_dup, packing, token_files
+from rollmill.llm import compress_quality, near_dup, packing, token_files, toxicity
 from rollmill.llm.base import table
+from rollmill.llm.samples import folded, labelled_sample
 from rollmill.session import scratch_path
 from workloads.base import Workload
 
@@ -24,6 +26,27 @@ def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(BYTE_BPE), capacity=1024, end_id=0)
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Learnt from the labelled rows outside the held-out fifth."""
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.fit(labelled_sample(docs, labels, "toxic", folded("doc_id", 5) != 0))
+
+
+def op5_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole document, as the noisy-or of its sentences."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored, score, _ = toxicity.score_toxicity(docs, toxicity_model(spark, docs, sf_dir), spans=False)
+    return scored.select("doc_id", *verdict(5, 0, score))
+
+
+def verdict(folds: int, out: int, score: str) -> list:
+    return [
+        (folded("doc_id", folds) == out).alias("held_out"),
+        F.col(score).alias("score"),
+        (F.col(score) >= 0.5).cast("int").alias("predicted"),
+    ]
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as token ids in seekable files and read back from them."""
     docs = table(spark, sf_dir, "documents")
@@ -32,8 +55,19 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(files, with_ids=False)
 
 
+def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole document, by dictionaries of good and bad text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    model = compress_quality.fit(labelled_sample(docs, labels, "quality", folded("doc_id", 3) != 1))
+    scored, score = compress_quality.score_quality(docs, model)
+    return scored.select("doc_id", *verdict(3, 1, score))
+
+
 WORKLOADS: dict[str, Workload] = {
     "op1_bbit_minhash": Workload(op1_bbit_minhash),
     "op3_harmonic_packing": Workload(op3_harmonic_packing),
+    "op5_toxic_sentences": Workload(op5_toxic_sentences),
     "op7_token_files": Workload(op7_token_files),
+    "op9_compression_quality": Workload(op9_compression_quality),
 }
