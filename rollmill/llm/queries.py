@@ -6,10 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollmill.llm import compress_quality, near_dup, packing, token_files, toxicity
+from rollmill.llm import compress_quality, decontaminate, near_dup, packing, rule_lists, token_files, toxicity
 from rollmill.llm.base import table
 from rollmill.llm.samples import folded, labelled_sample
-from rollmill.session import scratch_path
+from rollmill.session import scratch_path, stage
 from workloads.base import Workload
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -55,6 +55,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(files, with_ids=False)
 
 
+def op8_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item's question and answer, with the item."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole document, by dictionaries of good and bad text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,10 +69,27 @@ def op9_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *verdict(3, 1, score))
 
 
+def op10_rule_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every whole document, the base rules, and the verdict of the learnt rules."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    stats = rule_lists.text_statistics(docs).drop("text")
+    stats = stage(stats, scratch_path(spark, "statistics"))
+    rules = rule_lists.fit(stats, table(spark, sf_dir, "labels"))
+    failed = rule_lists.base_failed()
+    return stats.select(
+        "doc_id",
+        *rule_lists.COUNTS[:5],
+        failed.alias("base_failed"),
+        (~failed & rule_lists.verdict(rules)).alias("kept"),
+    )
+
+
 WORKLOADS: dict[str, Workload] = {
     "op1_bbit_minhash": Workload(op1_bbit_minhash),
     "op3_harmonic_packing": Workload(op3_harmonic_packing),
     "op5_toxic_sentences": Workload(op5_toxic_sentences),
     "op7_token_files": Workload(op7_token_files),
+    "op8_benchmark_passages": Workload(op8_benchmark_passages),
     "op9_compression_quality": Workload(op9_compression_quality),
+    "op10_rule_list": Workload(op10_rule_list),
 }
