@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollmill.llm import compress_quality, decontaminate, near_dup, packing, rule_lists, token_files, toxicity
+from rollmill.llm import compress_quality, decontaminate, near_dup, packing, pseudonyms, rule_lists, token_files, toxicity
 from rollmill.llm.base import table
 from rollmill.llm.samples import folded, labelled_sample
 from rollmill.session import scratch_path, stage
@@ -26,6 +26,12 @@ def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(BYTE_BPE), capacity=1024, end_id=0)
 
 
+def op4_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents with personal numbers, dates and e-mail names replaced, and counts by kind."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, key="corpus-2024")
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     """Learnt from the labelled rows outside the held-out fifth."""
     labels = table(spark, sf_dir, "labels")
@@ -87,6 +93,7 @@ def op10_rule_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 WORKLOADS: dict[str, Workload] = {
     "op1_bbit_minhash": Workload(op1_bbit_minhash),
     "op3_harmonic_packing": Workload(op3_harmonic_packing),
+    "op4_feistel_pseudonyms": Workload(op4_feistel_pseudonyms),
     "op5_toxic_sentences": Workload(op5_toxic_sentences),
     "op7_token_files": Workload(op7_token_files),
     "op8_benchmark_passages": Workload(op8_benchmark_passages),
