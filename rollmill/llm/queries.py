@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollmill.llm import compress_quality, decontaminate, near_dup, packing, pseudonyms, rule_lists, token_files, toxicity
+from rollmill.llm import (
+    compress_quality,
+    decontaminate,
+    line_runs,
+    near_dup,
+    packing,
+    pseudonyms,
+    rule_lists,
+    token_files,
+    toxicity,
+)
 from rollmill.llm.base import table
 from rollmill.llm.samples import folded, labelled_sample
 from rollmill.session import scratch_path, stage
@@ -53,6 +63,12 @@ def verdict(folds: int, out: int, score: str) -> list:
     ]
 
 
+def op6_line_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents without the later copies of repeated line runs of 50 words or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_runs.drop_later_copies(docs, min_words=50)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as token ids in seekable files and read back from them."""
     docs = table(spark, sf_dir, "documents")
@@ -95,6 +111,7 @@ WORKLOADS: dict[str, Workload] = {
     "op3_harmonic_packing": Workload(op3_harmonic_packing),
     "op4_feistel_pseudonyms": Workload(op4_feistel_pseudonyms),
     "op5_toxic_sentences": Workload(op5_toxic_sentences),
+    "op6_line_suffix_array": Workload(op6_line_suffix_array),
     "op7_token_files": Workload(op7_token_files),
     "op8_benchmark_passages": Workload(op8_benchmark_passages),
     "op9_compression_quality": Workload(op9_compression_quality),
