@@ -14,6 +14,7 @@ from rollmill.llm import (
     packing,
     pseudonyms,
     rule_lists,
+    token_counts,
     token_files,
     toxicity,
 )
@@ -23,6 +24,8 @@ from rollmill.session import scratch_path, stage
 from workloads.base import Workload
 
 BYTE_BPE = "byte_bpe_50k.json"
+# Edits of a cleaning pass: long numbers become one digit, runs of a symbol one symbol.
+CLEANING = [(r"\d{4,}", "0"), (r"([!#*$%&])\1+", r"\1")]
 
 
 def op1_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +33,16 @@ def op1_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.MinHash(width=5, percent=75))
 
 
+def op2_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole document, before and after the edits of a cleaning pass."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path(BYTE_BPE)
+    trees = token_counts.build_trees(docs, path)
+    folder = scratch_path(spark, "token-trees")
+    trees.write.option("compression", "zstd").parquet(folder)
+    return token_counts.apply_rules(spark.read.schema(trees.schema).parquet(folder), CLEANING, path)
+
+
 def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of whole documents in sequences of 1024 tokens, each document ended by id 0."""
     docs = table(spark, sf_dir, "documents")
@@ -108,6 +121,7 @@ def op10_rule_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 WORKLOADS: dict[str, Workload] = {
     "op1_bbit_minhash": Workload(op1_bbit_minhash),
+    "op2_edit_token_counts": Workload(op2_edit_token_counts),
     "op3_harmonic_packing": Workload(op3_harmonic_packing),
     "op4_feistel_pseudonyms": Workload(op4_feistel_pseudonyms),
     "op5_toxic_sentences": Workload(op5_toxic_sentences),
