@@ -30,10 +30,12 @@ SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 LEAST_DOCS = 5
 LEAST_Z = 4.0
-START = -8.0
+START = -9.0
+# Weight of the toxic documents in training; below one half, so that clean documents stay clean.
+PRIOR = 0.15
 EPOCHS = 300
 RATE = 0.1
-DECAY = 1e-4
+DECAY = 3e-5
 MEMO = 500_000
 
 
@@ -61,7 +63,7 @@ class Model:
 
 
 def fit(sample: list[tuple[str, int]]) -> Model:
-    """Full-batch Adam on the noisy-or likelihood, both classes of equal weight."""
+    """Full-batch Adam on the noisy-or likelihood, the toxic class with weight PRIOR."""
     if len({y for _, y in sample}) < 2:
         return Model(-50.0, {})
     bags = [[set(WORD.findall(s)) for s in SENTENCE.findall(text.lower())] for text, _ in sample]
@@ -82,7 +84,7 @@ def fit(sample: list[tuple[str, int]]) -> Model:
             n += 1
     col, row, doc = np.array(columns, int), np.array(rows, int), np.array(docs, int)
     y = np.array([y for _, y in sample], float)
-    share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
+    share = np.where(y == 1, PRIOR / max(y.sum(), 1), (1 - PRIOR) / max((1 - y).sum(), 1))
     theta = np.append(np.zeros(len(names)), START)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, EPOCHS + 1):
