@@ -1,0 +1,144 @@
+"""Held-out accuracy of the classifiers, located sentences, statistics and rules by brute force."""
+
+import random
+import re
+from collections import Counter
+
+import pytest
+from rollmill.llm import compress_quality, rule_lists, toxicity
+from rollmill.llm.samples import folded, labelled_sample
+
+BAD_WORDS = ["nastiword", "fouliword", "vileiword"]
+
+
+def prose(r, n):
+    words = ["".join(r.choice(["an", "the", "ing", "or", "st", "re"]) for _ in range(r.randint(1, 3))) for _ in range(n)]
+    return " ".join(w + (". " if r.random() < 0.1 else "") for w in words)
+
+
+def toxic_rows(seed, n):
+    r, rows = random.Random(seed), []
+    for i in range(n):
+        text = prose(r, r.randint(20, 120))
+        if i % 4 == 0:
+            text += ". You " + r.choice(BAD_WORDS) + " thing. " + prose(r, 10)
+        rows.append((i, text, int(i % 4 == 0)))
+    return rows
+
+
+def test_toxic_documents_and_sentences(corpus):
+    model = toxicity.fit([(t, y) for _, t, y in toxic_rows(1, 400)])
+    rows = toxic_rows(2, 200)
+    df = corpus.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    scored, score, spans = toxicity.score_toxicity(df, model)
+    got = {r["doc_id"]: r for r in scored.collect()}
+    right = sum((got[i][score] >= 0.5) == bool(y) for i, _, y in rows)
+    assert right >= 196
+    for i, text, y in rows:
+        if y and got[i][score] >= 0.5:
+            assert any("iword" in text[s["begin"] : s["end"]] for s in got[i][spans])
+
+
+def test_noisy_or():
+    assert toxicity.noisy_or([]) == 0
+    assert abs(toxicity.noisy_or([0.5, 0.5]) - 0.75) < 1e-12
+
+
+def test_compression_tells_good_from_bad():
+    r = random.Random(3)
+    junk = lambda: " | ".join(f"{r.choice(['buy', 'now', 'win'])}{r.choice('$%#')}" for _ in range(60))
+    sample = [(prose(r, 90), 1) if i % 2 else (junk(), 0) for i in range(400)]
+    r.shuffle(sample)
+    model = compress_quality.fit(sample)
+    assert model is not None
+    sizes = compress_quality.Sizes(model.good, model.bad)
+    good, bad = sizes.evidence(prose(r, 90)), sizes.evidence(junk())
+    assert good[0] > bad[0]
+
+
+def test_classifiers_stand_odd_rows(odd, nothing):
+    r = random.Random(4)
+    texts = [(prose(r, 40) + (" nastiword. " if i % 2 else ""), i % 2) for i in range(60)]
+    tox, quality = toxicity.fit(texts), compress_quality.fit([(t, 1 - y) for t, y in texts])
+    for df in (odd, nothing):
+        scored, name, _ = toxicity.score_toxicity(df, tox)
+        assert name == ("_toxicity" if "toxicity" in df.columns else "toxicity")
+        rows = scored.collect()
+        assert len(rows) == df.count() and all(0 <= x[name] <= 1 for x in rows)
+        assert all(x[name] == 0 for x in rows if not (x["text"] or "").strip())
+        for model in (quality, None):
+            scored, name = compress_quality.score_quality(df, model)
+            rows = scored.collect()
+            assert len(rows) == df.count() and all(0 <= x[name] <= 1 for x in rows)
+    assert toxicity.fit([]).weights == {} and compress_quality.fit([("a", 1)]) is None
+    assert toxicity.fit([("a", 1)]).weights == {}
+
+
+def test_sample_is_bounded_and_honest(corpus):
+    docs = corpus.createDataFrame([(i, f"text {i}") for i in range(50)] + [(None, "x")], "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(40)] + [(3, 0), (None, 1), (41, None), (42, 7)]
+    labels = corpus.createDataFrame(labels, "doc_id long, toxic int")
+    fold = folded("doc_id", 5) != 0
+    sample = labelled_sample(docs, labels, "toxic", fold)
+    allowed = {r[0] for r in labels.where(fold).select("doc_id").collect()} - {3}
+    assert {int(t.split()[1]) for t, _ in sample} == {i for i in range(40) if i in allowed}
+    assert all(int(t.split()[1]) % 2 == y for t, y in sample)
+    assert Counter(y for _, y in labelled_sample(docs, labels, "toxic", fold, most_docs=4)) == {0: 4, 1: 4}
+    assert len(labelled_sample(docs, labels, "toxic", fold, most_chars=20)) <= 8
+
+
+def brute_statistics(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    triples = Counter(zip(words, words[1:], words[2:]))
+    inside = {j for i in range(len(words) - 2) if triples[tuple(words[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    seen, repeated = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            repeated += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), repeated, len(inside)
+
+
+def test_statistics(corpus, odd, nothing):
+    r = random.Random(6)
+    rows = [(i, "".join(r.choice("ab #\n\té\x0b\x1c") for _ in range(r.randint(0, 60)))) for i in range(150)]
+    rows += [(500 + i, " ".join(r.choice("xyz") for _ in range(r.randint(0, 12)))) for i in range(80)]
+    for df in (corpus.createDataFrame(rows, "doc_id long, text string"), odd, nothing):
+        for row in rule_lists.text_statistics(df).collect():
+            assert tuple(row[c] for c in rule_lists.COUNTS[:5]) == brute_statistics(row["text"] or "")
+
+
+def test_rules_are_learnt_and_readable(corpus):
+    r, rows = random.Random(7), []
+    for i in range(600):
+        words = [w for w in prose(r, 80).split()]
+        if i % 5 == 0:
+            words = [w + "#" for w in words]
+        if i % 7 == 0:
+            words = [w.upper() for w in words]
+        rows.append((i, " ".join(words), int(bool(i % 5 and i % 7))))
+    docs = corpus.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = corpus.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    stats = rule_lists.text_statistics(docs)
+    rules = rule_lists.fit(stats, labels)
+    assert 1 <= len(rules) <= 4 and all(len(rule) <= rule_lists.MOST_CONDITIONS for rule in rules)
+    assert any("n_symbols" in c.sql() for rule in rules for c in rule)
+    out = stats.where(~rule_lists.base_failed()).select("doc_id", rule_lists.verdict(rules).alias("kept")).collect()
+    want = {i: bool(y) for i, _, y in rows}
+    assert sum(x["kept"] == want[x["doc_id"]] for x in out) >= 0.97 * len(out)
+
+
+def test_no_labels_no_rules(corpus, odd):
+    stats = rule_lists.text_statistics(odd)
+    labels = corpus.createDataFrame([], "doc_id long, quality int")
+    assert rule_lists.fit(stats, labels) == []
+    assert stats.select(rule_lists.verdict([]).alias("k")).where("NOT k").count() == 0
+
+
+@pytest.mark.parametrize("folds", [3, 5])
+def test_folds_are_crc32_of_the_id(corpus, folds):
+    from zlib import crc32
+
+    got = {r[0]: r[1] for r in corpus.range(50).select("id", folded("id", folds)).collect()}
+    assert got == {i: crc32(str(i).encode()) % folds for i in range(50)}
+    assert corpus.sql("SELECT CAST(NULL AS bigint) AS id").select(folded("id", 3)).first()[0] is None
