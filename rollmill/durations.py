@@ -27,6 +27,8 @@ def duration_millis(text: str) -> int:
     span = timedelta(
         weeks=f["weeks"], days=f["days"], hours=f["hours"], minutes=f["minutes"], seconds=f["seconds"]
     )
+    if span.microseconds:
+        raise ValueError(f"not in whole seconds: {text!r}")
     return int(span.total_seconds()) * 1000
 
 

@@ -1,4 +1,4 @@
-"""``spark-submit rollmill/jobs.py stream|batch settings.json``: run one of the two jobs."""
+"""``spark-submit run_job.py stream|batch settings.json``: run one of the two jobs."""
 
 from __future__ import annotations
 

@@ -20,8 +20,8 @@ from rollmill.spec import Partitioning, TableSpec
 BUCKET = "__bucket"
 PART = "part"
 SLOT = "__slot"
-# A shuffle into more partitions than this costs more than larger files do.
-MOST_SLOTS = 32_768
+# One shuffle writes all files of a snapshot; Spark's driver can not follow more tasks than this.
+MOST_SLOTS = 1_000_000
 
 
 def bucket_column(table: TableSpec, partitioning: Partitioning) -> Column:
@@ -86,8 +86,12 @@ class Layout:
         rows = [0] * partitions
         for bucket, weight in weights.items():
             rows[parts[bucket]] += weight
-        most = max(rows_per_file, -(-sum(rows) // MOST_SLOTS))
-        slots = [-(-r // most) for r in rows]
+        slots = [-(-r // rows_per_file) for r in rows]
+        if sum(slots) > MOST_SLOTS:
+            raise ValueError(
+                f"{sum(rows)} rows at {rows_per_file} a file make {sum(slots)} files, more than one shuffle "
+                f"can write ({MOST_SLOTS}); set rowsPerFile to {-(-sum(rows) // MOST_SLOTS)} or more"
+            )
         first = [sum(slots[:p]) for p in range(partitions)]
         return cls(tuple(parts), tuple(first), tuple(slots))
 
@@ -100,7 +104,7 @@ def place(df: DataFrame, table: TableSpec, layout: Layout, sort_columns: tuple[s
     """
 
     def lookup(values: tuple[int, ...], index: Column) -> Column:
-        return F.element_at(F.array(*map(F.lit, values)), index + 1)
+        return F.element_at(F.lit(list(values)), index + 1)
 
     part = F.col(PART)
     key = F.xxhash64(*(F.col(f"`{k}`") for k in table.key_columns)) if table.key_columns else F.lit(0)

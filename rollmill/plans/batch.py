@@ -16,8 +16,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from rollmill.operators.chain import Processor, load_hook
-from rollmill.plans.snapshot import History, publish_snapshot
-from rollmill.plans.worklist import late_entries, open_periods, period_entries
+from rollmill.plans.snapshot import History, kept_by, publish_snapshot
+from rollmill.plans.worklist import late_entries, open_periods, period_entries, published_entries
 from rollmill.session import configure, own_session, side_by_side, size_shuffles
 from rollmill.sinks.manifests import send_manifest
 from rollmill.sources.manifests import BATCH_SCHEMA, MICRO_BATCH_SCHEMA, all_manifests
@@ -41,11 +41,15 @@ class BatchJob:
         self.spark = configure(spark)
         self.indexer = indexer
         self.tables = {t.name: t for t in tables}
+        for table in tables:
+            kept_by(table, indexer)
         custom = indexer.batch.processor
         make: Callable[[TableSpec], Processor] | None = load_hook(custom) if custom else None
         self.processors: dict[str, Processor] = {t.name: make(t) for t in tables} if make else {}
         self.processors |= dict(processors or {})
         self.workers = workers
+        # Paths that came after their period was published, as of the last run.
+        self.late_paths = 0
 
     def published(self) -> tuple[int, dict[str, tuple[int, Any]]]:
         """The last published period, and the newest snapshot of every table with its manifest entry."""
@@ -73,7 +77,7 @@ class BatchJob:
         )
 
     def run(self, now_millis: int | None = None) -> list[dict[str, Any]]:
-        """Publish what is due and return the manifests sent."""
+        """Publish what is due and return the manifests sent; ``late_paths`` then tells what came too late."""
         now = int(time.time() * 1000) if now_millis is None else now_millis
         length = self.indexer.batch.period_millis
         current = now // length * length
@@ -81,12 +85,13 @@ class BatchJob:
         micro = all_manifests(self.spark, self.indexer.real_time.channel, MICRO_BATCH_SCHEMA)
         entries = period_entries(micro).persist()
         try:
-            late = late_entries(entries, last_done).count()
+            done = all_manifests(self.spark, self.indexer.batch.channel, BATCH_SCHEMA)
+            self.late_paths = late_entries(entries, last_done, published_entries(done)).count()
             worklist = open_periods(entries, last_done, current).collect()
         finally:
             entries.unpersist()
-        if late:
-            log.warning("%s micro-batch paths came after their period was published; skipped", late)
+        if self.late_paths:
+            log.warning("%s micro-batch paths came after their period was published; skipped", self.late_paths)
         sent = []
         for due in worklist:
             period, micro_batches, names = due["period"], due["micro_batches"], due["tables"]

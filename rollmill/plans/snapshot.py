@@ -52,6 +52,26 @@ def time_column_of(table: TableSpec, indexer: IndexerSpec) -> str | None:
     return name if name in {d.name for d in table.time_dimensions} else None
 
 
+def kept_by(table: TableSpec, indexer: IndexerSpec) -> str | None:
+    """The time dimension that an interval to keep looks at: the one of the period, else the only one."""
+    if indexer.batch.keep is None:
+        return None
+    times = [d.name for d in table.time_dimensions]
+    name = time_column_of(table, indexer) or (times[0] if len(times) == 1 else None)
+    if name is None:
+        raise ValueError(f"keepInterval: table {table.name} has no time column to keep rows by")
+    return name
+
+
+def drops_nothing(history: History, indexer: IndexerSpec) -> bool:
+    """Whether the manifest proves that all of the history lies inside the interval to keep."""
+    if indexer.batch.keep is None:
+        return True
+    first, last = history.fact("minTime"), history.fact("maxTime")
+    start, end = (int(t.timestamp() * 1000) for t in interval_bounds(indexer.batch.keep))
+    return first is not None and last is not None and start <= first and last < end
+
+
 def _provable(table: TableSpec, indexer: IndexerSpec, processor: Processor | None) -> str | None:
     """Time column by which old and new keys can be told apart, or None."""
     name = time_column_of(table, indexer)
@@ -93,12 +113,12 @@ def publish_snapshot(
     """Write the snapshot and return its manifest entry."""
     partitioning = indexer.partitioning_of(table)
     sort_columns = indexer.sort_of(table)
-    column = time_column_of(table, indexer)
     certain = _provable(table, indexer, processor)
     merge = processor or rerollup(table)
     keep: Processor = lambda df: df
-    if indexer.batch.keep and column:
-        keep = keep_between(column, *interval_bounds(indexer.batch.keep))
+    kept = kept_by(table, indexer)
+    if kept:
+        keep = keep_between(kept, *interval_bounds(indexer.batch.keep))
 
     scratch: list[str] = []
 
@@ -114,11 +134,13 @@ def publish_snapshot(
             fresh = staged(merge(keep(new_rows)), "new")
             if keys_are_new(history, fresh, certain, period):
                 merged = keep(history.rows).unionByName(fresh)
-                if partitioning and indexer.batch.keep is None and _same_layout(history, partitioning):
+                if partitioning and _same_layout(history, partitioning) and drops_nothing(history, indexer):
                     weights = bucket_weights(fresh.withColumn(BUCKET, bucket_column(table, partitioning)))
                     for bucket, rows in enumerate(history.fact("bucketRows")):
                         if rows:
                             weights[bucket] = weights.get(bucket, 0) + rows
+                elif partitioning:  # counted by a read of its own; the history is not copied for it
+                    weights = bucket_weights(merged.withColumn(BUCKET, bucket_column(table, partitioning)))
             else:
                 merged = merge(keep(history.rows).unionByName(fresh))
         else:
@@ -141,6 +163,7 @@ def publish_snapshot(
         "paths": list(written.paths),
         "columns": table.columns,
         "recordCount": written.rows,
+        "minTime": written.min_time,
         "maxTime": written.max_time,
     }
     if partitioning and layout and weights is not None:

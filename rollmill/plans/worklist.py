@@ -38,6 +38,11 @@ def open_periods(entries: DataFrame, last_done: int, current: int) -> DataFrame:
     )
 
 
-def late_entries(entries: DataFrame, last_done: int) -> DataFrame:
-    """Paths written for a period that had been published before; they are never read."""
-    return entries.where(F.col("period") <= last_done)
+def published_entries(batch_manifests: DataFrame) -> DataFrame:
+    """One row per micro-batch that a published period has taken in: period, micro_batch."""
+    return batch_manifests.select(F.col("id").alias("period"), F.explode("microBatches").alias("micro_batch"))
+
+
+def late_entries(entries: DataFrame, last_done: int, published: DataFrame) -> DataFrame:
+    """Paths written for a period that had been published before, without them; they are never read."""
+    return entries.where(F.col("period") <= last_done).join(published, ["period", "micro_batch"], "left_anti")

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from functools import lru_cache
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -33,7 +31,6 @@ def configure(spark: SparkSession) -> SparkSession:
 # execution puts partitions together that turn out small, but cannot split those of an aggregate.
 GZIP_TEXT_EXPANSION = 6
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 32_768
 
 
 def own_session(spark: SparkSession) -> SparkSession:
@@ -47,7 +44,7 @@ def own_session(spark: SparkSession) -> SparkSession:
 
 def shuffle_partitions(store_bytes: int, least: int) -> int:
     wanted = -(-store_bytes * GZIP_TEXT_EXPANSION // SHUFFLE_PARTITION_BYTES)
-    return max(least, min(wanted, MOST_SHUFFLE_PARTITIONS))
+    return max(least, wanted)
 
 
 def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> None:
@@ -65,23 +62,20 @@ def side_by_side(spark: SparkSession, workers: int, tasks: Mapping[str, Callable
         return {name: job.result() for name, job in running.items()}
 
 
-@lru_cache(maxsize=1)
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="rollmill-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, from ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else one below the warehouse.
 
-    A local-mode session without the setting (tests) gets a temporary folder; a cluster session
-    without it is an error, because a machine-local folder would be lost with its machine.
+    A cluster session without the setting, whose warehouse is a folder of one machine, is an error:
+    what is written there would be lost with its machine and be out of reach for the others.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    local = warehouse.startswith(("file:", "/")) or ":" not in warehouse
+    if local and not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_dir()
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -42,6 +42,7 @@ def to_lines(df: DataFrame, table: TableSpec, *keep: str) -> DataFrame:
 class Written:
     rows: int
     paths: tuple[str, ...]
+    min_time: int | None = None
     max_time: int | None = None
 
 
@@ -92,6 +93,7 @@ def write_snapshot(
     measures = [F.count(F.lit(1)).alias("rows")]
     if time_column:
         time = F.col(f"`{time_column}`").cast("timestamp")
+        measures.append(F.min(F.unix_millis(time)).alias("first"))
         measures.append(F.max(F.unix_millis(time)).alias("latest"))
     seen = Observation()
     observed = df.observe(seen, *measures)
@@ -101,4 +103,4 @@ def write_snapshot(
         writer = writer.partitionBy(PART).option("partitionOverwriteMode", "static")
     writer.text(target)
     found = seen.get
-    return Written(found["rows"], (target,), found.get("latest"))
+    return Written(found["rows"], (target,), found.get("first"), found.get("latest"))

@@ -16,6 +16,8 @@ from rollmill.spec import Channel, KafkaSource
 TOPIC, PARTITION, OFFSET = "__topic", "__partition", "__offset"
 # Fixed values of the Kafka source for "from the end" and "from the start".
 LATEST, EARLIEST = -1, -2
+# Records of a micro-batch unless the source's options say otherwise; the rest waits for the next one.
+MOST_OFFSETS = "50000000"
 
 
 def starting_offsets(
@@ -25,7 +27,7 @@ def starting_offsets(
 ) -> str:
     """Where to start when there is no checkpoint yet.
 
-    Partitions named in the last manifest go on from there. The source wants every partition of a
+    Partitions that manifests name go on from there. The source wants every partition of a
     topic named, so ``partitions`` (topic -> number of partitions) adds those the manifest lacks.
     """
     default = EARLIEST if source.earliest else LATEST
@@ -43,7 +45,10 @@ def starting_offsets(
 
 
 def stream_options(source: KafkaSource, offsets: str) -> dict[str, str]:
+    """Without a bound of the user's, the first micro-batch takes at most MOST_OFFSETS records."""
     return {
+        "maxOffsetsPerTrigger": MOST_OFFSETS,
+        **source.options,
         "kafka.bootstrap.servers": ",".join(source.brokers),
         "subscribe": ",".join(source.topics),
         "startingOffsets": offsets,
@@ -69,6 +74,19 @@ def end_offsets(records: DataFrame) -> list[dict]:
     ]
 
 
+def newest_offsets(manifests: DataFrame) -> list[dict]:
+    """The newest offset of every partition over all manifests: the last one may lack partitions."""
+    told = manifests.select("id", F.explode("offsets").alias("o")).groupBy("o.topic", "o.partition")
+    newest = told.agg(F.max_by("o.offset", F.struct("id", "o.offset")).alias("offset"))
+    return [r.asDict() for r in newest.orderBy("topic", "partition").collect()]
+
+
+def carried(before: Iterable[Mapping], now: Iterable[Mapping]) -> list[dict]:
+    """Offsets of a batch, with those of partitions that had no row in it carried forward."""
+    merged = {(o["topic"], o["partition"]): o["offset"] for o in (*before, *now)}
+    return [{"topic": t, "partition": p, "offset": o} for (t, p), o in sorted(merged.items())]
+
+
 def topic_options(channel: Channel) -> dict[str, str]:
     return {
         "kafka.bootstrap.servers": channel.channel,

@@ -14,12 +14,12 @@ MICRO_BATCH_SCHEMA = (
     "tables MAP<STRING, STRUCT<paths: ARRAY<STRING>, columns: ARRAY<STRING>, recordCount: BIGINT>>, "
     "offsets ARRAY<STRUCT<topic: STRING, partition: INT, offset: BIGINT>>"
 )
-# maxTime and bucketRows are only there when the next period may build on them (plans.snapshot).
+# minTime, maxTime and bucketRows are only there when the next period may build on them (plans.snapshot).
 BATCH_SCHEMA = (
     "id BIGINT, "
     "tables MAP<STRING, STRUCT<paths: ARRAY<STRING>, columns: ARRAY<STRING>, partitioning: ARRAY<INT>, "
     "partitionConf: STRUCT<columns: ARRAY<STRING>, partitions: INT>, recordCount: BIGINT, "
-    "maxTime: BIGINT, bucketRows: ARRAY<BIGINT>>>, "
+    "minTime: BIGINT, maxTime: BIGINT, bucketRows: ARRAY<BIGINT>>>, "
     "microBatches ARRAY<BIGINT>"
 )
 

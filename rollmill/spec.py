@@ -318,14 +318,26 @@ class Channel:
 
 @dataclass(frozen=True)
 class KafkaSource:
+    """``options`` go to the Kafka source as they are: security, ``maxOffsetsPerTrigger``,
+    ``minPartitions``. ``partitions`` (topic -> number of partitions) names those that may not have had
+    a row yet; the source wants all of them named when it starts from a manifest."""
+
     topics: tuple[str, ...]
     brokers: tuple[str, ...]
     earliest: bool = True
+    options: Mapping[str, str] = field(default_factory=dict)
+    partitions: Mapping[str, int] = field(default_factory=dict)
 
     @classmethod
     def from_dict(cls, doc: Mapping[str, Any]) -> KafkaSource:
         earliest = doc.get("earliest")
-        return cls(tuple(doc["topics"]), tuple(doc["brokers"]), True if earliest is None else bool(earliest))
+        return cls(
+            tuple(doc["topics"]),
+            tuple(doc["brokers"]),
+            True if earliest is None else bool(earliest),
+            {k: str(v) for k, v in (doc.get("options") or {}).items()},
+            {k: int(v) for k, v in (doc.get("partitions") or {}).items()},
+        )
 
 
 @dataclass(frozen=True)

@@ -22,7 +22,7 @@ from rollmill.session import configure, side_by_side
 from rollmill.sinks.manifests import send_manifest
 from rollmill.sinks.store import Written, write_micro_batch
 from rollmill.sources import kafka
-from rollmill.sources.manifests import MICRO_BATCH_SCHEMA, all_manifests, last_manifest
+from rollmill.sources.manifests import MICRO_BATCH_SCHEMA, all_manifests
 from rollmill.sources.records import BAD, RecordParser, good_records, record_parser
 from rollmill.spec import IndexerSpec, TableSpec, input_schema
 
@@ -56,6 +56,7 @@ class StreamJob:
         custom = indexer.real_time.processor
         make: Callable[[TableSpec], Processor] = load_hook(custom) if custom else rollup
         self.processors = {t.name: make(t) for t in self.tables} | dict(processors or {})
+        self.offsets: list[dict] | None = None  # of all partitions met, read from manifests at the first batch
 
     def parse(self, records: DataFrame) -> DataFrame:
         """Typed fields, the bad-record flag, the batch time, and both record counts as query metrics."""
@@ -91,6 +92,8 @@ class StreamJob:
             records = good_records(parsed, self.indexer.real_time.parse)
             # one parallel pass that fills the cache, and tells an empty batch
             batch_millis = records.agg(F.min(BATCH_TIME)).first()[0]
+            if kafka.OFFSET in parsed.columns:  # of a batch of bad records, too: the next manifest tells them
+                self.offsets = kafka.carried(self.known_offsets(), kafka.end_offsets(parsed))
             if batch_millis is None:
                 return
             tasks = {t.name: partial(self._save_table, t, records, batch_millis) for t in self.tables}
@@ -107,12 +110,19 @@ class StreamJob:
                 },
             }
             if kafka.OFFSET in parsed.columns:
-                manifest["offsets"] = kafka.end_offsets(parsed)
+                manifest["offsets"] = self.offsets
         finally:
             parsed.unpersist()
         self.notify(manifest)
         log.info("micro-batch %s (%s) written", batch_id, batch_millis)
 
+    def known_offsets(self) -> list[dict]:
+        """Where every partition met so far goes on."""
+        if self.offsets is None:
+            told = all_manifests(self.spark, self.indexer.real_time.channel, MICRO_BATCH_SCHEMA)
+            self.offsets = kafka.newest_offsets(told)
+        return self.offsets
+
     def source(self, partitions: Mapping[str, int] | None = None) -> DataFrame:
         """The stream the settings name: a hook ``(spark, indexer) -> DataFrame``, or Kafka."""
         real_time = self.indexer.real_time
@@ -120,9 +130,8 @@ class StreamJob:
             return load_hook(real_time.stream_source)(self.spark, self.indexer)
         if real_time.kafka is None:
             raise ValueError("no real-time source is set")
-        last = last_manifest(all_manifests(self.spark, real_time.channel, MICRO_BATCH_SCHEMA))
-        stored = last["offsets"] if last else None
-        offsets = kafka.starting_offsets(real_time.kafka, stored, partitions)
+        partitions = real_time.kafka.partitions if partitions is None else partitions
+        offsets = kafka.starting_offsets(real_time.kafka, self.known_offsets(), partitions)
         return kafka.read_stream(self.spark, real_time.kafka, offsets)
 
     def start(

@@ -71,9 +71,11 @@ def test_layout_cuts_heavy_parts():
 
 
 def test_layout_of_very_many_rows():
-    layout = Layout.plan({0: 10**12, 1: 2 * 10**12}, 2, 10)
-    assert layout.total_slots <= 32_768 + 2
-    assert max(layout.slots) == layout.slots[layout.parts[1]] >= 21_000
+    """The bound on a file holds for any number of rows, or the layout is refused."""
+    layout = Layout.plan({0: 10**12, 1: 2 * 10**12}, 2, 5_000_000)
+    assert layout.slots == (400_000, 200_000) and layout.total_slots == 600_000
+    with pytest.raises(ValueError, match="set rowsPerFile to 3000000 or more"):
+        Layout.plan({0: 10**12, 1: 2 * 10**12}, 2, 10)
 
 
 @pytest.mark.parametrize("rows_per_file", [50, 10_000])

@@ -3,6 +3,8 @@
 import glob
 import json
 import os
+import subprocess
+import sys
 from dataclasses import replace
 
 import pytest
@@ -11,11 +13,12 @@ from rollmill.jobs import main
 from rollmill.operators.rollup import rollup
 from rollmill.plans.batch import BatchJob
 from rollmill.sinks.store import write_micro_batch
+from rollmill.sources import kafka
 from rollmill.spec import ROLLUP_COUNT, Dimension, Metric, TableSpec
 from rollmill.streaming.job import METRICS, StreamJob
 from tests import stock
 
-NEXT_DAY = 1420329600000
+NEXT_DAY = 1463097600000
 
 
 def write_raw(folder, lines, name="a.txt"):
@@ -64,8 +67,9 @@ def test_stream_then_batch(spark, tmp_path, partitions):
         for folder in folders:
             companies = {line.split("\t")[0] for line in stock.store_lines(spark, f"{newest}/{folder}")}
             assert len(companies) == 1
-    # nothing is due any more
-    assert BatchJob(spark, indexer, [table]).run() == []
+    # nothing is due any more, and nothing came late
+    again = BatchJob(spark, indexer, [table])
+    assert again.run() == [] and again.late_paths == 0
 
 
 def _plain(doc):
@@ -77,9 +81,9 @@ def _plain(doc):
 def test_later_micro_batches_and_late_data(spark, tmp_path):
     table, indexer = stock.table(), stock.indexer(tmp_path)
     raw = tmp_path / "raw"
-    write_raw(raw, [l for l in stock.RAW_LINES if "2015-01-01" in l][:3], "a.txt")
+    write_raw(raw, [l for l in stock.RAW_LINES if "2016-05-10" in l][:3], "a.txt")
     run_stream(spark, indexer, [table], raw, tmp_path / "cp")
-    write_raw(raw, [l for l in stock.RAW_LINES if "2015-01-01" in l][3:], "b.txt")
+    write_raw(raw, [l for l in stock.RAW_LINES if "2016-05-10" in l][3:], "b.txt")
     run_stream(spark, indexer, [table], raw, tmp_path / "cp")
     micro = manifests(tmp_path, "rt")
     assert len(micro) == 2
@@ -89,16 +93,17 @@ def test_later_micro_batches_and_late_data(spark, tmp_path):
     (sent,) = BatchJob(spark, indexer, [table]).run(stock.PERIODS[1] + 1000)
     assert sent["microBatches"] == [m["id"] for m in micro]
     assert stock.store_lines(spark, f"{indexer.batch_root}/foo/dt={stock.PERIODS[0]}") == [
-        l for l in stock.GOLDEN if "2015-01-01" in l
+        l for l in stock.GOLDEN if "2016-05-10" in l
     ]
 
     # a late row of the first day is skipped for good; the third day follows over a gap
-    write_raw(raw, ["Late\t2015-01-01\t1.0", *(l for l in stock.RAW_LINES if "2015-01-03" in l)], "c.txt")
+    write_raw(raw, ["Late\t2016-05-10\t1.0", *(l for l in stock.RAW_LINES if "2016-05-12" in l)], "c.txt")
     run_stream(spark, indexer, [table], raw, tmp_path / "cp")
-    (sent,) = BatchJob(spark, indexer, [table]).run(NEXT_DAY)
-    assert sent["id"] == stock.PERIODS[2]
+    job = BatchJob(spark, indexer, [table])
+    (sent,) = job.run(NEXT_DAY)
+    assert sent["id"] == stock.PERIODS[2] and job.late_paths == 1
     assert stock.store_lines(spark, f"{indexer.batch_root}/foo/dt={stock.PERIODS[2]}") == [
-        l for l in stock.GOLDEN if "2015-01-02" not in l
+        l for l in stock.GOLDEN if "2016-05-11" not in l
     ]
 
 
@@ -109,7 +114,7 @@ def test_unnamed_micro_batch_is_not_read(spark, tmp_path):
     stray = f"{indexer.realtime_root}/foo/dt={stock.PERIODS[0]}/mb=5"
     os.makedirs(stray)
     with open(f"{stray}/part-0.txt", "w") as out:
-        out.write("Stray\t2015-01-01\t1.0\t1.0\t1.0\t1\n")
+        out.write("Stray\t2016-05-10\t1.0\t1.0\t1.0\t1\n")
     BatchJob(spark, indexer, [table]).run()
     assert stock.store_lines(spark, f"{indexer.batch_root}/foo/dt={stock.PERIODS[-1]}") == stock.GOLDEN
 
@@ -143,7 +148,7 @@ def test_fan_out_counts_and_empty_batches(spark, tmp_path):
     indexer = stock.indexer(tmp_path)
     parse = replace(indexer.real_time.parse, time_column=None, skip_bad_rows=True)
     indexer = replace(indexer, real_time=replace(indexer.real_time, parse=parse))
-    write_raw(tmp_path / "raw", [*stock.RAW_LINES, "IBM\tnever\t1.0", "IBM\t2015-01-01"])
+    write_raw(tmp_path / "raw", [*stock.RAW_LINES, "Tern\tnever\t1.0", "Tern\t2016-05-10"])
     query = run_stream(spark, indexer, [stock.table(), days], tmp_path / "raw", tmp_path / "cp")
     counts = [p["observedMetrics"][METRICS] for p in query.recentProgress if p["observedMetrics"]]
     assert sum(c["read"] for c in counts) == 12 and sum(c["bad"] for c in counts) == 2
@@ -153,22 +158,68 @@ def test_fan_out_counts_and_empty_batches(spark, tmp_path):
     period = micro["id"] // 86_400_000 * 86_400_000
     assert micro["tables"]["foo"]["paths"] == [f"{indexer.realtime_root}/foo/dt={period}/mb={micro['id']}"]
     assert stock.store_lines(spark, f"{indexer.realtime_root}/days") == [
-        "2015-01-01\t50.0\t4",
-        "2015-01-02\t89.22\t4",
-        "2015-01-03\t1.01\t2",
+        "2016-05-10\t7.5\t4",
+        "2016-05-11\t6.0\t4",
+        "2016-05-12\t2.25\t2",
     ]
-    write_raw(tmp_path / "raw", ["IBM\tnever\t1.0"], "b.txt")
+    write_raw(tmp_path / "raw", ["Tern\tnever\t1.0"], "b.txt")
     run_stream(spark, indexer, [stock.table(), days], tmp_path / "raw", tmp_path / "cp")
     assert len(manifests(tmp_path, "rt")) == 1
 
 
 def test_bad_line_fails_the_stream_by_default(spark, tmp_path):
-    write_raw(tmp_path / "raw", [*stock.RAW_LINES, "IBM\tnever\t1.0"])
+    write_raw(tmp_path / "raw", [*stock.RAW_LINES, "Tern\tnever\t1.0"])
     with pytest.raises(Exception, match="could not be parsed"):
         run_stream(spark, stock.indexer(tmp_path), [stock.table()], tmp_path / "raw", tmp_path / "cp")
     assert manifests(tmp_path, "rt") == []
 
 
+def test_offsets_of_bad_and_empty_batches_reach_the_next_manifest(spark, tmp_path):
+    """Records with places of their own, as Kafka gives them: partition 1 is idle at the end, and the
+    second batch has only bad records."""
+    table, indexer = stock.table(), stock.indexer(tmp_path)
+    parse = replace(indexer.real_time.parse, skip_bad_rows=True)
+    indexer = replace(indexer, real_time=replace(indexer.real_time, parse=parse))
+    schema = f"value string, {kafka.TOPIC} string, {kafka.PARTITION} int, {kafka.OFFSET} long"
+    job = StreamJob(spark, indexer, [table])
+
+    def batch(rows):
+        return job.parse(spark.createDataFrame(rows, schema))
+
+    good, bad = stock.RAW_LINES[0], "Tern\tnever\t1.0"
+    job.handle(batch([(good, "a", 0, 4), (good, "a", 1, 9)]), 0)
+    job.handle(batch([(bad, "a", 2, 3), (bad, "a", 0, 5)]), 1)
+    job.handle(batch([(good, "a", 0, 6)]), 2)
+    told = [{(o["topic"], o["partition"]): o["offset"] for o in m["offsets"]} for m in manifests(tmp_path, "rt")]
+    assert told == [{("a", 0): 5, ("a", 1): 10}, {("a", 0): 7, ("a", 1): 10, ("a", 2): 4}]
+    # a new job goes on from there
+    assert {o["partition"]: o["offset"] for o in StreamJob(spark, indexer, [table]).known_offsets()} == {0: 7, 1: 10, 2: 4}
+
+
+def test_interval_to_keep_needs_a_time(spark, tmp_path):
+    indexer = stock.indexer(tmp_path)
+    indexer = replace(indexer, batch=replace(indexer.batch, keep="2016-05-10/P1D"))
+    timeless = TableSpec("t", (Dimension("company"),), (Metric("n", "count"),))
+    with pytest.raises(ValueError, match="no time column to keep rows by"):
+        BatchJob(spark, indexer, [timeless])
+    BatchJob(spark, indexer, [stock.table()])
+
+
+def test_the_only_time_decides_what_is_kept(spark, tmp_path):
+    table, indexer = stock.table(), stock.indexer(tmp_path)
+    parse = replace(indexer.real_time.parse, time_column=None)
+    indexer = replace(
+        indexer,
+        real_time=replace(indexer.real_time, parse=parse),
+        batch=replace(indexer.batch, keep="2030-01-01/P1D"),
+    )
+    write_raw(tmp_path / "raw", stock.RAW_LINES)
+    run_stream(spark, indexer, [table], tmp_path / "raw", tmp_path / "cp")
+    (micro,) = manifests(tmp_path, "rt")
+    (sent,) = BatchJob(spark, indexer, [table]).run(micro["id"] + 86_400_000)
+    assert sent["tables"]["foo"]["recordCount"] == 0
+
+
 def test_no_source(spark, tmp_path):
     with pytest.raises(ValueError, match="no real-time source"):
         StreamJob(spark, stock.indexer(tmp_path), [stock.table()]).start(str(tmp_path / "cp"))
@@ -213,6 +264,27 @@ def test_jobs_by_settings_file(spark, tmp_path):
     assert manifests(tmp_path, "b")[-1]["tables"]["foo"]["recordCount"] == 6
 
 
+def test_readme_command(tmp_path):
+    """The top-level script starts on its own and reads its arguments."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    command = [sys.executable, f"{root}/run_job.py"]
+    shown = subprocess.run([*command, "--help"], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert shown.returncode == 0 and "settings" in shown.stdout
+    table = {"name": "foo", "dimensions": [{"name": "company"}], "metrics": [{"name": "n", "type": "count"}]}
+    channel = {"type": "file", "channel": str(tmp_path), "queue": "b"}
+    doc = {
+        "indexer": {"deepStorePath": f"{tmp_path}/store", "tables": ["foo"], "batch": {"notifier": channel},
+                    "realTime": {"notifier": {**channel, "queue": "rt"}}},
+        "tables": {"foo": table},
+    }
+    (tmp_path / "settings.json").write_text(json.dumps(doc))
+    ran = subprocess.run(
+        [*command, "batch", str(tmp_path / "settings.json")], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert ran.returncode == 0, ran.stderr[-2000:]
+
+
 def test_processing_time_trigger(spark, tmp_path):
     """A running stream picks new files up at its interval."""
     table, indexer = stock.table(), stock.indexer(tmp_path)
@@ -237,9 +309,9 @@ def test_json_stream_with_hooks(spark, tmp_path):
     indexer = replace(indexer, real_time=replace(indexer.real_time, parse=parse))
     docs = [json.dumps(dict(zip(("company", "timestamp", "stock_price"), r))) for r in stock.RAW]
     write_raw(tmp_path / "raw", [*docs, "{broken"])
-    no_ibm = {"foo": lambda df: rollup(table)(df.where("company != 'IBM'"))}
+    no_ibm = {"foo": lambda df: rollup(table)(df.where("company != 'Tern'"))}
     run_stream(spark, indexer, [table], tmp_path / "raw", tmp_path / "cp", processors=no_ibm)
-    assert stock.store_lines(spark, f"{indexer.realtime_root}/foo") == [l for l in stock.GOLDEN if "IBM" not in l]
+    assert stock.store_lines(spark, f"{indexer.realtime_root}/foo") == [l for l in stock.GOLDEN if "Tern" not in l]
 
 
 def test_time_column_must_be_a_time_dimension(spark, tmp_path):
@@ -259,7 +331,7 @@ def test_two_tables_and_a_gap_for_one(spark, tmp_path):
     """Tables advance on their own: one that had nothing in a period builds on its older snapshot."""
     one, two = stock.table("one"), stock.table("two")
     indexer = stock.indexer(tmp_path)
-    two_days = {"two": lambda df: rollup(two)(df.where("timestamp <> DATE'2015-01-02'"))}
+    two_days = {"two": lambda df: rollup(two)(df.where("timestamp <> DATE'2016-05-11'"))}
     write_raw(tmp_path / "raw", stock.RAW_LINES)
     run_stream(spark, indexer, [one, two], tmp_path / "raw", tmp_path / "cp", processors=two_days)
     sent = BatchJob(spark, indexer, [one, two]).run()
@@ -267,7 +339,7 @@ def test_two_tables_and_a_gap_for_one(spark, tmp_path):
     last = stock.PERIODS[-1]
     assert stock.store_lines(spark, f"{indexer.batch_root}/one/dt={last}") == stock.GOLDEN
     assert stock.store_lines(spark, f"{indexer.batch_root}/two/dt={last}") == [
-        l for l in stock.GOLDEN if "2015-01-02" not in l
+        l for l in stock.GOLDEN if "2016-05-11" not in l
     ]
     assert BatchJob(spark, indexer, [one, two]).published()[0] == last
 

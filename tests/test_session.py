@@ -16,7 +16,7 @@ def test_shared_dir_is_the_one_the_session_names(spark):
 def test_cluster_without_shared_dir_is_refused():
     class Conf:
         def get(self, key, default=None):
-            return {"spark.master": "spark://host:7077"}.get(key, default)
+            return {"spark.master": "spark://host:7077", "spark.sql.warehouse.dir": "file:/tmp/wh"}.get(key, default)
 
     class Session:
         conf = Conf()
@@ -25,17 +25,20 @@ def test_cluster_without_shared_dir_is_refused():
         shared_dir(Session())
 
 
-def test_local_session_without_shared_dir_gets_a_temporary_one():
+@pytest.mark.parametrize("master, warehouse", [("local[2]", "file:/tmp/wh"), ("yarn", "hdfs://store/wh")])
+def test_without_the_setting_the_warehouse_is_the_shared_place(master, warehouse):
+    settings = {"spark.master": master, "spark.sql.warehouse.dir": warehouse}
+
     class Session:
         class conf:  # noqa: N801
-            get = staticmethod(lambda key, default=None: {"spark.master": "local[2]"}.get(key, default))
+            get = staticmethod(lambda key, default=None: settings.get(key, default))
 
-    assert shared_dir(Session) == shared_dir(Session)
+    assert shared_dir(Session) == f"{warehouse}/_scratch"
 
 
 def test_shuffle_sizing(spark):
     assert shuffle_partitions(0, 200) == 200
-    assert shuffle_partitions(10**13, 200) == 32_768
+    assert shuffle_partitions(10**14, 200) == 2_235_175  # 256 MiB each, at any size
     assert shuffle_partitions(10**11, 200) == 2236
     child = own_session(spark)
     before = spark.conf.get("spark.sql.shuffle.partitions")

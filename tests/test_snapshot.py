@@ -173,7 +173,7 @@ def test_legacy_manifest_and_unknown_table(spark, tmp_path):
     }
     (folder / "1511871925000.msg").write_text(json.dumps(doc, indent=2))
     for period in stock.PERIODS:
-        day = f"2015-01-0{stock.PERIODS.index(period) + 1}"
+        day = f"2016-05-{10 + stock.PERIODS.index(period)}"
         lines = [l for l in stock.GOLDEN if f"\t{day}\t" in l]
         target = f"{indexer.realtime_root}/foo/dt={period}/mb=1511871925000"
         spark.createDataFrame([(l,) for l in lines], "value STRING").coalesce(1).write.option(

@@ -5,6 +5,8 @@ Queries that need files keep them below the shared folder of the session (``roll
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +19,14 @@ from rollmill.operators.balance import (
     bucket_weights,
     place,
 )
+from rollmill.operators.chain import chain
 from rollmill.operators.rollup import finalise, rerollup, rollup, truncate_column
 from rollmill.plans.batch import BatchJob
-from rollmill.plans.worklist import late_entries, open_periods, period_entries
+from rollmill.plans.worklist import late_entries, open_periods, period_entries, published_entries
 from rollmill.session import scratch_path
 from rollmill.sinks.manifests import send_manifest
-from rollmill.sinks.store import write_micro_batch, write_snapshot
+from rollmill.sinks.store import Written, write_micro_batch, write_snapshot
+from rollmill.sources import kafka
 from rollmill.sources.manifests import BATCH_SCHEMA, MICRO_BATCH_SCHEMA, all_manifests, last_manifest
 from rollmill.sources.store import parse_lines, read_lines, read_snapshot
 from rollmill.spec import (
@@ -126,10 +130,24 @@ def period_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def late_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    late = late_entries(period_entries(_micro_manifests(spark, sf_dir)), LAST_DONE)
+    """What came late if every period took in its micro-batches of even number."""
+    entries = period_entries(_micro_manifests(spark, sf_dir))
+    taken = entries.where(F.col("micro_batch") % 2 == 0).groupBy(F.col("period").alias("id"))
+    taken = taken.agg(F.collect_set("micro_batch").alias("microBatches"))
+    late = late_entries(entries, LAST_DONE, published_entries(taken))
     return late.groupBy("period", "table").agg(F.count(F.lit(1)).alias("paths"))
 
 
+def tell(
+    spark: SparkSession, job: IndexerSpec, table: TableSpec, events: DataFrame, batch_millis: int, period_millis: int
+) -> None:
+    """Store events as one micro-batch and send its manifest."""
+    rows = events.transform(rollup(table))
+    done = write_micro_batch(rows, table, job.realtime_root, period_millis, batch_millis, "ts")
+    info = {"paths": list(done.paths), "columns": table.columns, "recordCount": done.rows}
+    send_manifest(spark, job.real_time.channel, {"id": batch_millis, "tables": {table.name: info}})
+
+
 def run_history(spark: SparkSession, sf_dir: str, name: str, table: TableSpec, **batch) -> tuple[IndexerSpec, list]:
     """Store all events as two micro-batches (mornings, afternoons), which meet in every period, and
     close all periods."""
@@ -137,10 +155,7 @@ def run_history(spark: SparkSession, sf_dir: str, name: str, table: TableSpec, *
     events = load(spark, sf_dir, "events")
     morning = F.hour("ts") < 12
     for batch_millis, half in ((LATER, morning), (LATER + 1, ~morning)):
-        rows = events.where(half).transform(rollup(table))
-        done = write_micro_batch(rows, table, job.realtime_root, WEEK, batch_millis, "ts")
-        info = {"paths": list(done.paths), "columns": table.columns, "recordCount": done.rows}
-        send_manifest(spark, job.real_time.channel, {"id": batch_millis, "tables": {table.name: info}})
+        tell(spark, job, table, events.where(half), batch_millis, WEEK)
     return job, BatchJob(spark, job, [table]).run(LATER)
 
 
@@ -153,7 +168,7 @@ def snapshot_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         snapshot = read_snapshot(spark, table, job.batch_root, manifest["id"])
         per_type = snapshot.transform(finalise(table, by=["event_type"])).withColumn("period", F.lit(manifest["id"]))
         rows = per_type if rows is None else rows.unionByName(per_type)
-    return shown(rows.drop("value_avg"), 4)
+    return shown(rows, 4)
 
 
 def snapshot_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +181,58 @@ def snapshot_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
         partitioning=Partitioning(("event_type",), 3),
         sort_columns=("user_id", "ts"),
     )
-    return shown(read_snapshot(spark, USER_CUBE, job.batch_root, sent[-1]["id"]), 4)
+    return with_parts(spark, job, USER_CUBE, sent[-1]["id"])
+
+
+def with_parts(spark: SparkSession, job: IndexerSpec, table: TableSpec, period: int) -> DataFrame:
+    """A partitioned snapshot with the part each row is in."""
+    base = f"{job.batch_root}/{table.name}/dt={period}"
+    return shown(parse_lines(read_lines(spark, base, base).select("value", "part"), table), 4)
+
+
+CLOSED = 1_705_536_000_000  # 2024-01-18, the begin of a week
+
+
+def late_after_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two micro-batches, a batch job, a late and a punctual micro-batch, two batch jobs: what the last
+    snapshot holds, and how many paths each job found late."""
+    table = event_cube("hour", "cube")
+    job = indexer(scratch_path(spark, "late-after-close"), period="P7D")
+    events = load(spark, sf_dir, "events")
+    old, turn = period_of(F.col("ts"), WEEK) < CLOSED, F.col("event_id") % 4
+    tell(spark, job, table, events.where(old & (turn == 0)), LATER, WEEK)
+    tell(spark, job, table, events.where(old & (turn == 1)), LATER + 1, WEEK)
+    batch = BatchJob(spark, job, [table])
+    first = batch.run(LATER)
+    late = [batch.late_paths]
+    tell(spark, job, table, events.where(old & (turn > 1)), LATER + 2, WEEK)
+    tell(spark, job, table, events.where(~old), LATER + 3, WEEK)
+    second = batch.run(LATER)
+    late.append(batch.late_paths)
+    third = batch.run(LATER)
+    late.append(batch.late_paths)
+    rows = read_snapshot(spark, table, job.batch_root, second[-1]["id"]).transform(finalise(table, by=["event_type"]))
+    told = {"late_first": late[0], "late_second": late[1], "late_third": late[2]}
+    told |= {"sent_first": len(first), "sent_second": len(second), "sent_third": len(third)}
+    return shown(rows, 4).withColumns({n: F.lit(v).cast("bigint") for n, v in told.items()})
+
+
+def kafka_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets after each of four batches, of which every one leaves some partitions idle."""
+    events = load(spark, sf_dir, "events").withColumn("p", F.col("user_id") % 3)
+    rows = events.withColumn("batch", F.col("p") + F.col("event_id") % 2)
+    order = Window.partitionBy("event_type", "p").orderBy("batch", "event_id")
+    rows = rows.select(
+        "batch",
+        F.col("event_type").alias(kafka.TOPIC),
+        F.col("p").cast("int").alias(kafka.PARTITION),
+        (F.row_number().over(order) - 1).cast("bigint").alias(kafka.OFFSET),
+    )
+    told, out = [], []
+    for batch in range(4):
+        told = kafka.carried(told, kafka.end_offsets(rows.where(F.col("batch") == batch)))
+        out += [(batch, o["topic"], o["partition"], o["offset"]) for o in told]
+    return spark.createDataFrame(out, "batch bigint, topic string, part int, next bigint")
 
 
 def snapshot_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,7 +298,8 @@ def buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sorted_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written parts, read back: the rows of every part and how many stand out of order in their file."""
+    """Written parts, read back: the rows of every part and key, and how many stand out of order in
+    their file."""
     root = scratch_path(spark, "sorted-parts")
     by_status = Partitioning(("linestatus", "returnflag"), 4)
     rolled = load(spark, sf_dir, "lineitem").transform(rollup(LINE_CUBE))
@@ -247,23 +314,28 @@ def sorted_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = parse_lines(lines, LINE_CUBE).withColumn("key", F.struct("shipdate", "returnflag"))
     before = F.lag("key").over(Window.partitionBy("file").orderBy("line"))
     wrong = F.when(F.col("key") < F.col("before"), 1).otherwise(0)
-    return rows.withColumn("before", before).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum("lines").alias("lines"),
-        F.count_distinct("part").alias("parts"),
-        F.sum(wrong).alias("out_of_order"),
+    return (
+        rows.withColumn("before", before)
+        .groupBy("linestatus", "returnflag", "part")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum("lines").alias("lines"),
+            F.sum(wrong).cast("bigint").alias("out_of_order"),
+        )
     )
 
 
-def event_stream(spark: SparkSession, sf_dir: str, name: str, tables: list[TableSpec], **batch):
+def event_stream(
+    spark: SparkSession, sf_dir: str, name: str, tables: list[TableSpec], kind=StreamJob, change=lambda job: job, **batch
+):
     """All events as text files through the streaming job."""
     root = scratch_path(spark, name)
     events = load(spark, sf_dir, "events")
     raw = delimited(events, EVENT_COLUMNS, "\t", ts=F.unix_micros("ts").cast("string"))
     raw.write.text(f"{root}/raw")
-    job = indexer(root, **batch)
+    job = change(indexer(root, **batch))
     records = spark.readStream.option("maxBytesPerTrigger", 256 * 1024**3).text(f"{root}/raw")
-    query = StreamJob(spark, job, tables).start(f"{root}/checkpoint", records, available_now=True)
+    query = kind(spark, job, tables).start(f"{root}/checkpoint", records, available_now=True)
     query.awaitTermination()
     return job
 
@@ -273,6 +345,78 @@ def _stored(spark: SparkSession, job: IndexerSpec, table: TableSpec) -> DataFram
     return parse_lines(read_lines(spark, base, base).select("value"), table).transform(rerollup(table))
 
 
+def stream_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stream in five micro-batches: good records, only bad ones, an empty file, good ones twice.
+    Only those with good records are told of."""
+    root, table = scratch_path(spark, "steps"), event_cube("hour", "cube")
+    job = indexer(root)
+    job = replace(job, real_time=replace(job.real_time, parse=replace(job.real_time.parse, skip_bad_rows=True)))
+    events = load(spark, sf_dir, "events")
+    good = [
+        delimited(events.where(F.col("event_id") % 3 == k), EVENT_COLUMNS, "\t", ts=F.unix_micros("ts").cast("string"))
+        for k in range(3)
+    ]
+    bad = delimited(events, EVENT_COLUMNS, "\t", ts=F.lit("never"))
+    for step in (good[0], bad, bad.limit(0).coalesce(1), good[1], good[2]):
+        step.write.mode("append").text(f"{root}/raw")
+        records = spark.readStream.text(f"{root}/raw")
+        StreamJob(spark, job, [table]).start(f"{root}/checkpoint", records, available_now=True).awaitTermination()
+    told = all_manifests(spark, job.real_time.channel, MICRO_BATCH_SCHEMA).count()
+    return shown(_stored(spark, job, table), 4).withColumn("manifests", F.lit(told).cast("bigint"))
+
+
+def doubled(table: TableSpec):
+    """A real-time processor for settings to name."""
+    return chain(lambda df: df.withColumn("value", F.col("value") * 2), rollup(table))
+
+
+def raised(table: TableSpec):
+    """A batch processor for settings to name."""
+    return chain(rerollup(table), lambda df: df.withColumn("value_max", F.col("value_max") + 1))
+
+
+def processors_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both jobs with the processors that the settings name."""
+    table = event_cube("hour", "cube")
+
+    def named(job: IndexerSpec) -> IndexerSpec:
+        real_time = replace(job.real_time, processor="workloads.store:doubled")
+        return replace(job, real_time=real_time, batch=replace(job.batch, processor="workloads.store:raised"))
+
+    # One period for all, so that the batch processor sees every row once.
+    job = event_stream(spark, sf_dir, "named", [table], change=named, period="P9000D")
+    (sent,) = BatchJob(spark, job, [table]).run(27_000 * DAY)
+    return shown(read_snapshot(spark, table, job.batch_root, sent["id"]), 4)
+
+
+class Mirrored(StreamJob):
+    """Steps of one's own: events count for the day before, and every table is stored twice."""
+
+    def process(self, table: TableSpec, records: DataFrame) -> DataFrame:
+        return super().process(table, records.withColumn("ts", F.col("ts") - F.expr("INTERVAL 1 DAY")))
+
+    def save(self, table: TableSpec, rows: DataFrame, batch_millis: int) -> Written:
+        super().save(replace(table, name=f"{table.name}_mirror"), rows, batch_millis)
+        return super().save(table, rows, batch_millis)
+
+
+def overridden_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = event_cube("hour", "cube")
+    job = event_stream(spark, sf_dir, "mirrored", [table], kind=Mirrored)
+    mirror = _stored(spark, job, replace(table, name="cube_mirror"))
+    both = _stored(spark, job, table).withColumn("copy", F.lit(1)).unionByName(mirror.withColumn("copy", F.lit(2)))
+    return shown(both, 4)
+
+
+def table_layout_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table's own partitioning and order against the indexer's, seen in the written parts."""
+    own = replace(USER_CUBE, partitioning=Partitioning(("user_id",), 4), sort_columns=("ts",))
+    job, sent = run_history(
+        spark, sf_dir, "own-layout", own, partitioning=Partitioning(("event_type",), 2), sort_columns=("user_id",)
+    )
+    return with_parts(spark, job, own, sent[-1]["id"])
+
+
 def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = event_cube("hour", "cube")
     job = event_stream(spark, sf_dir, "stream", [table])
@@ -294,20 +438,25 @@ def stream_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "both", [USER_CUBE], period="P7D", partitioning=Partitioning(("user_id",), 4)
     )
     sent = BatchJob(spark, job, [USER_CUBE]).run(LATER)
-    return shown(read_snapshot(spark, USER_CUBE, job.batch_root, sent[-1]["id"]), 4)
+    return with_parts(spark, job, USER_CUBE, sent[-1]["id"])
 
 
 def manifest_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Periods the stream's manifests name, and the last manifest among them."""
-    table = event_cube("hour", "cube")
-    job = event_stream(spark, sf_dir, "manifests", [table])
+    """What the manifests of two micro-batches say, and which of them is the last."""
+    table, job = event_cube("hour", "cube"), indexer(scratch_path(spark, "manifests"))
+    events = load(spark, sf_dir, "events")
+    # Ids of different length: the last is that by number.
+    for batch, own in ((999, F.hour("ts") < 12), (1000, F.hour("ts") >= 12)):
+        tell(spark, job, table, events.where(own), batch, DAY)
     told = all_manifests(spark, job.real_time.channel, MICRO_BATCH_SCHEMA)
-    last = last_manifest(told)
-    return (
-        period_entries(told)
-        .groupBy("period", "table")
-        .agg((F.max("micro_batch") <= F.lit(last["id"])).alias("not_after_last"))
+    info = F.col("tables")["cube"]
+    per_batch = told.select(
+        F.col("id").alias("micro_batch"),
+        info["recordCount"].alias("record_count"),
+        F.array_join(info["columns"], ",").alias("columns"),
+        (F.col("id") == last_manifest(told)["id"]).alias("is_last"),
     )
+    return period_entries(told).select("period", "table", "micro_batch").join(per_batch, "micro_batch")
 
 
 # crc32 of a text, bit by bit.
@@ -351,6 +500,34 @@ _MICRO_SQL = f"""
     SELECT epoch_us(date_trunc('hour', ts)) // 1000 + user_id AS id, 'events_' || event_type AS t,
            {_DAY_PERIOD} AS period FROM events"""
 
+_USER_SQL = f"SELECT user_id, event_type, date_trunc('hour', ts) AS ts, {_CUBE} FROM events GROUP BY 1, 2, 3"
+
+
+def _with_parts_sql(rolled: str, key: str, parts: int, columns: str = "* EXCLUDE (bucket)", rest: str = "") -> str:
+    """Rolled-up rows with the part that the checksum of their key is packed into, heaviest bucket first."""
+    zeros = "[" + ", ".join(["0"] * parts) + "]::BIGINT[]"
+    return f"""
+WITH RECURSIVE rolled AS ({rolled}),
+keys AS (SELECT DISTINCT {key} AS t FROM rolled),
+keyed AS (SELECT t, CAST({_crc32('t')} % {parts} AS INTEGER) AS bucket FROM keys),
+bucketed AS (SELECT rolled.*, bucket FROM rolled JOIN keyed ON t = {key}),
+weights AS (SELECT bucket, count(*) AS weight FROM bucketed GROUP BY 1),
+queue AS (SELECT *, row_number() OVER (ORDER BY weight DESC, bucket) AS turn,
+                 CAST(sum(weight) OVER () AS BIGINT) // {parts} AS most FROM weights),
+packed(turn, bucket, bin, totals) AS (
+  SELECT CAST(0 AS BIGINT), CAST(NULL AS INTEGER), CAST(NULL AS BIGINT), {zeros}
+  UNION ALL
+  SELECT turn, bucket, bin,
+         list_transform(range(1, {parts} + 1), lambda j: totals[j] + CASE WHEN j = bin THEN weight ELSE 0 END)
+  FROM (SELECT q.turn, q.bucket, q.weight, p.totals,
+               CAST(coalesce(list_filter(range(1, {parts} + 1), lambda j: p.totals[j] + q.weight <= q.most)[1],
+                             list_position(p.totals, list_min(p.totals))) AS BIGINT) AS bin
+        FROM packed p JOIN queue q ON q.turn = p.turn + 1)
+),
+placed AS (SELECT b.*, CAST(p.bin - 1 AS INTEGER) AS part FROM bucketed b JOIN packed p ON p.bucket = b.bucket)
+SELECT {columns} FROM placed {rest}"""
+
+
 WORKLOADS = {
     "period_event_time": Workload(
         period_event_time,
@@ -379,18 +556,34 @@ WORKLOADS = {
     "late_paths": Workload(
         late_paths,
         f"""SELECT period, t AS "table", count(*) AS paths
-            FROM (SELECT DISTINCT id, t, period FROM ({_MICRO_SQL})) WHERE period <= {LAST_DONE} GROUP BY 1, 2""",
+            FROM (SELECT DISTINCT id, t, period FROM ({_MICRO_SQL})) WHERE period <= {LAST_DONE} AND id % 2 = 1 GROUP BY 1, 2""",
     ),
     "snapshot_chain": Workload(
         snapshot_chain,
         f"""SELECT p.period, event_type, round(sum(value), 4) AS value_sum, round(min(value), 4) AS value_min,
-                   round(max(value), 4) AS value_max, count(*) AS events
+                   round(max(value), 4) AS value_max, round(sum(value) / count(*), 4) AS value_avg, count(*) AS events
             FROM (SELECT DISTINCT {_WEEK_PERIOD} AS period FROM events) p
             JOIN events e ON {_WEEK_PERIOD} <= p.period GROUP BY 1, 2""",
     ),
-    "snapshot_balanced": Workload(
-        snapshot_balanced,
-        f"SELECT user_id, event_type, date_trunc('hour', ts) AS ts, {_CUBE} FROM events GROUP BY 1, 2, 3",
+    "snapshot_balanced": Workload(snapshot_balanced, _with_parts_sql(_USER_SQL, "event_type", 3)),
+    "late_after_close": Workload(
+        late_after_close,
+        f"""WITH e AS (SELECT *, {_WEEK_PERIOD} AS period, {_WEEK_PERIOD} < {CLOSED} AS old FROM events)
+            SELECT event_type, round(sum(value), 4) AS value_sum, round(min(value), 4) AS value_min,
+                   round(max(value), 4) AS value_max, round(sum(value) / count(*), 4) AS value_avg, count(*) AS events,
+                   CAST(0 AS BIGINT) AS late_first, late AS late_second, late AS late_third, sent AS sent_first,
+                   fresh AS sent_second, CAST(0 AS BIGINT) AS sent_third
+            FROM e, (SELECT count(DISTINCT period) FILTER (old AND event_id % 4 > 1) AS late,
+                            count(DISTINCT period) FILTER (old AND event_id % 4 <= 1) AS sent,
+                            count(DISTINCT period) FILTER (NOT old) AS fresh FROM e)
+            WHERE NOT old OR event_id % 4 <= 1 GROUP BY event_type, late, sent, fresh""",
+    ),
+    "kafka_offsets": Workload(
+        kafka_offsets,
+        """WITH e AS (SELECT event_type AS topic, user_id % 3 AS p, user_id % 3 + event_id % 2 AS batch FROM events),
+                b AS (SELECT unnest(range(4)) AS batch)
+           SELECT b.batch, topic, CAST(p AS INTEGER) AS part, count(*) AS next
+           FROM e JOIN b ON e.batch <= b.batch GROUP BY 1, 2, 3""",
     ),
     "snapshot_monthly": Workload(
         snapshot_monthly,
@@ -425,10 +618,15 @@ WORKLOADS = {
     ),
     "sorted_parts": Workload(
         sorted_parts,
-        """SELECT count(*) AS rows, CAST(sum(n) AS BIGINT) AS lines, least(4, count(DISTINCT flags)) AS parts,
-                  CAST(0 AS BIGINT) AS out_of_order
-           FROM (SELECT l_linestatus || l_returnflag AS flags, date_trunc('day', l_shipdate), count(*) AS n
-                 FROM lineitem GROUP BY 1, 2)""",
+        _with_parts_sql(
+            """SELECT l_linestatus AS linestatus, l_returnflag AS returnflag, date_trunc('day', l_shipdate) AS d,
+                      count(*) AS n FROM lineitem GROUP BY 1, 2, 3""",
+            "linestatus || returnflag",
+            4,
+            """linestatus, returnflag, part, count(*) AS rows, CAST(sum(n) AS BIGINT) AS lines,
+               CAST(0 AS BIGINT) AS out_of_order""",
+            "GROUP BY 1, 2, 3",
+        ),
     ),
     "stream_equals_batch": Workload(
         stream_equals_batch,
@@ -440,12 +638,33 @@ WORKLOADS = {
             UNION ALL
             SELECT event_type, CAST(date_trunc('month', ts) AS TIMESTAMP) AS ts, {_CUBE} FROM events GROUP BY 1, 2""",
     ),
-    "stream_then_batch": Workload(
-        stream_then_batch,
-        f"SELECT user_id, event_type, date_trunc('hour', ts) AS ts, {_CUBE} FROM events GROUP BY 1, 2, 3",
+    "stream_then_batch": Workload(stream_then_batch, _with_parts_sql(_USER_SQL, "CAST(user_id AS VARCHAR)", 4)),
+    "table_layout_wins": Workload(table_layout_wins, _with_parts_sql(_USER_SQL, "CAST(user_id AS VARCHAR)", 4)),
+    "stream_in_steps": Workload(
+        stream_in_steps,
+        f"""SELECT event_type, date_trunc('hour', ts) AS ts, {_CUBE}, CAST(3 AS BIGINT) AS manifests
+            FROM events GROUP BY 1, 2""",
+    ),
+    "processors_by_name": Workload(
+        processors_by_name,
+        """SELECT event_type, date_trunc('hour', ts) AS ts, round(sum(value * 2), 4) AS value_sum,
+                  round(min(value * 2), 4) AS value_min, round(max(value * 2) + 1, 4) AS value_max,
+                  round(sum(value * 2), 4) AS value_avg, count(*) AS events
+           FROM events GROUP BY 1, 2""",
+    ),
+    "overridden_steps": Workload(
+        overridden_steps,
+        f"""SELECT event_type, date_trunc('hour', ts - INTERVAL 1 DAY) AS ts, {_CUBE}, copy
+            FROM events, (SELECT unnest([1, 2])::INTEGER AS copy) GROUP BY 1, 2, copy""",
     ),
     "manifest_contents": Workload(
         manifest_contents,
-        f"SELECT DISTINCT {_DAY_PERIOD} AS period, 'cube' AS \"table\", true AS not_after_last FROM events",
+        f"""WITH e AS (SELECT *, CASE WHEN hour(ts) < 12 THEN 999 ELSE 1000 END::BIGINT AS micro_batch FROM events),
+                 n AS (SELECT micro_batch, count(DISTINCT (event_type, date_trunc('hour', ts))) AS record_count
+                       FROM e GROUP BY 1)
+            SELECT DISTINCT {_DAY_PERIOD} AS period, 'cube' AS "table", micro_batch, record_count,
+                   'event_type,ts,value_sum,value_min,value_max,value_avg,events' AS columns,
+                   micro_batch = 1000 AS is_last
+            FROM e JOIN n USING (micro_batch)""",
     ),
 }
