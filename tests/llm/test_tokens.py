@@ -19,7 +19,7 @@ from rollmill.llm.bpe import Encoder, encoder
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PLAIN = Tokenizer.from_file(PATH)
 PLAIN.encode_special_tokens = True
-ALPHABET = "abT 'sllééß中,.!?\n\t 12  \x1c\x85|<>endoftext"
+ALPHABET = "abT 'sllééß中,.!?\n\t 12  \x1c\x85|<>_-%#$*()[]`~endoftext"
 
 
 def ids_of(text):
