@@ -17,6 +17,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder; none if there is no such folder."""
+    fs, where = _open(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, where = _open(spark, path)
     fs.delete(where, True)

@@ -20,7 +20,7 @@ from rollmill.plans.snapshot import History, kept_by, publish_snapshot
 from rollmill.plans.worklist import late_entries, open_periods, period_entries, published_entries
 from rollmill.session import configure, own_session, side_by_side, size_shuffles
 from rollmill.sinks.manifests import send_manifest
-from rollmill.sources.manifests import BATCH_SCHEMA, MICRO_BATCH_SCHEMA, all_manifests
+from rollmill.sources.manifests import BATCH_SCHEMA, MICRO_BATCH_SCHEMA, all_manifests, fold_manifests
 from rollmill.sources.store import read_micro_batches, read_snapshot
 from rollmill.spec import IndexerSpec, TableSpec
 
@@ -77,12 +77,16 @@ class BatchJob:
         )
 
     def run(self, now_millis: int | None = None) -> list[dict[str, Any]]:
-        """Publish what is due and return the manifests sent; ``late_paths`` then tells what came too late."""
+        """Publish what is due and return the manifests sent; ``late_paths`` then tells what came too late.
+
+        Messages whose periods are all published are folded away, so a run reads those since the last
+        one, and a late path is counted until its message is folded.
+        """
         now = int(time.time() * 1000) if now_millis is None else now_millis
         length = self.indexer.batch.period_millis
         current = now // length * length
         last_done, newest = self.published()
-        micro = all_manifests(self.spark, self.indexer.real_time.channel, MICRO_BATCH_SCHEMA)
+        micro = all_manifests(self.spark, self.indexer.real_time.channel, MICRO_BATCH_SCHEMA, after=last_done)
         entries = period_entries(micro).persist()
         try:
             done = all_manifests(self.spark, self.indexer.batch.channel, BATCH_SCHEMA)
@@ -104,4 +108,5 @@ class BatchJob:
             send_manifest(self.spark, self.indexer.batch.channel, manifest)
             newest |= {name: (period, info) for name, info in infos.items()}
             sent.append(manifest)
+        fold_manifests(self.spark, self.indexer.real_time.channel, MICRO_BATCH_SCHEMA, sent[-1]["id"] if sent else last_done)
         return sent

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollmill.sources.manifests import PERIOD_IN_PATH
+
 
 def period_entries(micro_manifests: DataFrame) -> DataFrame:
     """One row per written path: period, micro-batch, table."""
@@ -12,7 +14,7 @@ def period_entries(micro_manifests: DataFrame) -> DataFrame:
         micro_manifests.select(F.col("id").alias("micro_batch"), F.explode("tables").alias("table", "info"))
         .select("micro_batch", "table", F.explode("info.paths").alias("path"))
         .select(
-            F.regexp_extract("path", r"(?:^|.*/)dt=(\d+)(?:/|$)", 1).try_cast("bigint").alias("period"),
+            F.regexp_extract("path", PERIOD_IN_PATH, 1).try_cast("bigint").alias("period"),
             "micro_batch",
             "table",
             "path",

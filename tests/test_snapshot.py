@@ -1,5 +1,6 @@
 """Snapshots: the short way must give what the plain way gives, and be taken only when proved."""
 
+import glob
 import json
 from dataclasses import replace
 
@@ -13,7 +14,14 @@ from rollmill.plans.batch import BatchJob
 from rollmill.plans.snapshot import History, keys_are_new
 from rollmill.sinks.manifests import send_manifest
 from rollmill.sinks.store import write_micro_batch
-from rollmill.sources.manifests import BATCH_SCHEMA, all_manifests, last_manifest
+from rollmill.sources.manifests import (
+    BATCH_SCHEMA,
+    MICRO_BATCH_SCHEMA,
+    all_manifests,
+    fold_manifests,
+    last_id,
+    last_manifest,
+)
 from rollmill.spec import Channel, Dimension, Metric, TableSpec
 from tests import stock
 
@@ -202,3 +210,26 @@ def test_manifest_order(spark, tmp_path):
             send_manifest(spark, wrong, {"id": 1})
         with pytest.raises(ValueError, match="unsupported"):
             all_manifests(spark, wrong, BATCH_SCHEMA)
+
+
+def test_published_messages_are_folded(spark, tmp_path):
+    """Files of published micro-batches become one table, read by partition; nothing is told twice."""
+    indexer = stock.indexer(tmp_path, None)
+    channel = indexer.real_time.channel
+    for batch in range(4):
+        feed(spark, indexer, TABLE, raw_days(spark, 2, rows=50), FIRST + 5 * DAY + batch)
+    everything = sorted(r["id"] for r in all_manifests(spark, channel, MICRO_BATCH_SCHEMA).collect())
+    sent = BatchJob(spark, indexer, [TABLE]).run(FIRST + 9 * DAY)
+    left = [p for p in glob.glob(f"{tmp_path}/rt/*.msg")]
+    assert len(left) == 1 and last_id(spark, channel) == FIRST + 5 * DAY + 3
+    again = all_manifests(spark, channel, MICRO_BATCH_SCHEMA)
+    assert sorted(r["id"] for r in again.collect()) == everything
+    late = all_manifests(spark, channel, MICRO_BATCH_SCHEMA, after=sent[-1]["id"])
+    assert "PartitionFilters: [isnotnull(newest" in late._jdf.queryExecution().executedPlan().toString()
+    assert [r["id"] for r in late.collect()] == [FIRST + 5 * DAY + 3]
+    # an interrupted fold leaves a message in both places
+    with open(f"{tmp_path}/rt/{FIRST + 5 * DAY}.msg", "w") as out:
+        out.write(json.dumps({"id": FIRST + 5 * DAY, "tables": {}}))
+    assert sorted(r["id"] for r in all_manifests(spark, channel, MICRO_BATCH_SCHEMA).collect()) == everything
+    assert fold_manifests(spark, channel, MICRO_BATCH_SCHEMA, sent[-1]["id"]) == 1
+    assert BatchJob(spark, indexer, [TABLE]).run(FIRST + 9 * DAY) == []

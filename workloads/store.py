@@ -195,7 +195,7 @@ CLOSED = 1_705_536_000_000  # 2024-01-18, the begin of a week
 
 def late_after_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two micro-batches, a batch job, a late and a punctual micro-batch, two batch jobs: what the last
-    snapshot holds, and how many paths each job found late."""
+    snapshot holds, and how many paths each job found late (nothing new, nothing late)."""
     table = event_cube("hour", "cube")
     job = indexer(scratch_path(spark, "late-after-close"), period="P7D")
     events = load(spark, sf_dir, "events")
@@ -571,7 +571,7 @@ WORKLOADS = {
         f"""WITH e AS (SELECT *, {_WEEK_PERIOD} AS period, {_WEEK_PERIOD} < {CLOSED} AS old FROM events)
             SELECT event_type, round(sum(value), 4) AS value_sum, round(min(value), 4) AS value_min,
                    round(max(value), 4) AS value_max, round(sum(value) / count(*), 4) AS value_avg, count(*) AS events,
-                   CAST(0 AS BIGINT) AS late_first, late AS late_second, late AS late_third, sent AS sent_first,
+                   CAST(0 AS BIGINT) AS late_first, late AS late_second, CAST(0 AS BIGINT) AS late_third, sent AS sent_first,
                    fresh AS sent_second, CAST(0 AS BIGINT) AS sent_third
             FROM e, (SELECT count(DISTINCT period) FILTER (old AND event_id % 4 > 1) AS late,
                             count(DISTINCT period) FILTER (old AND event_id % 4 <= 1) AS sent,
