@@ -54,13 +54,14 @@ class BatchJob:
     def published(self) -> tuple[int, dict[str, tuple[int, Any]]]:
         """The last published period, and the newest snapshot of every table with its manifest entry."""
         manifests = all_manifests(self.spark, self.indexer.batch.channel, BATCH_SCHEMA)
-        last = manifests.agg(F.max("id")).first()[0]
         newest = (
-            manifests.select("id", F.explode("tables").alias("table", "info"))
+            manifests.select("id", F.explode_outer("tables").alias("table", "info"))
             .groupBy("table")
             .agg(F.max_by(F.struct("id", "info"), "id").alias("newest"))
+            .collect()
         )
-        return last or 0, {r["table"]: (r["newest"]["id"], r["newest"]["info"]) for r in newest.collect()}
+        last = max((r["newest"]["id"] for r in newest), default=0)
+        return last, {r["table"]: (r["newest"]["id"], r["newest"]["info"]) for r in newest if r["table"]}
 
     def publish_table(
         self, name: str, period: int, micro_batches: list[int], previous: tuple[int, Any] | None

@@ -19,7 +19,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rollmill import files
@@ -80,13 +80,15 @@ def _provable(table: TableSpec, indexer: IndexerSpec, processor: Processor | Non
     return None
 
 
-def keys_are_new(history: History, new_rows: DataFrame, column: str, period: int) -> bool:
-    latest = history.fact("maxTime")
-    if latest is None or latest >= period:
-        return False
+def stray(column: str, period: int) -> Column:
+    """Whether a new row lies before its period, or nowhere."""
     time = F.col(f"`{column}`")
-    strays = new_rows.where(time.isNull() | (time < F.timestamp_millis(F.lit(period))))
-    return strays.count() == 0
+    return time.isNull() | (time < F.timestamp_millis(F.lit(period)))
+
+
+def keys_are_new(history: History, strays: int, period: int) -> bool:
+    latest = history.fact("maxTime")
+    return latest is not None and latest < period and strays == 0
 
 
 def _same_layout(history: History, partitioning: Partitioning) -> bool:
@@ -131,8 +133,11 @@ def publish_snapshot(
         if history is None:
             merged = merge(keep(new_rows))
         elif certain and history.fact("maxTime") is not None:
-            fresh = staged(merge(keep(new_rows)), "new")
-            if keys_are_new(history, fresh, certain, period):
+            # strays are counted while the new rows are staged
+            seen = Observation()
+            counted = merge(keep(new_rows)).observe(seen, F.count_if(stray(certain, period)).alias("strays"))
+            fresh = staged(counted, "new")
+            if keys_are_new(history, seen.get["strays"], period):
                 merged = keep(history.rows).unionByName(fresh)
                 if partitioning and _same_layout(history, partitioning) and drops_nothing(history, indexer):
                     weights = bucket_weights(fresh.withColumn(BUCKET, bucket_column(table, partitioning)))
