@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rollmill.operators.balance import BUCKET, Layout, bucket_column, bucket_weights, place  # noqa: E402
 from rollmill.operators.rollup import rollup  # noqa: E402
-from rollmill.session import configure, scratch_path, stage  # noqa: E402
+from rollmill.session import configure, scratch_path, stage, tidy  # noqa: E402
 from rollmill.sinks.store import write_snapshot  # noqa: E402
 from rollmill.sources.records import parse_records  # noqa: E402
 from rollmill.spec import ParseSpec, Partitioning, input_schema  # noqa: E402
@@ -114,6 +114,7 @@ def main() -> None:
             QUERIES[name](spark)
             runs.append(time.perf_counter() - start)
         took[name] = round(min(runs), 3)
+    tidy(spark)
     print(
         json.dumps(
             {

@@ -10,6 +10,8 @@ from typing import TypeVar
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from rollmill import files
+
 R = TypeVar("R")
 
 # Results depend on these: UTC time, casts that fail instead of yielding NULL, last key wins in JSON.
@@ -78,9 +80,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{warehouse.rstrip('/')}/_scratch"
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/rollmill/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/rollmill/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def tidy(spark: SparkSession) -> None:
+    """Delete what this process has put below the shared folder; results that read it are then gone."""
+    while _made:
+        files.delete(spark, _made.pop())
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollmill import files
-from rollmill.session import own_session, scratch_path, shared_dir, shuffle_partitions, size_shuffles, stage
+from rollmill.session import own_session, scratch_path, shared_dir, shuffle_partitions, size_shuffles, stage, tidy
 
 
 def test_shared_dir_is_the_one_the_session_names(spark):
@@ -49,6 +49,14 @@ def test_shuffle_sizing(spark):
     assert child.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
+def test_tidy(spark):
+    path = scratch_path(spark, "tidy")
+    stage(spark.range(3), path)
+    kept = scratch_path(spark, "never-written")
+    tidy(spark)
+    assert not files.exists(spark, path) and not files.exists(spark, kept)
+
+
 def test_stage(spark):
     path = scratch_path(spark, "stage")
     df = spark.range(5).select("id", F.lit("x").alias("s"))
