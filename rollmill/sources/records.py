@@ -91,13 +91,12 @@ def json_paths(parse: ParseSpec, schema: T.StructType) -> dict[str, str]:
     return paths
 
 
-def _json_field(path: str, kind: Column, field: T.StructField, parse: ParseSpec) -> Column:
-    """Typed value at a path; ``kind`` is the type name of what the document holds there."""
-    doc = F.col(_DOC)
-    absent = doc.isNotNull() & (kind.isNull() | (kind == "VOID"))
+def _json_field(held: Column, kind: Column, field: T.StructField, parse: ParseSpec) -> Column:
+    """Typed value of what the document holds at a path; ``kind`` is the name of its type there."""
+    absent = F.col(_DOC) & (kind.isNull() | (kind == "VOID"))
 
     def read(as_type: str) -> Column:
-        return F.try_variant_get(doc, path, as_type)
+        return F.try_variant_get(held, "$", as_type)
 
     if isinstance(field.dataType, T.StringType):
         # fractions print as Java doubles do (2 -> 2.0); only 19 and more digits can be a whole number
@@ -127,15 +126,17 @@ def json_parser(parse: ParseSpec, schema: T.StructType) -> RecordParser:
         whole = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
         others = _others(df, schema)
         docs = df.select(F.when(whole, F.try_parse_json(text)).alias(_DOC), *others)
-        kinds = [
-            F.schema_of_variant(F.try_variant_get(F.col(_DOC), paths[n], "variant")).alias(f"__kind_{i}")
-            for i, n in enumerate(schema.names)
-        ]
+        # each path is walked once; kind and typed value are read from what it leads to
+        places = range(len(schema.fields))
+        held = [F.try_variant_get(F.col(_DOC), paths[n], "variant").alias(f"__held_{i}") for i, n in enumerate(schema.names)]
+        found = docs.select(F.col(_DOC).isNotNull().alias(_DOC), *held, *others)
+        kinds = [F.schema_of_variant(f"__held_{i}").alias(f"__kind_{i}") for i in places]
+        found = found.select(_DOC, *(f"__held_{i}" for i in places), *kinds, *others)
         typed = [
-            _json_field(paths[f.name], F.col(f"__kind_{i}"), f, parse).alias(f.name)
+            _json_field(F.col(f"__held_{i}"), F.col(f"__kind_{i}"), f, parse).alias(f.name)
             for i, f in enumerate(schema.fields)
         ]
-        return _flag(docs.select(_DOC, *kinds, *others).select(*typed, *others), schema)
+        return _flag(found.select(*typed, *others), schema)
 
     return run
 
