@@ -153,8 +153,9 @@ def drop_later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     name, version, own, cuts = (fresh(docs, n) for n in ("n_removed", "version", "own_id", "cuts"))
     found = staged(later_copies(docs.select("doc_id", "text"), min_words), "cuts")
     found = found.select(F.col("doc_id").alias(own), F.col("version").alias(version), F.col("cuts").alias(cuts))
+    # Always shuffled: what is cut grows with the documents, so no size of it may decide the plan.
     joined = docs.join(
-        found, docs["doc_id"].eqNullSafe(found[own]) & (F.xxhash64(docs["text"]) == found[version]), "left"
+        found.hint("merge"), docs["doc_id"].eqNullSafe(found[own]) & (F.xxhash64(docs["text"]) == found[version]), "left"
     )
 
     def stays(line: Column, i: Column) -> Column:
