@@ -11,7 +11,8 @@
    counting bits; pairs six standard errors under the threshold go, the rest are confirmed on full sets.
 4. Links are contracted to components (alternating large and small stars). Buckets that then still
    hold several components besides the hub compare all members outside the largest component with
-   all members, in blocks of bounded size inside a task; only pairs that pass the estimate leave it.
+   all members, in blocks of bounded size inside a task, by signatures of 2048 minima that only these
+   documents get; only pairs less than five standard errors under the threshold leave it, each once.
    After this every pair that shares a band has been compared or is connected already.
 
 Results: null and empty texts, and texts without words, have an empty set and are linked with
@@ -38,6 +39,8 @@ PER_LONG = 64 // BITS
 # Rows of a bucket compared with each other in one task.
 BLOCK = 4096
 ONES = 0x1111111111111111
+# Minima of the signatures that tell apart what shares a bucket and is not connected.
+LONG = 2048
 
 
 @dataclass(frozen=True)
@@ -51,11 +54,11 @@ class MinHash:
     def size(self) -> int:
         return self.bands * self.rows
 
-    @property
-    def most_misses(self) -> int:
-        """Differing minima of a pair that may still reach the threshold, six standard errors off."""
-        agree = self.percent / 100 + (1 - self.percent / 100) / 2**BITS
-        return min(self.size, int(self.size * (1 - agree) + 6 * (self.size * agree * (1 - agree)) ** 0.5))
+
+def misses_allowed(percent: int, size: int, errors: float) -> int:
+    """Differing minima of a pair that may still reach the threshold, so many standard errors off."""
+    agree = percent / 100 + (1 - percent / 100) / 2**BITS
+    return min(size, int(size * (1 - agree) + errors * (size * agree * (1 - agree)) ** 0.5))
 
 
 def estimate(agreeing: Column | float, size: int) -> Column | float:
@@ -197,9 +200,31 @@ def labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
 
 
-def leftover_pairs(members: DataFrame, hubs: DataFrame, how: MinHash) -> DataFrame:
-    """Pairs of different components within a bucket, none of them the hub, that pass the estimate."""
-    most = how.most_misses
+def long_signatures(sets: DataFrame, how: MinHash) -> DataFrame:
+    """node and the low bits of LONG minima, packed, of each set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors, offsets = odd_numbers(LONG, seed=5), odd_numbers(LONG, seed=6)
+        places = np.arange(PER_LONG, dtype=np.uint64) * np.uint64(BITS)
+        for batch in batches:
+            out = []
+            for own in batch.column("shingles"):
+                s = np.frombuffer(own.as_buffer(), dtype=np.uint64)
+                low = (mix(minima_of(s, factors, offsets)) & np.uint64(2**BITS - 1)).reshape(-1, PER_LONG)
+                out.append((low << places).sum(axis=1, dtype=np.uint64).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], names=["node", "long"])
+
+    return sets.mapInArrow(run, "node long, long binary")
+
+
+def leftover_pairs(
+    members: DataFrame, hubs: DataFrame, tested: DataFrame, sets: DataFrame, reps: DataFrame, how: MinHash
+) -> DataFrame:
+    """Pairs of different components within a bucket, none of them the hub, that pass the estimate
+    from long signatures. A pair comes once, from the first band that it shares: there it is either
+    compared or was compared as hub and member. ``tested`` pairs have been confirmed or not before."""
+    spark = members.sparkSession
+    most = misses_allowed(how.percent, LONG, 5)
     rest = members.join(hubs, ["bucket", "node"], "left_anti")
     sizes = rest.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     top = sizes.groupBy("bucket").agg(
@@ -211,16 +236,19 @@ def leftover_pairs(members: DataFrame, hubs: DataFrame, how: MinHash) -> DataFra
         F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"),
         F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("minor_blocks"),
     )
-    rows = rest.join(top, "bucket").withColumn("h", F.xxhash64("node"))
+    rows = stage(rest.join(top, "bucket"), scratch_path(spark, "near-open"))
+    nodes = rows.select("node").distinct()
+    signed = long_signatures(sets.join(nodes, "node", "left_semi"), how).join(reps.select("node", "bands"), "node")
+    rows = rows.join(stage(signed, scratch_path(spark, "near-long")), "node").withColumn("h", F.xxhash64("node"))
+    rows = rows.where(F.array_contains("bands", F.col("bucket")))  # of a doc_id's texts, the one meant
 
     def spread(own: str, other: str, minor: bool) -> DataFrame:
         mine = F.pmod("h", F.col(own)).cast("int")
         theirs = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         df = rows.where(F.col("comp") != F.col("top")) if minor else rows
         first, second = (mine, theirs) if minor else (theirs, mine)
-        return df.select(
-            "bucket", first.alias("i"), second.alias("j"), F.lit(minor).alias("minor"), "node", "comp", "sig"
-        )
+        place = [first.alias("i"), second.alias("j"), F.lit(minor).alias("minor")]
+        return df.select("bucket", *place, "node", "comp", "long", "bands")
 
     spread_rows = spread("minor_blocks", "blocks", True).union(spread("blocks", "minor_blocks", False))
 
@@ -230,17 +258,21 @@ def leftover_pairs(members: DataFrame, hubs: DataFrame, how: MinHash) -> DataFra
             every = [r for r in held if not r["minor"]]
             if not minor or not every:
                 return
-            sig = np.array([r["sig"] for r in every], dtype=np.int64).view(np.uint64)
+            longs = np.frombuffer(b"".join(r["long"] for r in every), dtype=np.uint64).reshape(len(every), -1)
+            bands = np.array([r["bands"] for r in every], dtype=np.int64)
             comp = np.array([r["comp"] for r in every])
             node = np.array([r["node"] for r in every])
             out_a, out_b = [], []
             for r in minor:
-                x = sig ^ np.array(r["sig"], dtype=np.int64).view(np.uint64)
+                own = np.array(r["bands"], dtype=np.int64)
+                shared = bands == own
+                at = np.flatnonzero((own[shared.argmax(axis=1)] == key[0]) & (comp != r["comp"]))
+                x = longs[at] ^ np.frombuffer(r["long"], dtype=np.uint64)
                 x |= x >> np.uint64(1)
                 x |= x >> np.uint64(2)
                 differ = np.bitwise_count(x & np.uint64(ONES)).sum(axis=1, dtype=np.int64)
-                hit = (differ <= most) & (comp != r["comp"])
-                out_a += [r["node"]] * int(hit.sum())
+                hit = at[differ <= most]
+                out_a += [r["node"]] * len(hit)
                 out_b += node[hit].tolist()
             if out_a:
                 yield pa.RecordBatch.from_pydict({"a": out_a, "b": out_b})
@@ -260,7 +292,17 @@ def leftover_pairs(members: DataFrame, hubs: DataFrame, how: MinHash) -> DataFra
         .sortWithinPartitions("bucket", "i", "j")
         .mapInArrow(compare, "a long, b long")
     )
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.join(tested, ["a", "b"], "left_anti")
+
+
+def same_ids(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of a doc_id that comes with different texts."""
+    split = known.groupBy("doc_id").agg(F.min("set_a").alias("low"), F.max("set_a").alias("high"))
+    split = split.where("low <> high").select("doc_id")
+    own = known.join(split, "doc_id", "left_semi").join(classes, ["set_a", "set_b", "n_shingles"]).select("doc_id", "rep")
+    least = own.groupBy("doc_id").agg(F.min("rep").alias("b"))
+    return own.select("doc_id", F.col("rep").alias("a")).join(least, "doc_id").where("a <> b").select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
@@ -288,18 +330,18 @@ def near_duplicates(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
     star = members.join(hubs.withColumnRenamed("node", "hub"), "bucket").where("node <> hub")
     star = star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     x, y = (sigs.select(F.col("node").alias(n), F.col("sig").alias(f"sig_{n}")) for n in "ab")
-    alike = misses("sig_a", "sig_b", how.size // PER_LONG) <= how.most_misses
+    alike = misses("sig_a", "sig_b", how.size // PER_LONG) <= misses_allowed(how.percent, how.size, 6)
     pairs = staged(star.join(x, "a").join(y, "b").where(alike).select("a", "b"), "pairs")
 
     # Full sets only of documents that some candidate needs.
     wanted = members.select("node").distinct()
     own = docs.select(F.col("doc_id").cast("long"), "text")
     sets = staged(sets_of(own.join(wanted, own.doc_id == wanted.node, "left_semi"), how), "sets")
-    links = staged(confirm(pairs, sets, how), "links")
+    links = staged(confirm(pairs, sets, how).union(same_ids(known, classes)), "links")
     roots = components(links, "near-stars")
 
-    rows = labelled(members.join(sigs, "node"), roots)
-    rest = staged(leftover_pairs(rows, hubs, how), "rest")
+    rows = labelled(members, roots)
+    rest = staged(leftover_pairs(rows, hubs, pairs, sets, reps, how), "rest")
     more = confirm(rest, sets, how)
     as_edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = components(staged(as_edges.union(more), "links"), "near-stars")

@@ -75,7 +75,9 @@ def test_leftovers_find_what_hubs_miss(corpus, monkeypatch):
         return real(pairs, sets, how).where(F.lit(len(calls) > 1))
 
     monkeypatch.setattr(near_dup, "confirm", first_finds_nothing)
-    monkeypatch.setattr(near_dup, "leftover_pairs", lambda m, h, s, reps, how: real_leftover(m, h.limit(0), s, reps, how))
+    monkeypatch.setattr(
+        near_dup, "leftover_pairs", lambda m, h, t, *rest: real_leftover(m, h.limit(0), t.limit(0), *rest)
+    )
     assert found(near_duplicates(corpus.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
 
 
