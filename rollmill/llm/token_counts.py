@@ -35,6 +35,8 @@ MOST_SLOT_CHARS = 4096
 TREE = "doc_id long, text string, slot_chars array<int>, slot_tokens array<int>"
 COUNTS = "doc_id long, n_tokens long, n_tokens_after long, n_edits long, n_chars_encoded long"
 Edit = tuple[int, int, str]
+# Edits by rules with at most this many characters between them are made one.
+NEAR = 128
 # Characters around an edit on which a cut depends.
 REACH = 2
 
@@ -215,6 +217,20 @@ def rule_edits(text: str, rules: list[tuple[re.Pattern, str]]) -> list[Edit]:
     return out[::-1]
 
 
+def joined_edits(text: str, edits: list[Edit]) -> list[Edit]:
+    """The same edits, last first, with those near each other made one, so that the text between them
+    is encoded once and not once for each."""
+    out: list[list] = []
+    for at, remove, insert in edits:
+        near = out and out[-1][0] - (at + remove) <= NEAR and out[-1][0] + out[-1][1] - at <= MOST_SLOT_CHARS // 4
+        if near:
+            later_at, later_remove, later = out[-1]
+            out[-1] = [at, later_at + later_remove - at, [*later, text[at + remove : later_at], insert]]
+        else:
+            out.append([at, remove, [insert]])
+    return [(at, remove, "".join(reversed(parts))) for at, remove, parts in out]
+
+
 def apply_rules(trees: DataFrame, rules: list[tuple[str, str]], tokenizer: str) -> DataFrame:
     """Counts before and after the edits that ``rules`` (pattern, replacement) ask for."""
 
@@ -229,7 +245,7 @@ def apply_rules(trees: DataFrame, rules: list[tuple[str, str]], tokenizer: str)
                 after = encoded = 0
                 if edits:
                     tree = stored(encode, row["text"], row["slot_chars"], row["slot_tokens"])
-                    for edit in edits:
+                    for edit in joined_edits(row["text"], edits):
                         tree.edit(*edit)
                     after, encoded = tree.n_tokens, tree.encoded
                 rows.append((row["doc_id"], before, after if edits else before, len(edits), encoded))
