@@ -66,7 +66,11 @@ def fit(sample: list[tuple[str, int]]) -> Model:
     """Full-batch Adam on the noisy-or likelihood, the toxic class with weight PRIOR."""
     if len({y for _, y in sample}) < 2:
         return Model(-50.0, {})
-    bags = [[set(WORD.findall(s)) for s in SENTENCE.findall(text.lower())] for text, _ in sample]
+    pool: dict[str, str] = {}  # one object a word, however often it comes
+    bags = [
+        [{pool.setdefault(w, w) for w in WORD.findall(s)} for s in SENTENCE.findall(text.lower())]
+        for text, _ in sample
+    ]
     bags = [[s for s in bag if s] for bag in bags]
     seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
     for bag, (_, label) in zip(bags, sample):
