@@ -7,6 +7,13 @@ permutation of the valid values for any A and B: the result is again a valid val
 stay different, and equal values get equal pseudonyms in every document and every run of one key.
 ``f`` is SHA-256 of key, kind, round and number. ``restore=True`` walks the rounds backwards.
 
+A text is looked through four times, and a candidate that fails validation stays in the text for the
+looks after it: e-mails, dates, social numbers, addresses and phones; cards written unbroken or in
+the usual groups, tried from every group on, so that numbers beside them do not matter; phones that
+could have been the end of such a card; cards in other groups. Of cards that overlap, the first valid
+one counts. One in ten numbers has a right check digit: where a stretch that is no card overlaps a
+value (a year before a card in groups of four), it may be taken for one, here or when restoring.
+
 The key stands in the query plan: hand it out, and plans with it, as you would the documents.
 
 | kind | found as | permuted | kept |
@@ -35,14 +42,26 @@ LONGEST_NAME = 22  # characters of an e-mail name permuted together: 36^11 fits
 
 BEFORE, AFTER = r"(?<![0-9A-Za-z.+])", r"(?![0-9A-Za-z])"
 PATTERNS = {
-    "email": r"(?<![0-9A-Za-z._%+-])[0-9A-Za-z._%+-]+@[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)+",
+    "email": r"(?<![0-9A-Za-z._%+-])(?=[._%+-]*[0-9A-Za-z])[0-9A-Za-z._%+-]+@[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)+",
     "date": BEFORE + r"(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4})" + AFTER,
     "social": BEFORE + r"\d{3}-\d{2}-\d{4}" + AFTER,
     "card": BEFORE + r"\d(?:[ -]?\d){12,18}" + AFTER,
     "phone": r"(?<![0-9A-Za-z.])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-]?)\d{3}[ .-]?\d{4}" + AFTER,
     "ip": BEFORE + r"\d{1,3}(?:\.\d{1,3}){3}" + r"(?![0-9A-Za-z]|\.\d)",
 }
-ANY = "|".join(PATTERNS.values())
+# A phone that may be the end of a card in groups of 4-6-4, or start with a card's last group.
+UNSURE = r"(?!(?<=\d{4}[ -])(?:1\d{3}|\d{6})[ .-])"
+SURE = "|".join(UNSURE + p if kind == "phone" else p for kind, p in PATTERNS.items() if kind != "card")
+# Digits, spaces and hyphens that may hold a card, with the word that ends them.
+STRETCH = BEFORE + r"\d[\d -]{11,}+[A-Za-z]*+"
+# Cards as they are usually written, from the start of a group on; the second form is tried after the first.
+CARDS = (
+    r"^(?:\d{13,19}|\d{4}([ -])(?:\d{4}\1\d{4}\1\d{4}|\d{6}\1\d{4,5}))(?![0-9A-Za-z])",
+    r"^\d{4}([ -])(?:\d{4}\1){2,3}\d{1,3}(?![0-9A-Za-z])",
+)
+MOST_GROUPS = 5
+# Stand in the text for the values found by each look; no characters of Unicode, and kept where met.
+MARKS = ("\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3")
 
 
 def long(text: Column) -> Column:
@@ -206,28 +225,95 @@ def kind_of(m: Column) -> Column:
     )
 
 
-def pseudonymise(docs: DataFrame, key: str, restore: bool = False) -> DataFrame:
-    """``docs`` with every valid personal value of ``text`` replaced, and how many of each kind, as
-    columns ``n_<kind>``."""
-    made = fresh(docs, "made")
-    how = Permuter(key, restore)
+def right(digits: Column) -> Column:
+    return F.call_function("luhn_check", digits)
+
+
+def refill(parts: Column, values: Column) -> Column:
+    """The parts of a split text with ``values`` between them."""
+    behind = lambda part, i: F.concat(part, F.coalesce(F.get(values, i), F.lit("")))
+    return F.array_join(F.transform(parts, behind), "")
+
+
+def cards_in(stretch: Column, mark: str, how: Permuter) -> Column:
+    """``left``, the stretch with its usual cards marked, and ``held``, what takes their places."""
+
+    def card_at(group: Column, i: Column, groups: Column) -> Column:
+        """The valid card that starts with a group, and of how many groups it is."""
+        ahead = F.regexp_replace(F.array_join(F.slice(groups, i + 1, MOST_GROUPS), ""), "^[ -]+", "")
+        forms = F.filter(
+            F.array(*(F.regexp_extract(ahead, form, 0) for form in CARDS)), lambda c: right(F.regexp_replace(c, "[ -]", ""))
+        )
+        card = F.when(group.rlike(r"^[ -]*(\d{4}|\d{13,19})$"), F.get(forms, F.lit(0)))
+        n = F.coalesce(F.size(F.split(card, "[ -]")).cast("string"), F.lit("0"))
+        return F.struct(F.when(card.isNull(), "0").otherwise(n).alias("n"), card.alias("card"), group.alias("group"))
+
+    def chosen(found: Column) -> Column:
+        """Which groups start a card, from the left; "-" for the groups in it."""
+        steps = F.regexp_extract_all(F.array_join(found["n"], ""), F.lit("(5.{4}|4.{3}|3.{2}|.)"), F.lit(1))
+        spread = F.transform(steps, lambda s: F.rpad(F.left(s, F.lit(1)), F.length(s), F.lit("-")))
+        return F.split(F.array_join(spread, ""), "")
+
+    def marked(found: Column, starts: Column) -> Column:
+        def shown(f: Column, i: Column) -> Column:
+            gap = F.regexp_extract(f["group"], "^[ -]*", 0)
+            at = F.get(starts, i)
+            return F.when(at == "0", f["group"]).when(at == "-", "").otherwise(F.concat(gap, F.lit(mark)))
+
+        own = F.filter(found, lambda f, i: ~F.get(starts, i).isin("0", "-"))
+        held = F.transform(own, lambda f: F.struct(F.lit("card").alias("kind"), how.card(f["card"]).alias("text")))
+        return F.struct(F.array_join(F.transform(found, shown), "").alias("left"), held.alias("held"))
+
+    groups = F.regexp_extract_all(stretch, F.lit("([ -]*[0-9A-Za-z]+|[ -]+)"), F.lit(1))
+    return how.bind(
+        groups,
+        lambda g: how.bind(
+            F.transform(g, lambda group, i: card_at(group, i, g)),
+            lambda found: how.bind(chosen(found), lambda starts: marked(found, starts)),
+        ),
+    )
 
-    def replaced(m: Column) -> Column:
-        kind, out = kind_of(m), F.when(F.lit(False), m)
+
+def value_in(m: Column, mark: str, how: Permuter) -> Column:
+    """``left`` and ``held`` of a candidate that is one value or none."""
+
+    def shown(kind: Column) -> Column:
+        out = F.when(F.lit(False), m)
         for name in PATTERNS:
             out = out.when(kind == name, getattr(how, name)(m))
-        return F.struct(kind.alias("kind"), out.otherwise(m).alias("text"))
-
-    hits = F.transform(F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(1)), replaced)
-    between = F.split("text", ANY, -1)
-    behind = lambda part, i: F.concat(part, F.coalesce(F.get(F.col(made)["text"], i), F.lit("")))
-    joined = F.array_join(F.transform(between, behind), "")
-    out = docs.withColumn(made, hits)
-    text = F.when(F.size(made) > 0, joined).otherwise(F.col("text"))
+        value = F.struct(kind.alias("kind"), out.otherwise(m).alias("text"))
+        held = F.filter(F.array(value), lambda v: v["kind"].isNotNull())
+        return F.struct(F.when(kind.isNull(), m).otherwise(mark).alias("left"), held.alias("held"))
+
+    return how.bind(kind_of(m), shown)
+
+
+def pseudonymise(docs: DataFrame, key: str, restore: bool = False) -> DataFrame:
+    """``docs`` with every valid personal value of ``text`` replaced, and how many of each kind, as
+    columns ``n_<kind>``."""
+    how, out = Permuter(key, restore), docs
+    made = [fresh(docs, f"made_{i}") for i in range(len(MARKS))]
+    looks = [(SURE, value_in), (STRETCH, cards_in), (PATTERNS["phone"], value_in), (PATTERNS["card"], value_in)]
+    for name, mark, (pattern, read) in zip(made, MARKS, looks):
+        either = f"{pattern}|{mark}"
+        itself = F.struct(
+            F.lit(mark).alias("left"),
+            F.array(F.struct(F.lit(None).cast("string").alias("kind"), F.lit(mark).alias("text"))).alias("held"),
+        )
+        found = F.transform(
+            F.regexp_extract_all("text", F.lit(f"({either})"), F.lit(1)),
+            lambda m: F.when(m == mark, itself).otherwise(read(m, mark, how)),  # noqa: B023
+        )
+        out = out.withColumn(name, found)
+        left = F.when(F.size(name) > 0, refill(F.split("text", either, -1), F.col(name)["left"])).otherwise(F.col("text"))
+        out = out.withColumn("text", left).withColumn(name, F.flatten(F.col(name)["held"]))
+    for name, mark in zip(made[::-1], MARKS[::-1]):
+        full = refill(F.split("text", mark, -1), F.col(name)["text"])
+        out = out.withColumn("text", F.when(F.size(name) > 0, full).otherwise(F.col("text")))
     names = [c for c in docs.columns if c != "text"]
 
     def count(kind: str) -> Column:
-        own = F.filter(F.col(made), lambda hit: hit["kind"] == kind)
-        return F.coalesce(F.size(own), F.lit(0)).cast("long").alias(fresh(docs, f"n_{kind}"))
+        own = (F.coalesce(F.size(F.filter(name, lambda hit: hit["kind"] == kind)), F.lit(0)) for name in made)
+        return sum(own, F.lit(0)).cast("long").alias(fresh(docs, f"n_{kind}"))
 
-    return out.select(*names, text.alias("text"), *map(count, PATTERNS))
+    return out.select(*names, "text", *map(count, PATTERNS))

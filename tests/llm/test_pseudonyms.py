@@ -71,3 +71,32 @@ def test_odd_rows(odd, nothing):
     assert out.columns[: len(odd.columns)] and set(odd.columns) <= set(out.columns)
     assert sorted(map(repr, (r["text"] for r in out.collect()))) == sorted(repr(r["text"]) for r in odd.collect())
     assert pseudonymise(nothing, "key").collect() == []
+
+
+SHORT = ["7", "123", "12/2027", "Apt 12"]
+
+
+def test_values_beside_others_are_found(corpus):
+    flat = [(k, v) for k, vs in VALUES.items() for v in vs[:2]] + [(None, s) for s in SHORT]
+    pairs = [(a, b) for a in flat for b in flat]
+    rows = [(i, f"{a[1]} {b[1]}") for i, (a, b) in enumerate(pairs)]
+    alone = pseudonymise(corpus.createDataFrame([(i, v) for i, (_, v) in enumerate(flat)], "doc_id long, text string"), "key")
+    alone = {v: texts(alone)[i] for i, (_, v) in enumerate(flat)}
+    out = {r["doc_id"]: r for r in pseudonymise(corpus.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    for i, (a, b) in enumerate(pairs):
+        want = {k: (a[0] == k) + (b[0] == k) for k in VALUES}
+        assert {k: out[i][f"n_{k}"] for k in VALUES} == want, rows[i]
+        assert out[i]["text"] == f"{alone[a[1]]} {alone[b[1]]}", rows[i]
+
+
+def test_values_inside_longer_stretches(corpus):
+    cards = ["4155 0301 4226 5802", "3056 930902 5904", "3782 822463 10005", "4949-8058-3686-1045"]
+    rows = [f"12 7 {c} 123 45" for c in cards] + [f"2027 {c} 469-555-4560 {c}" for c in cards]
+    rows += ["5904 4949-8058-3686-1045x", "12 34 ﷐ 4155030142265802 ﷑ (469) 555-4560 ﷓"]
+    n = [1] * 4 + [2] * 4 + [0, 1]
+    df = corpus.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in pseudonymise(df, "key").collect()}
+    assert [out[i]["n_card"] for i in range(len(rows))] == n
+    for i, row in enumerate(rows):
+        assert shape(out[i]["text"]) == shape(row)
+        assert not any(c in out[i]["text"] for c in cards) or not n[i]
