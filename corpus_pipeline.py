@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmill.llm import decontaminate, line_runs, near_dup, packing, toxicity
-from rollmill.llm.base import prepare, table
+from rollmill.llm.base import fresh, prepare, table
 from rollmill.llm.queries import BYTE_BPE, toxicity_model
 from rollmill.session import scratch_path, stage
 
@@ -39,11 +39,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
+    """The document with the smallest id of each group of near duplicates; of rows that repeat doc_id and
+    text one stays. Rows without doc_id all stay."""
     prepare(spark)
     found = near_dup.near_duplicates(docs)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    version, known = fresh(docs, "version"), docs.where("doc_id IS NOT NULL")
+    left = known.join(gone, known["doc_id"] == gone["__gone"], "left_anti").withColumn(version, F.xxhash64("text"))
+    return left.dropDuplicates(["doc_id", version]).drop(version).union(docs.where("doc_id IS NULL"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,3 +59,11 @@ def test_run_equals_the_stages(corpus):
     sf = "/root/testdata/sf0.001"
     rows = corpus_pipeline.run(corpus, sf).collect()
     assert rows and {r["length"] for r in rows} <= set(range(1, 1025))
+
+
+def test_repeated_rows_leave_one(corpus):
+    rows = [(1, "a b c", "x")] * 3 + [(1, "d e f", "x"), (2, None, "x"), (2, None, "x"), (None, "a b c", "x"), (None, "a b c", "x")]
+    docs = corpus.createDataFrame(rows, "doc_id long, text string, version string")
+    out = corpus_pipeline.drop_near_duplicates(corpus, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, [*rows[2:5], *rows[6:]]))
