@@ -111,11 +111,12 @@ def suffix_ranks(rows: DataFrame, levels: int) -> DataFrame:
     for k in range(1, levels + 1):
         ahead = F.lead("rank", 2 ** (k - 1), 0).over(Window.partitionBy("begin").orderBy("place"))
         pairs = staged(now.withColumn("next", ahead), f"pairs-{k}")
-        smaller = Window.partitionBy("rank").orderBy("next").rowsBetween(Window.unboundedPreceding, -1)
         moved = pairs.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("n"))
-        moved = moved.withColumn("by", F.sum("n").over(smaller)).where("by > 0").select("rank", "next", "by")
+        # A rank is one more than the places ranked before, so the sum over all pairs before gives it.
+        moved = ordinals(moved, ["rank", "next"], F.col("n"), "before")
+        moved = moved.select("rank", "next", (F.col("before") + 1).alias("to")).where("to > rank")
         now = pairs.join(moved, ["rank", "next"], "left")
-        now = now.select("place", "begin", (F.col("rank") + F.coalesce("by", F.lit(0))).alias("rank"))
+        now = now.select("place", "begin", F.coalesce("to", "rank").alias("rank"))
         now = staged(now, f"rank-{k}")
         out = out.union(now.select("place", F.lit(k).alias("k"), "rank"))
     return out

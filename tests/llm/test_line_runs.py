@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from rollmill.llm import line_runs
 from rollmill.llm.line_runs import drop_later_copies
 
 
@@ -56,3 +57,20 @@ def test_odd_rows(odd, nothing):
     assert sorted(r["text"] for r in rows if r["doc_id"] == 5)[0] == ""
     assert [r["text"] for r in rows if r["doc_id"] == 1] == [None]
     assert drop_later_copies(nothing).collect() == []
+
+
+def test_no_task_holds_all_pairs_of_a_rank(corpus, monkeypatch):
+    rows = corpus.createDataFrame([(i, 0, i % 2 * (i % 7), 0) for i in range(40)], "place long, begin long, h1 long, h2 long")
+    plans, staged = {}, line_runs.staged
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return staged(df, name)
+
+    monkeypatch.setattr(line_runs, "staged", seen)
+    ranks = {(r["k"], r["place"]): r["rank"] for r in line_runs.suffix_ranks(rows, 2).collect()}
+    assert not any("windowspecdefinition(rank" in p for p in plans.values()) and "rank-2" in plans
+    first = {p: ranks[0, p] for p in range(40)}
+    keys = {k: {p: tuple(first.get(p + j, 0) for j in range(2**k)) for p in range(40)} for k in (1, 2)}
+    for k, own in keys.items():
+        assert all(ranks[k, p] == 1 + sum(o < own[p] for o in own.values()) for p in own)
