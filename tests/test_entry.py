@@ -31,7 +31,8 @@ def test_entry_without_the_corpus_operators(tmp_path, left_out):
 
 
 @pytest.mark.skipif(not os.path.isdir(os.path.join(ROOT, "rollmill/llm")), reason="no corpus operators")
-def test_entry_without_the_tokenizers_library():
-    hidden = "import sys; sys.modules['tokenizers'] = None; "
+@pytest.mark.parametrize("library", ["xxhash", "public_tokenizers"])
+def test_entry_without_a_library_of_the_corpus_operators(library):
+    hidden = f"import sys; sys.modules['{library}'] = None; "
     count, rollup, pipeline = names_found(ROOT, hidden + NAMES)
     assert int(count) > 50 and rollup == "True" and pipeline == "False"
