@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollmill.llm import (
+    centroids,
     compress_quality,
+    conversations,
     decontaminate,
     line_runs,
     near_dup,
@@ -17,6 +19,7 @@ from rollmill.llm import (
     token_counts,
     token_files,
     toxicity,
+    url_rules,
 )
 from rollmill.llm.base import table
 from rollmill.llm.samples import folded, labelled_sample
@@ -119,6 +122,120 @@ def op10_rule_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair."""
+    turns = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair(turns)
+
+
+URL_RULES = [
+    url_rules.HostRule("block", "net", "/"),
+    url_rules.HostRule("allow", "example.net", "/en/"),
+    url_rules.HostRule("block", "example.com", "/de/"),
+    url_rules.HostRule("allow", "org", "/fr/"),
+    # pages that are no text of their own: listings, logins, sessions, archives and programs
+    url_rules.GlobRule("block", "**[?&]page=**"),
+    url_rules.GlobRule("block", "**[?&]sessionid=**"),
+    url_rules.GlobRule("block", "**/login*"),
+    url_rules.GlobRule("block", "**/cgi-bin/**"),
+    url_rules.GlobRule("block", "**.zip"),
+    url_rules.GlobRule("block", "**.exe"),
+    url_rules.GlobRule("allow", "**[?]page=1"),
+    # copies of pages that are reached by their main host as well
+    url_rules.GlobRule("block", "m.*/**"),
+]
+
+
+def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the address of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge_urls(pages, URL_RULES).drop("url")
+
+
+# Longest host rule first, then longest glob first; ** is .*, * is [^/?]*.
+OP12_SQL = r"""
+WITH parts AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path,
+    coalesce(regexp_extract(url, '^(?s:.*?)://[^?#]*(\?[^#]*)', 1), '') AS query
+  FROM pages),
+fitted AS (
+  SELECT *, host || path || query AS address,
+    CASE
+      WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+      WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+      WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/'
+    END AS rule
+  FROM parts),
+globbed AS (
+  SELECT *,
+    CASE
+      WHEN rule IS NOT NULL THEN NULL
+      WHEN regexp_full_match(address, '(?s).*[?&]sessionid=.*') THEN '**[?&]sessionid=**'
+      WHEN regexp_full_match(address, '(?s).*[?&]page=.*') THEN '**[?&]page=**'
+      WHEN regexp_full_match(address, '(?s).*/cgi-bin/.*') THEN '**/cgi-bin/**'
+      WHEN regexp_full_match(address, '(?s).*[?]page=1') THEN '**[?]page=1'
+      WHEN regexp_full_match(address, '(?s).*/login[^/?]*') THEN '**/login*'
+      WHEN regexp_full_match(address, '(?s)m\.[^/?]*/.*') THEN 'm.*/**'
+      WHEN regexp_full_match(address, '(?s).*\.zip') THEN '**.zip'
+      WHEN regexp_full_match(address, '(?s).*\.exe') THEN '**.exe'
+    END AS pattern
+  FROM fitted)
+SELECT page_id, host, path, rule, pattern,
+  CASE
+    WHEN rule IN ('example.net/en/', 'org/fr/') OR pattern = '**[?]page=1' THEN 'allow'
+    WHEN rule IS NULL AND pattern IS NULL THEN 'allow'
+    ELSE 'block'
+  END AS verdict
+FROM globbed
+"""
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty clusters of all embeddings after five rounds."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found, _ = centroids.cluster(vectors, "vec_id", "embedding", k=40, rounds=5, size=64, factor=256, seed=2)
+    return found
+
+
+def op13_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds as one subquery after the other."""
+    steps = [
+        """v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id), c) - 1 AS INTEGER) AS cluster, c
+  FROM v WHERE vec_id IS NOT NULL ORDER BY cluster LIMIT {k})""",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""d{n} AS (
+  SELECT v.vec_id, v.c, k.cluster,
+    CAST(list_sum(list_transform(list_zip(v.c, k.c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance
+  FROM v, c{n} k
+  QUALIFY row_number() OVER (PARTITION BY v.vec_id, v.c ORDER BY distance, k.cluster) = 1)""")
+        if n < rounds:
+            steps.append(f"""m{n} AS (
+  SELECT cluster, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT cluster, unnest(c) AS x, unnest(range(64)) AS i FROM d{n}) GROUP BY cluster, i),
+c{n + 1} AS (
+  SELECT k.cluster, coalesce(any_value(g.c), any_value(k.c)) AS c
+  FROM c{n} k LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM m{n} GROUP BY cluster) g
+  ON k.cluster = g.cluster GROUP BY k.cluster)""")
+    return f"""WITH {", ".join(steps)}
+SELECT d.vec_id, d.cluster, d.distance,
+  CAST(sum(d.distance) OVER (PARTITION BY d.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d.distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(k.c, ',')) AS centroid_sha256
+FROM d{rounds} d JOIN c{rounds} k ON d.cluster = k.cluster
+"""
+
+
 WORKLOADS: dict[str, Workload] = {
     "op1_bbit_minhash": Workload(op1_bbit_minhash),
     "op2_edit_token_counts": Workload(op2_edit_token_counts),
@@ -130,4 +247,7 @@ WORKLOADS: dict[str, Workload] = {
     "op8_benchmark_passages": Workload(op8_benchmark_passages),
     "op9_compression_quality": Workload(op9_compression_quality),
     "op10_rule_list": Workload(op10_rule_list),
+    "op11_conversation_repair": Workload(op11_conversation_repair),
+    "op12_url_rules": Workload(op12_url_rules, OP12_SQL),
+    "op13_centroids": Workload(op13_centroids, op13_sql()),
 }
