@@ -332,8 +332,8 @@ def repair(turns: DataFrame) -> DataFrame:
     """One row a conversation: conv_id, gaps, counts of faults, cost, audit and the hash of the repaired rows."""
     rows = _rows(turns)
     # The first turn of every role and text; lost rows are one mark a conversation, that it was there.
-    firsts = rows.groupBy("conv_id", "role", "hash").agg(
-        F.bool_or(F.col("turn").isNull()).alias("early"), F.min("turn").alias("turn"), F.first("head").alias("head")
+    firsts = rows.groupBy("conv_id", "role", "head", "hash").agg(
+        F.bool_or(F.col("turn").isNull()).alias("early"), F.min("turn").alias("turn")
     )
     marks = firsts.withColumn("turn", F.when(~F.col("early"), F.col("turn"))).drop("early")
     ordered = _in_order(rows, marks)
