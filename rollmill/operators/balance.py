@@ -20,6 +20,8 @@ from rollmill.spec import Partitioning, TableSpec
 BUCKET = "__bucket"
 PART = "part"
 SLOT = "__slot"
+# The folder of a bucket inside a segment of a snapshot.
+BUCKET_FOLDER = "bucket"
 # One shuffle writes all files of a snapshot; Spark's driver can not follow more tasks than this.
 MOST_SLOTS = 1_000_000
 

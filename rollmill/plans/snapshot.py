@@ -1,6 +1,7 @@
-"""Building the snapshot of one table for one closed period.
+"""Building the whole snapshot of one table for one closed period.
 
-A snapshot holds all history up to its period. The plain way is to union the previous snapshot
+This is the way of every period where snapshots are ``whole``, and of those that ``plans.segments`` can
+not append to the history. A snapshot holds all history up to its period. The plain way is to union the previous snapshot
 with the period's micro-batches and roll everything up again. Where it can be proved that no key of
 the history can come again, the history is only passed on:
 
@@ -27,6 +28,7 @@ from rollmill.durations import interval_bounds
 from rollmill.operators.balance import BUCKET, Layout, bucket_column, bucket_weights, place
 from rollmill.operators.chain import Processor
 from rollmill.operators.rollup import keep_between, rerollup
+from rollmill.plans.segments import DT, entry_of, make_segments
 from rollmill.session import scratch_path, stage
 from rollmill.sinks.store import write_snapshot
 from rollmill.spec import IndexerSpec, Partitioning, TableSpec
@@ -72,7 +74,7 @@ def drops_nothing(history: History, indexer: IndexerSpec) -> bool:
     return first is not None and last is not None and start <= first and last < end
 
 
-def _provable(table: TableSpec, indexer: IndexerSpec, processor: Processor | None) -> str | None:
+def provable(table: TableSpec, indexer: IndexerSpec, processor: Processor | None) -> str | None:
     """Time column by which old and new keys can be told apart, or None."""
     name = time_column_of(table, indexer)
     if name and processor is None and table.time_format(name).keeps(indexer.batch.period_millis):
@@ -115,7 +117,7 @@ def publish_snapshot(
     """Write the snapshot and return its manifest entry."""
     partitioning = indexer.partitioning_of(table)
     sort_columns = indexer.sort_of(table)
-    certain = _provable(table, indexer, processor)
+    certain = provable(table, indexer, processor)
     merge = processor or rerollup(table)
     keep: Processor = lambda df: df
     kept = kept_by(table, indexer)
@@ -144,13 +146,17 @@ def publish_snapshot(
                     for bucket, rows in enumerate(history.fact("bucketRows")):
                         if rows:
                             weights[bucket] = weights.get(bucket, 0) + rows
-                elif partitioning:  # counted by a read of its own; the history is not copied for it
+                elif partitioning and indexer.batch.snapshots == "whole":  # counted by a read of its own; the history is not copied for it
                     weights = bucket_weights(merged.withColumn(BUCKET, bucket_column(table, partitioning)))
             else:
                 merged = merge(keep(history.rows).unionByName(fresh))
         else:
             merged = merge(keep(history.rows.unionByName(new_rows)))
 
+        if indexer.batch.snapshots == "segments":
+            named = merged.withColumn(DT, F.lit(str(period)))
+            made = make_segments(spark, named, table, indexer, certain, [str(period)])
+            return entry_of(table, indexer, made)
         layout = None
         if partitioning:
             merged = merged.withColumn(BUCKET, bucket_column(table, partitioning))

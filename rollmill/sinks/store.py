@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -12,9 +13,11 @@ from rollmill.functions.periods import period_of, period_of_millis
 from rollmill.functions.text import clean_text
 from rollmill.operators.balance import PART
 from rollmill.sources.records import VALUE
-from rollmill.sources.store import NULL_TEXT, SEPARATOR
+from rollmill.sources.store import NULL_TEXT, PERIOD, SEPARATOR
 from rollmill.spec import ROLLUP_COUNT, TableSpec
 
+_BATCH = "__batch"
+
 
 def line_column(table: TableSpec, fields: list[T.StructField]) -> Column:
     """One store line: cells in output order, joined by tabs."""
@@ -65,15 +68,16 @@ def write_micro_batch(
         period = F.coalesce(period_of(F.col(f"`{time_column}`"), period_millis), timeless.cast("bigint"))
     else:
         period = period_of_millis(F.lit(batch_millis), period_millis)
-    rows = df.withColumn("dt", period).withColumn("mb", F.lit(batch_millis))
+    rows = df.withColumn(PERIOD, period).withColumn(_BATCH, F.lit(batch_millis))
     if time_column:
         # one or a few files per period: small periods are put together, heavy ones are split
-        rows = rows.hint("rebalance", F.col("dt"))
+        rows = rows.hint("rebalance", F.col(PERIOD))
     # observed in the writing stage itself, so a shuffle stage that runs twice does not count twice
     seen = Observation()
-    observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("dt").alias("periods"))
+    observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(PERIOD).alias("periods"))
     (
-        to_lines(observed, table, "dt", "mb")
+        to_lines(observed, table, PERIOD, _BATCH)
+        .withColumnsRenamed({PERIOD: "dt", _BATCH: "mb"})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip")
@@ -104,3 +108,30 @@ def write_snapshot(
     writer.text(target)
     found = seen.get
     return Written(found["rows"], (target,), found.get("first"), found.get("latest"))
+
+
+def write_segments(
+    df: DataFrame,
+    table: TableSpec,
+    root: str,
+    folders: Mapping[str, str],
+    sort_columns: tuple[str, ...],
+    rows_per_file: int,
+    format: str,
+) -> None:
+    """Write rows below ``root`` into the folders that ``folders`` (column -> name on disk) says, sorted
+    inside files of at most ``rows_per_file`` rows. Heavy folders are cut into several tasks, light
+    ones share a task."""
+    clash = sorted(set(folders.values()) & set(table.columns))
+    if format != "tsv" and clash:
+        raise ValueError(f"table {table.name}: columns named as folders need snapshot format tsv: {', '.join(clash)}")
+    rows = df.hint("rebalance", *(F.col(f) for f in folders))
+    rows = rows.sortWithinPartitions(*folders, *(F.col(f"`{c}`") for c in sort_columns))
+    rows = to_lines(rows, table, *folders) if format == "tsv" else rows.select(*(F.col(f"`{c}`") for c in table.columns), *folders)
+    rows = rows.withColumnsRenamed(dict(folders))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = writer.option("maxRecordsPerFile", rows_per_file).partitionBy(*folders.values())
+    if format == "tsv":
+        writer.option("compression", "gzip").text(root)
+    else:
+        writer.option("compression", "zstd").parquet(root)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +16,14 @@ MICRO_BATCH_SCHEMA = (
     "tables MAP<STRING, STRUCT<paths: ARRAY<STRING>, columns: ARRAY<STRING>, recordCount: BIGINT>>, "
     "offsets ARRAY<STRUCT<topic: STRING, partition: INT, offset: BIGINT>>"
 )
-# minTime, maxTime and bucketRows are only there when the next period may build on them (plans.snapshot).
+# minTime, maxTime, bucketRows and segments are only there when the next period may build on them (plans.snapshot).
 BATCH_SCHEMA = (
     "id BIGINT, "
     "tables MAP<STRING, STRUCT<paths: ARRAY<STRING>, columns: ARRAY<STRING>, partitioning: ARRAY<INT>, "
     "partitionConf: STRUCT<columns: ARRAY<STRING>, partitions: INT>, recordCount: BIGINT, "
-    "minTime: BIGINT, maxTime: BIGINT, bucketRows: ARRAY<BIGINT>>>, "
+    "minTime: BIGINT, maxTime: BIGINT, bucketRows: ARRAY<BIGINT>, format: STRING, "
+    "segments: ARRAY<STRUCT<path: STRING, first: BIGINT, last: BIGINT, recordCount: BIGINT, minTime: BIGINT, "
+    "maxTime: BIGINT, bucketRows: ARRAY<BIGINT>>>>>, "
     "microBatches ARRAY<BIGINT>"
 )
 
@@ -76,10 +80,13 @@ def all_manifests(spark: SparkSession, channel: Channel, schema: str, after: int
     raise ValueError(f"unsupported manifest channel {channel.type!r}")
 
 
-def fold_manifests(spark: SparkSession, channel: Channel, schema: str, done: int) -> int:
+def fold_manifests(
+    spark: SparkSession, channel: Channel, schema: str, done: int, among: DataFrame | None = None
+) -> int:
     """Move messages that name only periods up to ``done`` from files of their own into a table
-    partitioned by the newest period they name; returns how many. The newest message stays a file, so
-    the last one is found by its name. A Kafka channel is left to the broker's retention."""
+    partitioned by the newest period they name; returns how many. ``among`` (id) are the messages the
+    caller has seen: one that arrived since must not be put away unread. The newest message stays a file,
+    so the last one is found by its name. A Kafka channel is left to the broker's retention."""
     if channel.type != "file":
         return 0
     last = last_id(spark, channel)
@@ -89,6 +96,8 @@ def fold_manifests(spark: SparkSession, channel: Channel, schema: str, done: int
     newest = F.array_max(F.transform(periods, lambda p: F.regexp_extract(p, PERIOD_IN_PATH, 1).try_cast("bigint")))
     due = _loose(spark, channel, schema).withColumn(NEWEST, F.coalesce(newest, F.lit(0).cast("bigint")))
     due = due.where((F.col(NEWEST) <= done) & (F.col("id") < last))
+    if among is not None:
+        due = due.join(among, "id", "left_semi")
     folded = _folded(spark, channel, schema)
     if folded is not None:
         due = due.join(folded.select("id"), "id", "left_anti")
@@ -107,6 +116,24 @@ def last_id(spark: SparkSession, channel: Channel) -> int | None:
     return max(numbers, default=None)
 
 
+def manifests_of(spark: SparkSession, channel: Channel, schema: str, ids: Sequence[int]) -> DataFrame:
+    """The messages of these ids; of a channel of files, only their files are opened."""
+    if channel.type != "file":
+        return all_manifests(spark, channel, schema).where(F.col("id").isin([int(i) for i in ids]))
+    there = [p for i in ids if files.exists(spark, p := f"{_folder(channel)}/{i}.msg")]
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(there)
+
+
+def last_message(spark: SparkSession, channel: Channel, schema: str) -> Row | None:
+    """The newest message; of a channel of files, only its file is opened."""
+    if channel.type != "file":
+        return last_manifest(all_manifests(spark, channel, schema))
+    number = last_id(spark, channel)
+    return None if number is None else manifests_of(spark, channel, schema, [number]).first()
+
+
 def last_manifest(manifests: DataFrame) -> Row | None:
     """The message with the highest id, by number."""
     return manifests.orderBy(F.col("id").desc()).limit(1).first()

@@ -18,6 +18,8 @@ from rollmill.durations import duration_millis, interval_bounds
 from rollmill.functions.timefmt import TimeFormat
 
 # Name of the row count that tables without a count metric carry.
+# How segments of snapshots are stored.
+SNAPSHOT_FORMATS = ("tsv", "parquet")
 ROLLUP_COUNT = "__rollup_count"
 
 # Width name -> Spark type.
@@ -169,8 +171,11 @@ class TableSpec:
     metrics: tuple[Metric, ...]
     partitioning: Partitioning | None = None
     sort_columns: tuple[str, ...] | None = None
+    snapshot_format: str | None = None
 
     def __post_init__(self) -> None:
+        if self.snapshot_format not in (None, *SNAPSHOT_FORMATS):
+            raise ValueError(f"table {self.name}: unknown snapshot format {self.snapshot_format!r}")
         object.__setattr__(self, "dimensions", tuple(self.dimensions))
         object.__setattr__(self, "metrics", tuple(self.metrics))
         if self.sort_columns is not None:
@@ -239,6 +244,7 @@ class TableSpec:
             metrics=tuple(Metric.from_dict(m) for m in doc.get("metrics", ())),
             partitioning=Partitioning.from_dict(part) if part else None,
             sort_columns=doc.get("sortColumns"),
+            snapshot_format=doc.get("snapshotFormat"),
         )
 
 
@@ -371,7 +377,12 @@ class RealTimeSpec:
 
 @dataclass(frozen=True)
 class BatchSpec:
-    """``rows_per_file`` bounds one output file: a heavier part is cut into several files."""
+    """``rows_per_file`` bounds one output file: a heavier part is cut into several files.
+
+    ``snapshots`` is ``segments`` (a snapshot is a list of folders in its manifest, of which a period adds
+    its own) or ``whole`` (``dt=<period>[/part=N]`` holds all history again). ``merge_after`` segments of
+    one size are put together. ``snapshot_format`` is that of segments.
+    """
 
     period: str = "P1D"
     keep: str | None = None
@@ -380,8 +391,17 @@ class BatchSpec:
     channel: Channel = Channel()
     processor: str | None = None
     rows_per_file: int = 5_000_000
+    snapshots: str = "segments"
+    merge_after: int = 8
+    snapshot_format: str = "tsv"
 
     def __post_init__(self) -> None:
+        if self.snapshots not in ("segments", "whole"):
+            raise ValueError(f"snapshots are segments or whole, not {self.snapshots!r}")
+        if self.snapshot_format not in SNAPSHOT_FORMATS:
+            raise ValueError(f"unknown snapshot format {self.snapshot_format!r}")
+        if self.merge_after < 2:
+            raise ValueError("merge_after must be two at least")
         if self.sort_columns is not None:
             object.__setattr__(self, "sort_columns", tuple(self.sort_columns))
         if self.period_millis <= 0:
@@ -406,6 +426,9 @@ class BatchSpec:
             channel=Channel.from_dict(channel) if channel else Channel(),
             processor=doc.get("processorClass"),
             rows_per_file=doc.get("rowsPerFile") or 5_000_000,
+            snapshots=doc.get("snapshots") or "segments",
+            merge_after=doc.get("mergeAfter") or 8,
+            snapshot_format=doc.get("snapshotFormat") or "tsv",
         )
 
 
@@ -437,6 +460,9 @@ class IndexerSpec:
         table.check_sort(chosen or ())
         return chosen or ()
 
+    def format_of(self, table: TableSpec) -> str:
+        return table.snapshot_format or self.batch.snapshot_format
+
     @classmethod
     def from_dict(cls, doc: Mapping[str, Any]) -> IndexerSpec:
         return cls(

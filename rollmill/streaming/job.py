@@ -22,7 +22,7 @@ from rollmill.session import configure, side_by_side
 from rollmill.sinks.manifests import send_manifest
 from rollmill.sinks.store import Written, write_micro_batch
 from rollmill.sources import kafka
-from rollmill.sources.manifests import MICRO_BATCH_SCHEMA, all_manifests
+from rollmill.sources.manifests import MICRO_BATCH_SCHEMA, all_manifests, last_message
 from rollmill.sources.records import BAD, RecordParser, good_records, record_parser
 from rollmill.spec import IndexerSpec, TableSpec, input_schema
 
@@ -119,8 +119,12 @@ class StreamJob:
     def known_offsets(self) -> list[dict]:
         """Where every partition met so far goes on."""
         if self.offsets is None:
-            told = all_manifests(self.spark, self.indexer.real_time.channel, MICRO_BATCH_SCHEMA)
-            self.offsets = kafka.newest_offsets(told)
+            channel = self.indexer.real_time.channel
+            last = last_message(self.spark, channel, MICRO_BATCH_SCHEMA)
+            if last is not None and last["offsets"]:  # every message carries the offsets of all partitions
+                self.offsets = [o.asDict() for o in last["offsets"]]
+            else:  # messages of another making
+                self.offsets = kafka.newest_offsets(all_manifests(self.spark, channel, MICRO_BATCH_SCHEMA))
         return self.offsets
 
     def source(self, partitions: Mapping[str, int] | None = None) -> DataFrame:

@@ -51,7 +51,8 @@ def table(name="foo", **kwargs):
     )
 
 
-def indexer(root, partitions=3, **batch):
+def indexer(root, partitions=3, snapshots="whole", **batch):
+    """Whole snapshots, whose folders hold all lines, unless told otherwise."""
     return IndexerSpec(
         store=f"{root}/store",
         real_time=RealTimeSpec(
@@ -66,6 +67,7 @@ def indexer(root, partitions=3, **batch):
         batch=BatchSpec(
             channel=Channel("file", str(root), "b"),
             partitioning=Partitioning(("company",), partitions) if partitions else None,
+            snapshots=snapshots,
             **batch,
         ),
     )

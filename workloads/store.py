@@ -5,6 +5,7 @@ Queries that need files keep them below the shared folder of the session (``roll
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,7 +29,7 @@ from rollmill.sinks.manifests import send_manifest
 from rollmill.sinks.store import Written, write_micro_batch, write_snapshot
 from rollmill.sources import kafka
 from rollmill.sources.manifests import BATCH_SCHEMA, MICRO_BATCH_SCHEMA, all_manifests, last_manifest
-from rollmill.sources.store import parse_lines, read_lines, read_snapshot
+from rollmill.sources.store import parse_lines, read_lines, read_published
 from rollmill.spec import (
     BatchSpec,
     Channel,
@@ -165,7 +166,7 @@ def snapshot_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     job, sent = run_history(spark, sf_dir, "snapshot-chain", table)
     rows = None
     for manifest in sent:
-        snapshot = read_snapshot(spark, table, job.batch_root, manifest["id"])
+        snapshot = read_published(spark, table, manifest["tables"][table.name])
         per_type = snapshot.transform(finalise(table, by=["event_type"])).withColumn("period", F.lit(manifest["id"]))
         rows = per_type if rows is None else rows.unionByName(per_type)
     return shown(rows, 4)
@@ -181,13 +182,12 @@ def snapshot_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
         partitioning=Partitioning(("event_type",), 3),
         sort_columns=("user_id", "ts"),
     )
-    return with_parts(spark, job, USER_CUBE, sent[-1]["id"])
+    return with_parts(spark, USER_CUBE, sent[-1])
 
 
-def with_parts(spark: SparkSession, job: IndexerSpec, table: TableSpec, period: int) -> DataFrame:
+def with_parts(spark: SparkSession, table: TableSpec, manifest: Mapping) -> DataFrame:
     """A partitioned snapshot with the part each row is in."""
-    base = f"{job.batch_root}/{table.name}/dt={period}"
-    return shown(parse_lines(read_lines(spark, base, base).select("value", "part"), table), 4)
+    return shown(read_published(spark, table, manifest["tables"][table.name], parts=True), 4)
 
 
 CLOSED = 1_705_536_000_000  # 2024-01-18, the begin of a week
@@ -211,7 +211,7 @@ def late_after_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     late.append(batch.late_paths)
     third = batch.run(LATER)
     late.append(batch.late_paths)
-    rows = read_snapshot(spark, table, job.batch_root, second[-1]["id"]).transform(finalise(table, by=["event_type"]))
+    rows = read_published(spark, table, second[-1]["tables"]["cube"]).transform(finalise(table, by=["event_type"]))
     told = {"late_first": late[0], "late_second": late[1], "late_third": late[2]}
     told |= {"sent_first": len(first), "sent_second": len(second), "sent_third": len(third)}
     return shown(rows, 4).withColumns({n: F.lit(v).cast("bigint") for n, v in told.items()})
@@ -239,7 +239,7 @@ def snapshot_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A granularity coarser than the period: all rows meet in the period of the first of the month."""
     table = event_cube("month", "cube")
     job, sent = run_history(spark, sf_dir, "snapshot-monthly", table)
-    rows = read_snapshot(spark, table, job.batch_root, sent[-1]["id"])
+    rows = read_published(spark, table, sent[-1]["tables"]["cube"])
     return shown(rows.withColumn("period", F.lit(sent[-1]["id"])), 4)
 
 
@@ -247,7 +247,7 @@ def snapshot_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only events inside the interval to keep stay in history."""
     table = event_cube("hour", "cube")
     job, sent = run_history(spark, sf_dir, "snapshot-kept", table, keep="2024-01-06T12:00:00/P10D")
-    return shown(read_snapshot(spark, table, job.batch_root, sent[-1]["id"]), 4)
+    return shown(read_published(spark, table, sent[-1]["tables"]["cube"]), 4)
 
 
 def snapshot_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,7 +386,7 @@ def processors_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One period for all, so that the batch processor sees every row once.
     job = event_stream(spark, sf_dir, "named", [table], change=named, period="P9000D")
     (sent,) = BatchJob(spark, job, [table]).run(27_000 * DAY)
-    return shown(read_snapshot(spark, table, job.batch_root, sent["id"]), 4)
+    return shown(read_published(spark, table, sent["tables"]["cube"]), 4)
 
 
 class Mirrored(StreamJob):
@@ -414,7 +414,7 @@ def table_layout_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     job, sent = run_history(
         spark, sf_dir, "own-layout", own, partitioning=Partitioning(("event_type",), 2), sort_columns=("user_id",)
     )
-    return with_parts(spark, job, own, sent[-1]["id"])
+    return with_parts(spark, own, sent[-1])
 
 
 def stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -438,7 +438,7 @@ def stream_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "both", [USER_CUBE], period="P7D", partitioning=Partitioning(("user_id",), 4)
     )
     sent = BatchJob(spark, job, [USER_CUBE]).run(LATER)
-    return with_parts(spark, job, USER_CUBE, sent[-1]["id"])
+    return with_parts(spark, USER_CUBE, sent[-1])
 
 
 def manifest_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
