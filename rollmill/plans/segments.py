@@ -212,30 +212,35 @@ def make_segments(
     names: Sequence[str],
 ) -> list[Segment]:
     """Write rows, which carry the name of their segment in ``DT``, and return the segments that have any,
-    in the order of ``names``. Rows are staged first, so they are made once, counted, and written."""
+    in the order of ``names``. The rows are read twice, to be counted and to be written."""
     partitioning = indexer.partitioning_of(table)
     if partitioning:
         rows = rows.withColumn(BUCKET, bucket_column(table, partitioning))
-    scratch = scratch_path(spark, f"{table.name}-segments")
+    found = measured(spark, rows, table, indexer, time_column)
+    root = f"{indexer.batch_root}/{table.name}"
+    for name in names:  # what an attempt that was never told of has left
+        files.delete(spark, f"{root}/dt={name}")
+    if found:
+        write_segments(
+            rows,
+            table,
+            root,
+            {DT: "dt", BUCKET: BUCKET_FOLDER} if partitioning else {DT: "dt"},
+            indexer.sort_of(table),
+            indexer.batch.rows_per_file,
+            indexer.format_of(table),
+        )
+    return [found[name] for name in names if name in found]
+
+
+def make_staged(spark: SparkSession, rows: DataFrame, table: TableSpec, indexer: IndexerSpec, time_column: str | None, name: str) -> list[Segment]:
+    """One segment of rows that are costly to read, or would be read from where they are written to."""
+    scratch = scratch_path(spark, f"{table.name}-{name}")
     try:
-        rows = stage(rows, scratch)
-        found = measured(spark, rows, table, indexer, time_column)
-        root = f"{indexer.batch_root}/{table.name}"
-        for name in names:  # what an attempt that was never told of has left
-            files.delete(spark, f"{root}/dt={name}")
-        if found:
-            write_segments(
-                rows,
-                table,
-                root,
-                {DT: "dt", BUCKET: BUCKET_FOLDER} if partitioning else {DT: "dt"},
-                indexer.sort_of(table),
-                indexer.batch.rows_per_file,
-                indexer.format_of(table),
-            )
+        staged = stage(rows.withColumn(DT, F.lit(name)), scratch)
+        return make_segments(spark, staged, table, indexer, time_column, [name])
     finally:
         files.delete(spark, scratch)
-    return [found[name] for name in names if name in found]
 
 
 def merged(
@@ -248,8 +253,7 @@ def merged(
             group = segments[begin:end]
             name = f"{group[0].first}-{group[-1].last}"
             rows = read_segments(spark, table, [s.path for s in group], indexer.format_of(table))
-            rows = rows.withColumn(DT, F.lit(name))
-            segments[begin:end] = make_segments(spark, rows, table, indexer, time_column, [name])
+            segments[begin:end] = make_staged(spark, rows, table, indexer, time_column, name)
     return segments
 
 
@@ -272,8 +276,7 @@ def retained(
             continue
         name = f"{s.first}-{s.last}~{start}-{end}"
         rows = read_segments(spark, table, [s.path], indexer.format_of(table))
-        rows = keep_between(time_column, *bounds)(rows).withColumn(DT, F.lit(name))
-        kept += make_segments(spark, rows, table, indexer, time_column, [name])
+        kept += make_staged(spark, keep_between(time_column, *bounds)(rows), table, indexer, time_column, name)
     return kept
 
 

@@ -28,7 +28,7 @@ from rollmill.durations import interval_bounds
 from rollmill.operators.balance import BUCKET, Layout, bucket_column, bucket_weights, place
 from rollmill.operators.chain import Processor
 from rollmill.operators.rollup import keep_between, rerollup
-from rollmill.plans.segments import DT, entry_of, make_segments
+from rollmill.plans.segments import entry_of, make_staged
 from rollmill.session import scratch_path, stage
 from rollmill.sinks.store import write_snapshot
 from rollmill.spec import IndexerSpec, Partitioning, TableSpec
@@ -154,8 +154,7 @@ def publish_snapshot(
             merged = merge(keep(history.rows.unionByName(new_rows)))
 
         if indexer.batch.snapshots == "segments":
-            named = merged.withColumn(DT, F.lit(str(period)))
-            made = make_segments(spark, named, table, indexer, certain, [str(period)])
+            made = make_staged(spark, merged, table, indexer, certain, str(period))
             return entry_of(table, indexer, made)
         layout = None
         if partitioning:
