@@ -1,5 +1,9 @@
 """Real-time job: parse the stream once, roll every micro-batch up per table, write, then tell.
 
+A table that follows from another one (``operators.lattice``) is rolled up from that one's rows, so the
+parsed records are aggregated once per family of tables. Tables with a processor of their own, and jobs
+that override ``process``, roll each table up from records.
+
 Parsing is part of the streaming plan; ``foreachBatch`` does the rest. The batch time is the
 stream's own ``current_timestamp``, which Spark keeps in the checkpoint: a batch that runs again
 after a failure has the same time, hence the same ``mb=`` folder, and replaces what it wrote.
@@ -16,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rollmill.operators import lattice
 from rollmill.operators.chain import Processor, load_hook
 from rollmill.operators.rollup import rollup
 from rollmill.session import configure, side_by_side
@@ -56,6 +61,11 @@ class StreamJob:
         custom = indexer.real_time.processor
         make: Callable[[TableSpec], Processor] = load_hook(custom) if custom else rollup
         self.processors = {t.name: make(t) for t in self.tables} | dict(processors or {})
+        own = set(processors or {}) | ({t.name for t in self.tables} if custom else set())
+        if type(self).process is not StreamJob.process:
+            own = {t.name for t in self.tables}
+        self.parents: dict[str, str | None] = {t.name: None for t in self.tables}
+        self.parents |= lattice.plan([t for t in self.tables if t.name not in own])
         self.offsets: list[dict] | None = None  # of all partitions met, read from manifests at the first batch
 
     def parse(self, records: DataFrame) -> DataFrame:
@@ -79,8 +89,18 @@ class StreamJob:
             self.indexer.real_time.parse.time_column,
         )
 
-    def _save_table(self, table: TableSpec, records: DataFrame, batch_millis: int) -> Written:
-        return self.save(table, self.process(table, records), batch_millis)
+    def _save_table(
+        self, table: TableSpec, records: DataFrame, batch_millis: int, rolled: dict[str, DataFrame]
+    ) -> Written:
+        parent = self.parents[table.name]
+        if parent is None:
+            rows = self.process(table, records)
+        else:
+            by_name = {t.name: t for t in self.tables}
+            rows = lattice.derived(table, by_name[parent])(rolled[parent])
+        if table.name in self.parents.values():
+            rolled[table.name] = rows = rows.persist()
+        return self.save(table, rows, batch_millis)
 
     def notify(self, manifest: Mapping[str, Any]) -> None:
         send_manifest(self.spark, self.indexer.real_time.channel, manifest)
@@ -88,6 +108,7 @@ class StreamJob:
     def handle(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch: every table reads the same parsed records, then one manifest names it all."""
         parsed = batch.persist()
+        rolled: dict[str, DataFrame] = {}
         try:
             records = good_records(parsed, self.indexer.real_time.parse)
             # one parallel pass that fills the cache, and tells an empty batch
@@ -96,8 +117,10 @@ class StreamJob:
                 self.offsets = kafka.carried(self.known_offsets(), kafka.end_offsets(parsed))
             if batch_millis is None:
                 return
-            tasks = {t.name: partial(self._save_table, t, records, batch_millis) for t in self.tables}
-            written = side_by_side(self.spark, self.workers, tasks)
+            by_name, written = {t.name: t for t in self.tables}, {}
+            for level in lattice.levels(self.parents):
+                tasks = {n: partial(self._save_table, by_name[n], records, batch_millis, rolled) for n in level}
+                written |= side_by_side(self.spark, self.workers, tasks)
             manifest: dict[str, Any] = {
                 "id": batch_millis,
                 "tables": {
@@ -112,6 +135,8 @@ class StreamJob:
             if kafka.OFFSET in parsed.columns:
                 manifest["offsets"] = self.offsets
         finally:
+            for rows in rolled.values():
+                rows.unpersist()
             parsed.unpersist()
         self.notify(manifest)
         log.info("micro-batch %s (%s) written", batch_id, batch_millis)

@@ -21,10 +21,11 @@ from rollmill.operators.balance import (
     place,
 )
 from rollmill.operators.chain import chain
+from rollmill.operators.lattice import rollup_family
 from rollmill.operators.rollup import finalise, rerollup, rollup, truncate_column
 from rollmill.plans.batch import BatchJob
 from rollmill.plans.worklist import late_entries, open_periods, period_entries, published_entries
-from rollmill.session import scratch_path
+from rollmill.session import scratch_path, stage
 from rollmill.sinks.manifests import send_manifest
 from rollmill.sinks.store import Written, write_micro_batch, write_snapshot
 from rollmill.sources import kafka
@@ -432,6 +433,38 @@ def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(left.unionByName(_stored(spark, job, kinds)), 4)
 
 
+LATTICE = (
+    TableSpec(
+        "fine",
+        (Dimension("user_id", type="long"), Dimension("event_type"), Dimension("ts", type="time", granularity="minute")),
+        VALUE_METRICS,
+    ),
+    TableSpec("hours", (Dimension("event_type"), Dimension("ts", type="time", granularity="hour")), VALUE_METRICS),
+    TableSpec("months", (Dimension("event_type"), Dimension("ts", type="time", granularity="month")), VALUE_METRICS),
+)
+
+
+def cube_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three nested tables: the finest is rolled up from records, the others each from the one before."""
+    kept = {t.name: scratch_path(spark, f"lattice-{t.name}") for t in LATTICE}
+    made = rollup_family(LATTICE, load(spark, sf_dir, "events"), lambda name, rows: stage(rows, kept[name]))
+    out = None
+    for table in LATTICE:
+        rows = made[table.name].withColumn("cube", F.lit(table.name)).withColumn("ts", F.col("ts").cast("timestamp"))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return shown(out, 4)
+
+
+def stream_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tables through the streaming job and its store."""
+    job = event_stream(spark, sf_dir, "lattice", list(LATTICE))
+    out = None
+    for table in LATTICE:
+        rows = _stored(spark, job, table).withColumn("cube", F.lit(table.name))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return shown(out, 4)
+
+
 def stream_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both jobs in a row: text files to the newest balanced snapshot."""
     job = event_stream(
@@ -500,6 +533,14 @@ _MICRO_SQL = f"""
     SELECT epoch_us(date_trunc('hour', ts)) // 1000 + user_id AS id, 'events_' || event_type AS t,
            {_DAY_PERIOD} AS period FROM events"""
 
+_LATTICE_SQL = f"""
+    SELECT user_id, event_type, date_trunc('minute', ts) AS ts, {_CUBE}, 'fine' AS cube FROM events GROUP BY 1, 2, 3
+    UNION ALL
+    SELECT NULL, event_type, date_trunc('hour', ts) AS ts, {_CUBE}, 'hours' FROM events GROUP BY 2, 3
+    UNION ALL
+    SELECT NULL, event_type, CAST(date_trunc('month', ts) AS TIMESTAMP) AS ts, {_CUBE}, 'months'
+    FROM events GROUP BY 2, 3"""
+
 _USER_SQL = f"SELECT user_id, event_type, date_trunc('hour', ts) AS ts, {_CUBE} FROM events GROUP BY 1, 2, 3"
 
 
@@ -638,6 +679,8 @@ WORKLOADS = {
             UNION ALL
             SELECT event_type, CAST(date_trunc('month', ts) AS TIMESTAMP) AS ts, {_CUBE} FROM events GROUP BY 1, 2""",
     ),
+    "cube_lattice": Workload(cube_lattice, _LATTICE_SQL),
+    "stream_lattice": Workload(stream_lattice, _LATTICE_SQL),
     "stream_then_batch": Workload(stream_then_batch, _with_parts_sql(_USER_SQL, "CAST(user_id AS VARCHAR)", 4)),
     "table_layout_wins": Workload(table_layout_wins, _with_parts_sql(_USER_SQL, "CAST(user_id AS VARCHAR)", 4)),
     "stream_in_steps": Workload(
