@@ -7,8 +7,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollmill.operators.bitmaps import bitmaps, merge_bitmaps, report
 from rollmill.operators.chain import chain
 from rollmill.operators.rollup import finalise, keep_between, rerollup, rollup
+from rollmill.session import scratch_path
 from rollmill.spec import AGGREGATES, NUMBER_TYPES, ROLLUP_COUNT, Dimension, Metric, TableSpec
 from workloads.base import Workload, load, shown
 
@@ -140,6 +142,31 @@ def bitset_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(rolled.transform(finalise(USERS)), 4)
 
 
+def wide_ids(events: DataFrame) -> DataFrame:
+    """User ids spread over many ranges of a bitmap, negative ones among them."""
+    return events.withColumn("user_id", F.col("user_id") * 9_973 - 200_000)
+
+
+def bitset_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of three micro-batches as stored bitmaps, merged and counted over a coarser key."""
+    events = load(spark, sf_dir, "events").transform(wide_ids)
+    rows, maps, folder = None, None, scratch_path(spark, "bitmaps")
+    for turn in range(3):
+        rolled = events.where(F.col("event_id") % 3 == turn).transform(rollup(USERS))
+        rolled.transform(bitmaps(USERS)).write.parquet(f"{folder}/mb={turn}")
+        rows = rolled if rows is None else rows.unionByName(rolled)
+    maps = spark.read.parquet(folder).drop("mb")
+    return shown(report(USERS, rows, maps, by=["event_type"]), 4)
+
+
+def bitset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many ids every day and range of ids has, from merged bitmaps."""
+    rolled = load(spark, sf_dir, "events").transform(wide_ids).transform(rollup(USERS))
+    merged = rolled.transform(bitmaps(USERS)).transform(merge_bitmaps(["ts"]))
+    merged = merged.withColumn("ts", F.col("ts").cast("timestamp"))
+    return shown(merged.select("ts", "metric", "bucket", F.bitmap_count("bits").alias("ids")))
+
+
 def bitset_distinct_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct ids over fewer dimensions than were stored."""
     rolled = load(spark, sf_dir, "events").transform(rollup(USERS))
@@ -281,6 +308,19 @@ WORKLOADS = {
                   count(*) AS events
            FROM events GROUP BY 1""",
     ),
+    "bitset_merged": Workload(
+        bitset_merged,
+        """SELECT event_type, count(DISTINCT user_id) AS users, round(sum(value), 4) AS value,
+                  count(*) AS events
+           FROM events GROUP BY 1""",
+    ),
+    "bitset_ranges": Workload(
+        bitset_ranges,
+        """SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts, 'users' AS metric,
+                  CASE WHEN id > 0 THEN 1 + (id - 1) // 32768 ELSE id // 32768 END AS bucket,
+                  count(DISTINCT id) AS ids
+           FROM (SELECT ts, user_id * 9973 - 200000 AS id FROM events) GROUP BY 1, 3""",
+    ),
     "metric_matrix": Workload(metric_matrix, _matrix_sql()),
     "rollup_number_dimensions": Workload(
         rollup_number_dimensions,
