@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollmill.functions.jsonpath import DEFINITE, compile_path, depth_of
 from rollmill.functions.timefmt import TimeFormat
 from rollmill.operators.chain import load_hook
 from rollmill.spec import ParseSpec
@@ -22,12 +23,12 @@ from rollmill.spec import ParseSpec
 BAD = "__bad"
 VALUE = "value"
 _DOC = "__doc"
+_DEPTH = "__depth"
 _CELLS = "__cells"
 _KEPT = "__kept"
 
 RecordParser = Callable[[DataFrame], DataFrame]
 
-_DEFINITE_PATH = re.compile(r"""^\$(?:\.[A-Za-z_][\w\-]*|\['[^']+'\]|\["[^"]+"\]|\[\d+\])+$""")
 _REGEX_META = set(".$|()[{^?*+\\")
 
 
@@ -85,12 +86,33 @@ def json_paths(parse: ParseSpec, schema: T.StructType) -> dict[str, str]:
     if unmapped:
         raise ValueError(f"fields without a path: {', '.join(unmapped)}")
     paths = {n: parse.field_mapping[n] for n in schema.names}
-    vague = [p for p in paths.values() if not _DEFINITE_PATH.match(p)]
-    if vague:
-        raise ValueError(f"only definite paths can be read: {', '.join(vague)}")
+    for path in paths.values():
+        if not DEFINITE.match(path):
+            compile_path(path)  # complains of what it cannot read
     return paths
 
 
+def _as_text(held: Column, kind: Column) -> Column:
+    """A single value as text: fractions print as Java doubles do (2 -> 2.0); only 19 and more digits can
+    be a whole number."""
+    fraction = kind.startswith("DECIMAL") & ~kind.rlike(r"^DECIMAL\((?:19|[23]\d),0\)$")
+    return F.when(fraction, F.try_variant_get(held, "$", "double").cast("string")).otherwise(
+        F.try_variant_get(held, "$", "string")
+    )
+
+
+def list_text(values: Column) -> Column:
+    """Values found by a path, as text: ``[a, 2.5, null]``; arrays and objects inside as JSON."""
+
+    def shown(value: Column) -> Column:
+        kind = F.schema_of_variant(value)
+        nested = kind.startswith("ARRAY") | kind.startswith("OBJECT")
+        text = F.when(nested, F.to_json(value)).otherwise(_as_text(value, kind))
+        return F.coalesce(text, F.lit("null"))
+
+    return F.concat(F.lit("["), F.array_join(F.transform(values, shown), ", "), F.lit("]"))
+
+
 def _json_field(held: Column, kind: Column, field: T.StructField, parse: ParseSpec) -> Column:
     """Typed value of what the document holds at a path; ``kind`` is the name of its type there."""
     absent = F.col(_DOC) & (kind.isNull() | (kind == "VOID"))
@@ -99,9 +121,7 @@ def _json_field(held: Column, kind: Column, field: T.StructField, parse: ParseSp
         return F.try_variant_get(held, "$", as_type)
 
     if isinstance(field.dataType, T.StringType):
-        # fractions print as Java doubles do (2 -> 2.0); only 19 and more digits can be a whole number
-        fraction = kind.startswith("DECIMAL") & ~kind.rlike(r"^DECIMAL\((?:19|[23]\d),0\)$")
-        text = F.when(fraction, read("double").cast("string")).otherwise(read("string"))
+        text = _as_text(held, kind)
         return F.when(absent, F.lit("")).otherwise(text) if parse.null_string_as_empty else text
     if isinstance(field.dataType, T.TimestampType):
         # a number is epoch millis whatever the format says
@@ -116,24 +136,49 @@ def _json_field(held: Column, kind: Column, field: T.StructField, parse: ParseSp
     return value
 
 
+def _list_field(text: Column, field: T.StructField) -> Column:
+    return text if isinstance(field.dataType, T.StringType) else F.lit(None).cast(field.dataType)
+
+
 def json_parser(parse: ParseSpec, schema: T.StructType) -> RecordParser:
-    """One variant parse per document, then one typed read per field."""
+    """One variant parse per document, then one typed read per field.
+
+    A path that may lead to several values gives a list of them: text for a field of type string, and no
+    value for any other type, so its record is bad.
+    """
     paths = json_paths(parse, schema)
+    many = {n: compile_path(p) for n, p in paths.items() if not DEFINITE.match(p)}
 
     def run(df: DataFrame) -> DataFrame:
         text = F.col(VALUE)
         # anything but an object is no record, and must not count as one with all fields absent
         whole = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
         others = _others(df, schema)
-        docs = df.select(F.when(whole, F.try_parse_json(text)).alias(_DOC), *others)
+        depth = [depth_of(text).alias(_DEPTH)] if any(".." in paths[n] for n in many) else []
+        docs = df.select(F.when(whole, F.try_parse_json(text)).alias(_DOC), *depth, *others)
+        doc, deep = F.col(_DOC), F.col(_DEPTH) if depth else F.lit(1)
         # each path is walked once; kind and typed value are read from what it leads to
         places = range(len(schema.fields))
-        held = [F.try_variant_get(F.col(_DOC), paths[n], "variant").alias(f"__held_{i}") for i, n in enumerate(schema.names)]
+        held = [
+            (
+                F.when(doc.isNotNull(), list_text(many[n](doc, deep)))
+                if n in many
+                else F.try_variant_get(doc, paths[n], "variant")
+            ).alias(f"__held_{i}")
+            for i, n in enumerate(schema.names)
+        ]
         found = docs.select(F.col(_DOC).isNotNull().alias(_DOC), *held, *others)
-        kinds = [F.schema_of_variant(f"__held_{i}").alias(f"__kind_{i}") for i in places]
+        kinds = [
+            (F.lit("LIST") if n in many else F.schema_of_variant(f"__held_{i}")).alias(f"__kind_{i}")
+            for i, n in enumerate(schema.names)
+        ]
         found = found.select(_DOC, *(f"__held_{i}" for i in places), *kinds, *others)
         typed = [
-            _json_field(F.col(f"__held_{i}"), F.col(f"__kind_{i}"), f, parse).alias(f.name)
+            (
+                _list_field(F.col(f"__held_{i}"), f)
+                if f.name in many
+                else _json_field(F.col(f"__held_{i}"), F.col(f"__kind_{i}"), f, parse)
+            ).alias(f.name)
             for i, f in enumerate(schema.fields)
         ]
         return _flag(found.select(*typed, *others), schema)

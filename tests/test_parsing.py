@@ -1,5 +1,7 @@
 """Delimited and JSON records, times, the line format."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,22 +12,24 @@ from rollmill.sources.records import BAD, parse_records, record_parser
 from rollmill.sources.store import parse_lines
 from rollmill.spec import Dimension, Metric, ParseSpec, TableSpec, input_schema
 
-TIME = "%Y-%m-%d %H:%M:%S"
-DIMENSIONS = (Dimension("app"), Dimension("date", type="time", format=TIME), Dimension("network"), Dimension("city"))
-APP = TableSpec("foo", DIMENSIONS, (Metric("revenue", "double_sum"), Metric("sessions", "long_sum")))
-APP_TSV = TableSpec("foo", DIMENSIONS, (*APP.metrics, Metric("installs", "int_sum")))
-FLAT = [
-    '{"app": "atlas", "date": "2018-03-04 10:20:30", "network": "north", "network_id": "123", "city": "Oslo", "sessions": 4, "revenue": 0.3}',
-    '{"app": "xylo", "date": "2018-03-06 07:08:09", "network": "south", "network_id": "321", "city": "Lima", "sessions": 6, "revenue": 12.5}',
-    '{\n  "app": "quiz",\n "date": "2017-11-12 23:59:01", "network": "north", "network_id": "123", "city": "Porto Alegre", "sessions": 2, "revenue": 9}',
-]
-GOLDEN = [
-    ("atlas", "2018-03-04 10:20:30", "north", "Oslo", 0.3, 4),
-    ("quiz", "2017-11-12 23:59:01", "north", "Porto Alegre", 9.0, 2),
-    ("xylo", "2018-03-06 07:08:09", "south", "Lima", 12.5, 6),
+CLOCK = "%d.%m.%Y %H:%M"
+METERS = (Dimension("meter", type="int"), Dimension("seen", type="time", format=CLOCK), Dimension("zone"))
+FLOW = TableSpec("flow", METERS, (Metric("litres", "double_sum"), Metric("alarms", "short_max")))
+# meter, time, zone, litres, alarms
+READINGS = [
+    (17, "2021-06-30 23:59:00", "harbour", 0.125, 0),
+    (17, "2021-07-01 00:00:00", "harbour", 18.0, 3),
+    (204, "2021-06-30 06:07:00", "", 2.5, 1),
+    (204, "2021-07-01 06:07:00", "old town", 1e6, -2),
+    (9000, "2020-02-29 12:30:00", "old town", -4.75, 0),
 ]
 
 
+def clock(time):
+    day, hour = time.split(" ")
+    return ".".join(reversed(day.split("-"))) + " " + hour[:5]
+
+
 def text(spark, lines):
     return spark.createDataFrame([(l,) for l in lines], "value STRING")
 
@@ -36,53 +40,53 @@ def parsed(spark, lines, table, parse):
     return sorted(tuple(r) for r in rows.withColumns({t: F.col(t).cast("string") for t in times}).collect())
 
 
-def test_tsv_app_events(spark):
-    lines = [
-        "atlas\t2018-03-04 10:20:30\tnorth\t123\tOslo\t30\t4\t0.1",
-        "xylo\t2018-03-06 07:08:09\tsouth\t321\tLima\t50\t5\t11.1",
-        "quiz\t2017-11-12 23:59:01\tnorth\t123\tPorto Alegre\t10\t6\t8.0",
-    ]
-    columns = ("app", "date", "network", "network_id", "city", "sessions", "installs", "revenue")
-    parse = ParseSpec("tsv", columns=columns, time_formats={"date": TIME})
-    assert parsed(spark, lines, APP_TSV, parse) == [
-        ("atlas", "2018-03-04 10:20:30", "north", "Oslo", 0.1, 30, 4),
-        ("quiz", "2017-11-12 23:59:01", "north", "Porto Alegre", 8.0, 10, 6),
-        ("xylo", "2018-03-06 07:08:09", "south", "Lima", 11.1, 50, 5),
-    ]
-    rows = parse_records(text(spark, lines), parse, input_schema([APP_TSV]))
-    assert sorted(r[0] for r in to_lines(rows, APP_TSV).collect()) == [
-        "atlas\t2018-03-04 10:20:30\tnorth\tOslo\t0.1\t30\t4",
-        "quiz\t2017-11-12 23:59:01\tnorth\tPorto Alegre\t8.0\t10\t6",
-        "xylo\t2018-03-06 07:08:09\tsouth\tLima\t11.1\t50\t5",
+def test_tsv_readings(spark):
+    """Columns in another order than fields, one of them unused."""
+    lines = [f"{clock(t)}\t{z}\tserial-{m}\t{a}\t{v}\t{m}" for m, t, z, v, a in READINGS]
+    columns = ("seen", "zone", "serial", "alarms", "litres", "meter")
+    parse = ParseSpec("tsv", columns=columns, time_formats={"seen": CLOCK})
+    assert parsed(spark, lines, FLOW, parse) == READINGS
+    rows = parse_records(text(spark, lines), parse, input_schema([FLOW]))
+    assert sorted(r[0] for r in to_lines(rows, FLOW).collect()) == [
+        "17\t01.07.2021 00:00\tharbour\t18.0\t3",
+        "17\t30.06.2021 23:59\tharbour\t0.125\t0",
+        "204\t01.07.2021 06:07\told town\t1000000.0\t-2",
+        "204\t30.06.2021 06:07\t\t2.5\t1",
+        "9000\t29.02.2020 12:30\told town\t-4.75\t0",
     ]
 
 
 def test_json_flat(spark):
-    assert parsed(spark, FLAT, APP, ParseSpec("json", time_formats={"date": TIME})) == GOLDEN
+    docs = [
+        json.dumps({"litres": v, "meter": str(m), "seen": clock(t), "zone": z or None, "alarms": a, "unused": [1, {}]}, indent=a)
+        for m, t, z, v, a in READINGS
+        if a >= 0
+    ]
+    want = [r for r in READINGS if r[-1] >= 0]
+    assert parsed(spark, docs, FLOW, ParseSpec("json", time_formats={"seen": CLOCK})) == want
 
 
 def test_json_paths_and_a_broken_document(spark):
     nested = [
-        '{"meta": {"app": "%s", "city": "%s", "time": "%s"}, "attr": {"network": "%s", "network_id": "1"}, "stats": {"sessions": %d, "revenue": %s}}'
-        % (a, c, t, n, s, 9 if r == 9.0 else r)
-        for a, t, n, c, r, s in GOLDEN
+        json.dumps({"who": [{"meter": m}, {"zone": {"name": z}}], "clock": {"day": {"seen": clock(t)}}, "sum": [[v, a]]})
+        for m, t, z, v, a in READINGS
     ]
-    broken = "{ no end of this string\n" + nested[0].replace('"meta"', '"meta')[1:]
+    broken = nested[0][:-9]
     mapping = {
-        "app": "$.meta.app",
-        "date": "$.meta.time",
-        "network": "$.attr.network",
-        "city": "$.meta.city",
-        "revenue": "$.stats.revenue",
-        "sessions": "$.stats.sessions",
+        "meter": "$.who[0].meter",
+        "seen": "$.clock.day['seen']",
+        "zone": "$.who[1].zone.name",
+        "litres": "$.sum[0][0]",
+        "alarms": '$["sum"][0][1]',
     }
-    parse = ParseSpec("json", field_mapping=mapping, time_formats={"date": TIME})
-    assert parsed(spark, [*nested, broken], APP, parse) == GOLDEN
+    parse = ParseSpec("json", field_mapping=mapping, time_formats={"seen": CLOCK})
+    assert parsed(spark, [*nested, broken], FLOW, parse) == READINGS
+    strict = ParseSpec("json", field_mapping=mapping, time_formats={"seen": CLOCK}, skip_bad_rows=False)
     with pytest.raises(Exception, match="could not be parsed"):
-        parsed(spark, [*nested, broken], APP, ParseSpec("json", field_mapping=mapping, time_formats={"date": TIME}, skip_bad_rows=False))
-    for wrong in ({"app": "$.a"}, {**mapping, "app": "$..app"}, {**mapping, "app": "$.a[?(@.x)]"}):
+        parsed(spark, [*nested, broken], FLOW, strict)
+    for wrong in ({"meter": "$.a"}, {**mapping, "zone": "$..zone["}, {**mapping, "zone": "$.a[?(x)]"}):
         with pytest.raises(ValueError):
-            record_parser(ParseSpec("json", field_mapping=wrong), input_schema([APP]))
+            record_parser(ParseSpec("json", field_mapping=wrong), input_schema([FLOW]))
 
 
 KINDS = ("string", "numeric", "time", "microtime", "byte", "ubyte", "short", "ushort", "int", "uint", "long", "ulong", "float", "double")
@@ -95,9 +99,9 @@ def test_json_types(spark):
         tuple(Dimension(k, type=k) for k in KINDS),
         (Metric("count", "count"), *(Metric(f"{w}_sum", f"{w}_sum") for w in widths)),
     )
-    numbers = [-10, 10, 5, 5, -120, 120, -123456, 123456, 1.23456, 1.23456]
+    numbers = [-77, 201, -3021, 60123, -70001, 3_100_000_000, -88_000_000_001, 9_000_000_001, 0.75, 2.71875]
     cells = [f'"{k}": {v}' for k, v in zip([*widths, *(f"{w}_sum" for w in widths)], numbers * 2)]
-    head = '"string": "A", "numeric": 123, "time": "2019-01-05T01:02:03+0000", "microtime": "2019-01-05T01:02:03.123+0000"'
+    head = '"string": "zinc", "numeric": 41, "time": "2022-11-30T22:15:45+0100", "microtime": "2022-11-30T22:15:45.678-0230"'
     for quoted in (False, True):
         body = [c.replace(": ", ': "') + '"' for c in cells] if quoted else cells
         rows = parse_records(text(spark, ["{" + ", ".join([head, *body]) + "}"]), ParseSpec("json"), input_schema([table]))
@@ -106,8 +110,8 @@ def test_json_types(spark):
             *(["tinyint", "smallint", "smallint", "int", "int", "bigint", "bigint", "bigint", "float", "double"] * 2),
         ]
         row = rows.withColumns({c: F.unix_millis(c) for c in ("time", "microtime")}).first()
-        assert tuple(row)[:12] == ("A", 123, 1546650123000, 1546650123123, *numbers[:8])
-        assert row["double"] == 1.23456 and abs(row["float"] - 1.23456) < 1e-6
+        assert tuple(row)[:12] == ("zinc", 41, 1669842945000, 1669855545678, *numbers[:8])
+        assert row["double"] == 2.71875 and row["float"] == 0.75
 
 
 def one(spark, doc, kind="int", **parse):
@@ -147,10 +151,10 @@ def test_json_times(spark):
         return found if found == "bad" else int(found.timestamp() * 1000)
 
     posix = {"time_formats": {"x": "posix"}}
-    assert millis('{"x": 1564167545123}') == 1564167545123
-    assert millis('{"x": 1564167545123}', **posix) == 1564167545123  # a number is millis whatever the format
-    assert millis('{"x": "1564167545"}', **posix) == 1564167545000
-    assert millis('{"x": "1564167545123"}') == 1564167545123
+    assert millis('{"x": 1700000007891}') == 1700000007891
+    assert millis('{"x": 1700000007891}', **posix) == 1700000007891  # a number is millis whatever the format
+    assert millis('{"x": "1700000007"}', **posix) == 1700000007000
+    assert millis('{"x": "1700000007891"}') == 1700000007891
     assert millis('{"x": "2019-01-05T01:02:03.123Z"}') == 1546650123123
     for wrong in ('{"x": true}', '{"x": null}', "{}", '{"x": "soon"}'):
         assert millis(wrong) == "bad"
@@ -170,27 +174,27 @@ def test_delimited_lines(spark):
     for delimiter in ("|", ".", "||", ",", "\\", "^", "\\E"):
         assert flags(spark, [f"a{delimiter}1"], delimiter=delimiter) == [("a", 1, False)]
     with pytest.raises(ValueError, match="missing"):
-        record_parser(ParseSpec("tsv", columns=("a",)), input_schema([APP]))
+        record_parser(ParseSpec("tsv", columns=("a",)), input_schema([FLOW]))
     with pytest.raises(ValueError, match="no parser"):
-        record_parser(ParseSpec(), input_schema([APP]))
+        record_parser(ParseSpec(), input_schema([FLOW]))
 
 
 def test_parse_runs_once(spark):
     """Selecting good records must not repeat the parse in a pushed-down filter."""
-    for parse in (ParseSpec("json"), ParseSpec("tsv", columns=("app", "date", "network", "city", "revenue", "sessions"))):
-        rows = parse_records(text(spark, FLAT), parse, input_schema([APP]))
+    for parse in (ParseSpec("json"), ParseSpec("tsv", columns=tuple(input_schema([FLOW]).names))):
+        rows = parse_records(text(spark, ["{}"]), parse, input_schema([FLOW]))
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("parseJson(") + plan.count("split(") == 1
         assert "Filter" not in plan
 
 
 def test_epoch_formats(spark):
-    row = spark.sql("SELECT '1564167545' AS s, '1564167545123' AS m, '1564167545123456' AS u").select(
+    row = spark.sql("SELECT '1700000007' AS s, '1700000007891' AS m, '1700000007891234' AS u").select(
         F.unix_micros(TimeFormat.of("posix").parse(F.col("s"))),
         F.unix_micros(TimeFormat.of("millis").parse(F.col("m"))),
         F.unix_micros(TimeFormat.of("micros").parse(F.col("u"))),
     )
-    assert tuple(row.first()) == (1564167545000000, 1564167545123000, 1564167545123456)
+    assert tuple(row.first()) == (1700000007000000, 1700000007891000, 1700000007891234)
 
 
 def test_time_texts(spark):

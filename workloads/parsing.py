@@ -212,6 +212,39 @@ def json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(rows.transform(rollup(NESTED)), 4)
 
 
+ORDER_LISTS = {
+    "parts": "$.lines[*].part",
+    "quantities": "$..qty",
+    "large": "$.lines[?(@.qty > 30 && @.flag != 'R')].no",
+    "last": "$.lines[-1].no",
+    "first_two": "$.lines[:2].no",
+    "shipped": "$['lines'][*].ship.by",
+}
+ORDER_LINES = TableSpec(
+    "order_lines",
+    (Dimension("order", type="long"), *(Dimension(n) for n in ORDER_LISTS)),
+    (Metric("orders", "count"),),
+)
+
+
+def json_path_wildcards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of values that paths find in orders with their lines; some lines lack a member, some orders
+    have a null for their lines."""
+    line = F.struct(
+        F.col("l_linenumber").alias("no"),
+        F.col("l_partkey").alias("part"),
+        F.col("l_quantity").alias("qty"),
+        F.col("l_returnflag").alias("flag"),
+        F.when(F.col("l_linestatus") == "O", F.struct(F.col("l_suppkey").alias("by"))).alias("ship"),
+    )
+    lines = load(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("order"))
+    lines = lines.agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    some = F.when(F.col("order") % 10 > 0, F.col("lines")).alias("lines")
+    docs = lines.select(F.to_json(F.struct("order", some), {"ignoreNullFields": "true"}).alias("value"))
+    parse = ParseSpec("json", field_mapping={"order": "$.order", **ORDER_LISTS})
+    return parse_records(docs, parse, input_schema([ORDER_LINES])).transform(rollup(ORDER_LINES))
+
+
 def json_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a byte field holds: numbers are cut, text is read, null is zero; a number out of range,
     a boolean and broken JSON drop the record."""
@@ -352,6 +385,30 @@ WORKLOADS = {
                   count(*) AS n
            FROM orders GROUP BY 1""",
     ),
+    "json_path_wildcards": Workload(
+        json_path_wildcards,
+        """WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS place,
+                             count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
+                found AS (
+             SELECT l_orderkey AS "order",
+               string_agg(CAST(l_partkey AS VARCHAR), ', ' ORDER BY place) AS parts,
+               string_agg(CAST(l_quantity AS VARCHAR), ', ' ORDER BY place) AS quantities,
+               string_agg(CAST(l_linenumber AS VARCHAR), ', ' ORDER BY place)
+                 FILTER (l_quantity > 30 AND l_returnflag <> 'R') AS large,
+               string_agg(CAST(l_linenumber AS VARCHAR), ', ' ORDER BY place) FILTER (place = n) AS last,
+               string_agg(CAST(l_linenumber AS VARCHAR), ', ' ORDER BY place) FILTER (place <= 2) AS first_two,
+               string_agg(CAST(l_suppkey AS VARCHAR), ', ' ORDER BY place) FILTER (l_linestatus = 'O') AS shipped
+             FROM l GROUP BY 1)
+           SELECT "order",
+             '[' || CASE WHEN "order" % 10 > 0 THEN coalesce(parts, '') ELSE '' END || ']' AS parts,
+             '[' || CASE WHEN "order" % 10 > 0 THEN coalesce(quantities, '') ELSE '' END || ']' AS quantities,
+             '[' || CASE WHEN "order" % 10 > 0 THEN coalesce(large, '') ELSE '' END || ']' AS large,
+             '[' || CASE WHEN "order" % 10 > 0 THEN coalesce(last, '') ELSE '' END || ']' AS last,
+             '[' || CASE WHEN "order" % 10 > 0 THEN coalesce(first_two, '') ELSE '' END || ']' AS first_two,
+             '[' || CASE WHEN "order" % 10 > 0 THEN coalesce(shipped, '') ELSE '' END || ']' AS shipped,
+             count(*) AS orders
+           FROM found GROUP BY ALL""",
+    ),
     "json_path": Workload(
         json_path,
         """SELECT event_type AS type, 'y' AS tag, CAST(sum(k) AS BIGINT) AS k_sum, max(k) AS k_max,
