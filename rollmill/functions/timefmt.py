@@ -37,6 +37,10 @@ DIRECTIVES = {
     "Z": "zzz",
 }
 EPOCH_FORMATS = ("posix", "millis", "micros")
+# Weeks that start on Sunday or Monday, of which those before the first such day are week 0, and the number
+# of the weekday, Sunday 0. Spark has no pattern for these.
+WEEK_DIRECTIVES = ("U", "W", "w")
+_WEEKDAYS = ("sun", "mon", "tue", "wed", "thu", "fri", "sat")
 
 _DAY_NAMES = r"(?i)\b(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?\b"
 # Two-letter number fields that may also be read with a single digit.
@@ -63,6 +67,8 @@ def _pieces(spec: str) -> list[_Piece]:
         code = spec[at + 1 : at + 2]
         if code == "%":
             out.append(_Piece("%", True))
+        elif code in WEEK_DIRECTIVES and code:
+            out.append(_Piece(f"%{code}", False))
         elif code in DIRECTIVES and code:
             # composite directives fall apart into fields and the literals between them
             for part in re.findall(r"[A-Za-z]+|[^A-Za-z]", DIRECTIVES[code]):
@@ -97,6 +103,8 @@ def _assemble(pieces: list[_Piece]) -> str:
         if piece.literal:
             run += piece.text
             continue
+        if piece.text[0] == "%":
+            raise ValueError(f"no pattern for {piece.text}")
         out.append(_quote(run))
         run = ""
         out.append(piece.text)
@@ -162,6 +170,76 @@ def read_regex(spec: str) -> str:
     return "^" + "".join(looks)
 
 
+def week_number(time: Column, starts: str) -> Column:
+    """Week of the year from 0, by ``U`` (starts on Sunday) or ``W`` (on Monday)."""
+    since = F.dayofweek(time) - 1 if starts == "U" else F.weekday(time)
+    return F.call_function("div", F.dayofyear(time) + 6 - since, F.lit(7)).cast("int")
+
+
+def week_date(year: Column, week: Column, since: Column, starts: str) -> Column:
+    """The day ``since`` days after the start of a week."""
+    first = F.make_date(year, F.lit(1), F.lit(1))
+    offset = F.dayofweek(first) - 1 if starts == "U" else F.weekday(first)
+    # days from New Year to the start of week 1, then on
+    start = F.pmod(F.lit(7) - offset, F.lit(7)) + (week - 1) * 7
+    return F.date_add(first, (start + since).cast("int"))
+
+
+def _weekly(spec: str) -> bool:
+    return any(p.text[0] == "%" and not p.literal for p in _pieces(spec))
+
+
+def _read_week(spec: str, text: Column) -> Column:
+    """Read a format that has weeks or numbers of weekdays: its fields are taken apart, the date is put in
+    place of the week, and the rest is read by a pattern. A month or a day of the year makes the week
+    redundant; a week without a weekday is its first day that lies in the year."""
+    pieces = _pieces(spec)
+    codes = [p.text for p in pieces if not p.literal]
+    looks = {"%U": r"\d{1,2}", "%W": r"\d{1,2}", "%w": "[0-6]", "EEE": "[A-Za-z]+", "EEEE": "[A-Za-z]+", **_LOOKS}
+    looks["SSS"] = r"\d{6}|\d{3}"
+    regex = "^" + "".join(re.escape(p.text) if p.literal else f"({looks.get(p.text, '[0-9]{1,2}')})" for p in pieces)
+
+    def field(code: str) -> Column:
+        return F.regexp_extract(text, regex, codes.index(code) + 1)
+
+    dated = {"MM", "MMM", "MMMM", "dd", "DDD"} & set(codes)
+    starts = next((c[1] for c in codes if c in ("%U", "%W")), None)
+    left_out = {"%U", "%W", "%w", "EEE", "EEEE"}
+    parts, patterns = [], []
+    if not dated and starts:
+        year, week = field("yyyy").try_cast("int"), field(f"%{starts}").try_cast("int")
+        if "%w" in codes:
+            day = field("%w").try_cast("int")
+        elif (name := next((c for c in codes if c.startswith("E")), None)) is not None:
+            known = F.array(*(F.lit(d) for d in _WEEKDAYS))
+            day = F.nullif(F.array_position(known, F.lower(F.left(field(name), F.lit(3)))), F.lit(0)).cast("int") - 1
+        else:
+            day = None
+        if day is None:
+            first = F.make_date(year, F.lit(1), F.lit(1))
+            date = F.greatest(first, week_date(year, week, F.lit(0), starts))
+        else:
+            date = week_date(year, week, day if starts == "U" else F.pmod(day + 6, F.lit(7)), starts)
+        parts.append(F.date_format(F.when(week <= 53, date), "yyyy-MM-dd"))
+        patterns.append("yyyy-MM-dd")
+        left_out.add("yyyy")
+    for code in codes:
+        if code not in left_out:
+            parts.append(field(code))
+            patterns.append("[SSSSSS][SSS]" if code == "SSS" else _LOOSE.get(code, code))
+    return F.when(text.rlike(regex), F.try_to_timestamp(F.concat_ws(" ", *parts), F.lit(" ".join(patterns))))
+
+
+def _check_weeks(spec: str) -> None:
+    codes = [p.text for p in _pieces(spec) if not p.literal]
+    dated = {"MM", "MMM", "MMMM", "dd", "DDD"} & set(codes)
+    repeated = sorted({c for c in codes if codes.count(c) > 1})
+    if repeated:
+        raise ValueError(f"time format {spec!r}: a field is given twice beside a week")
+    if not dated and not ({"%U", "%W"} & set(codes) and "yyyy" in codes):
+        raise ValueError(f"time format {spec!r}: a weekday or week needs %Y and a week, or a month and day")
+
+
 @dataclass(frozen=True)
 class TimeFormat:
     """``None`` (ISO-8601 or epoch millis), an epoch unit, or a strptime format."""
@@ -173,8 +251,11 @@ class TimeFormat:
     def of(spec: str | None) -> TimeFormat:
         fmt = TimeFormat(spec)
         if spec is not None and spec not in EPOCH_FORMATS:
-            print_pattern(spec)
-            read_pattern(spec)
+            if _weekly(spec):
+                _check_weeks(spec)
+            else:
+                print_pattern(spec)
+                read_pattern(spec)
         return fmt
 
     def parse(self, text: Column) -> Column:
@@ -188,12 +269,17 @@ class TimeFormat:
         if self.spec == "micros":
             return F.timestamp_micros(text.try_cast("bigint"))
         codes = [p.text for p in _pieces(self.spec) if not p.literal]
+        if _weekly(self.spec):
+            return self._this_century(_read_week(self.spec, text), codes)
         if any(c.startswith("E") for c in codes):
             text = F.regexp_replace(text, _DAY_NAMES, "")
         pattern = F.lit(read_pattern(self.spec))
         # text after the time is ignored; it is only cut off where the whole does not fit
         head = F.regexp_extract(text, read_regex(self.spec), 0)
         found = F.coalesce(F.try_to_timestamp(text, pattern), F.try_to_timestamp(head, pattern))
+        return self._this_century(found, codes)
+
+    def _this_century(self, found: Column, codes: list[str]) -> Column:
         if "yy" in codes and "yyyy" not in codes:
             # two-digit years lie within 80 years before and 20 years after now
             century = F.make_ym_interval(F.lit(100))
@@ -210,7 +296,21 @@ class TimeFormat:
             return F.call_function("div", F.unix_millis(time), F.lit(1000)).cast("string")
         if self.spec == "micros":
             return F.unix_micros(time).cast("string")
-        return F.date_format(time, print_pattern(self.spec))
+        if not _weekly(self.spec):
+            return F.date_format(time, print_pattern(self.spec))
+        shown, run = [], []
+        for piece in [*_pieces(self.spec), _Piece("%end", False)]:
+            if piece.literal or piece.text[0] != "%":
+                run.append(piece)
+                continue
+            if run:
+                shown.append(F.date_format(time, _assemble(run)))
+                run = []
+            if piece.text == "%w":
+                shown.append((F.dayofweek(time) - 1).cast("string"))
+            elif piece.text != "%end":
+                shown.append(F.lpad(week_number(time, piece.text[1]).cast("string"), 2, "0"))
+        return F.concat(*shown)
 
     def keeps(self, unit_millis: int) -> bool:
         """Whether a printed and re-read time stays inside its span of ``unit_millis`` after the epoch."""
@@ -220,7 +320,8 @@ class TimeFormat:
             return unit_millis % 1000 == 0
         codes = {p.text for p in _pieces(self.spec) if not p.literal}
         month = codes & {"MM", "MMM", "MMMM"}
-        day = "yyyy" in codes and ("DDD" in codes or (month and "dd" in codes))
+        week = codes & {"%U", "%W"} and codes & {"%w", "EEE", "EEEE"}
+        day = "yyyy" in codes and ("DDD" in codes or (month and "dd" in codes) or week)
         hour = "HH" in codes or {"hh", "a"} <= codes
         if unit_millis % 86_400_000 == 0:
             return bool(day)

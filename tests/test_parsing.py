@@ -1,6 +1,7 @@
 """Delimited and JSON records, times, the line format."""
 
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -250,3 +251,56 @@ def test_store_lines(spark):
     for damaged in ("ab\t-1\t2020-02\t0.1\t1.0E10", "ab\t-1\t2020-02\t0.1\t1.0E10\tx", "ab\tx\t2020-02\t0.1\t1.0\t3"):
         with pytest.raises(Exception, match="cannot read"):
             parse_lines(text(spark, [damaged]), table).collect()
+
+
+WEEK_FORMATS = ["%Y-%U-%w", "%Y-%W-%w", "%Y %U, %A", "%a %W of %Y", "%H:%M week %W day %w in %Y", "%Y%m%d %U %W %w", "%j/%Y w%W"]
+
+
+def test_weeks_of_thirty_years(spark):
+    """Every day printed as strftime does, and read back."""
+    days = spark.sql(
+        "SELECT explode(sequence(TIMESTAMP'2000-01-01 07:45:00', TIMESTAMP'2030-12-31 07:45:00', INTERVAL 1 DAY)) AS t"
+    )
+    shown = [TimeFormat.of(f).format(F.col("t")).alias(f"p{i}") for i, f in enumerate(WEEK_FORMATS)]
+    printed = days.select("t", *shown)
+    read = [TimeFormat.of(f).parse(F.col(f"p{i}")).alias(f"r{i}") for i, f in enumerate(WEEK_FORMATS)]
+    rows = printed.select("*", *read).select(*(F.col(c).cast("string") for c in [*printed.columns, *(f"r{i}" for i in range(len(read)))])).collect()
+    assert len(rows) == 11323
+    for row in rows:
+        time = datetime.fromisoformat(row["t"])
+        for i, spec in enumerate(WEEK_FORMATS):
+            assert row[f"p{i}"] == time.strftime(spec)
+            back = time if "%H" in spec else datetime(time.year, time.month, time.day)
+            assert row[f"r{i}"] == str(back)
+
+
+@pytest.mark.parametrize(
+    "spec, text, want",
+    [
+        ("%Y-%U-%w", "2021-00-6", "2021-01-02 00:00:00"),
+        ("%Y-%U-%w", "2021-7-0", "2021-02-14 00:00:00"),
+        ("%Y-%W-%w", "2021-07-0 and more", "2021-02-21 00:00:00"),
+        ("%Y-%W", "2021-07", "2021-02-15 00:00:00"),
+        ("%Y-%W", "2021-00", "2021-01-01 00:00:00"),
+        ("%Y-%U", "2023-01", "2023-01-01 00:00:00"),
+        ("%Y %U %a", "2021 07 Wednes", "2021-02-17 00:00:00"),
+        ("%Y %U %a", "2021 07 noday", None),
+        ("%Y-%U-%w", "2021-54-1", None),
+        ("%Y-%U-%w", "2021-10-7", None),
+        ("%Y-%U-%w", "week", None),
+        ("%Y-%U-%w", "", None),
+        ("%Y-%U-%w %I:%M %p", "2021-07-0 11:05 PM", "2021-02-14 23:05:00"),
+        ("%Y-%U-%w %H.%f %z", "2021-07-0 11.250 +0200", "2021-02-14 09:00:00.25"),
+        ("%d.%m.%Y (%w)", "14.2.2021 (3)", "2021-02-14 00:00:00"),
+    ],
+)
+def test_reading_weeks(spark, spec, text, want):
+    got = spark.createDataFrame([(text,)], "t string").select(TimeFormat.of(spec).parse(F.col("t")).cast("string")).first()[0]
+    assert got == want
+
+
+def test_weeks_that_decide_nothing():
+    for wrong in ("%Y %w", "%U", "%y %U %w", "%Y %U %U", "%U %w"):
+        with pytest.raises(ValueError):
+            TimeFormat.of(wrong)
+    assert TimeFormat.of("%Y-%U-%w").keeps(86_400_000) and not TimeFormat.of("%Y-%U").keeps(86_400_000)

@@ -245,6 +245,17 @@ def json_path_wildcards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_records(docs, parse, input_schema([ORDER_LINES])).transform(rollup(ORDER_LINES))
 
 
+WEEK_TEXTS = {"sunday": "%Y-%U-%w", "monday": "%Y/%W/%A", "start": "%Y w%W", "both": "%Y%m%d %U %W %w"}
+
+
+def week_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ship date printed by weeks, and read back from that."""
+    days = load(spark, sf_dir, "lineitem").groupBy(F.to_date("l_shipdate").alias("day")).agg(F.count("*").alias("lines"))
+    printed = days.select("*", *(TimeFormat.of(f).format(F.col("day")).alias(n) for n, f in WEEK_TEXTS.items()))
+    read = [TimeFormat.of(f).parse(F.col(n)).alias(f"{n}_read") for n, f in WEEK_TEXTS.items()]
+    return shown(printed.select("*", *read))
+
+
 def json_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a byte field holds: numbers are cut, text is read, null is zero; a number out of range,
     a boolean and broken JSON drop the record."""
@@ -385,6 +396,16 @@ WORKLOADS = {
                   count(*) AS n
            FROM orders GROUP BY 1""",
     ),
+    "week_dates": Workload(
+        week_dates,
+        """WITH d AS (SELECT date_trunc('day', l_shipdate)::DATE AS day, count(*) AS lines FROM lineitem GROUP BY 1)
+           SELECT CAST(day AS TIMESTAMP) AS day, lines, strftime(day, '%Y-%U-%w') AS sunday, strftime(day, '%Y/%W/%A') AS monday,
+                  strftime(day, '%Y w%W') AS start, strftime(day, '%Y%m%d %U %W %w') AS "both",
+                  CAST(day AS TIMESTAMP) AS sunday_read, CAST(day AS TIMESTAMP) AS monday_read,
+                  greatest(date_trunc('year', day), CAST(day - CAST(isodow(day) - 1 AS INTEGER) AS TIMESTAMP)) AS start_read,
+                  CAST(day AS TIMESTAMP) AS both_read
+           FROM d""",
+    ),
     "json_path_wildcards": Workload(
         json_path_wildcards,
         """WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS place,
