@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollmill import files
 from rollmill.functions.periods import period_of, period_of_millis
 from rollmill.functions.text import clean_text
 from rollmill.operators.balance import PART
@@ -89,6 +90,19 @@ def write_micro_batch(
     return Written(found["rows"], paths)
 
 
+def write_refused(df: DataFrame, root: str, batch_millis: int) -> int:
+    """Write the bad records of a micro-batch as JSON lines below ``mb=``; how many there are. Writing the
+    same batch again replaces its files; a batch without any leaves no folder."""
+    target = f"{root}/mb={batch_millis}"
+    if df.isEmpty():
+        files.delete(df.sparkSession, target)
+        return 0
+    seen = Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("overwrite").option("compression", "gzip").option("ignoreNullFields", False).json(target)
+    return seen.get["rows"]
+
+
 def write_snapshot(
     df: DataFrame, table: TableSpec, root: str, period: int, time_column: str | None = None
 ) -> Written:

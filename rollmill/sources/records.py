@@ -2,7 +2,8 @@
 
 A parser turns a DataFrame with a ``value`` column (batch or streaming) into the input fields plus
 the flag ``__bad``; other columns pass through. A field that cannot be converted is NULL, and a
-record with a NULL field is bad.
+record with a NULL field is bad. Asked for reasons, a parser also tells which fields made a record bad
+and by which rule (``__reasons``), and keeps the raw text of bad records (``__raw``).
 """
 
 from __future__ import annotations
@@ -21,6 +22,11 @@ from rollmill.operators.chain import load_hook
 from rollmill.spec import ParseSpec
 
 BAD = "__bad"
+REASONS = "__reasons"
+RAW = "__raw"
+REASONS_TYPE = "array<struct<field: string, rule: string>>"
+# Rules a record can break; a value that does not fit breaks ``not <type>``.
+ABSENT, NO_OBJECT, OWN_PARSER = "absent", "not an object", "refused by the parser"
 VALUE = "value"
 _DOC = "__doc"
 _DEPTH = "__depth"
@@ -55,7 +61,28 @@ def _others(df: DataFrame, schema: T.StructType) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns if c != VALUE and c not in schema.names]
 
 
-def delimited_parser(parse: ParseSpec, schema: T.StructType) -> RecordParser:
+def _reason(field: str | None, rule: Column) -> Column:
+    return F.struct(F.lit(field).cast("string").alias("field"), rule.alias("rule"))
+
+
+def _reasons(schema: T.StructType, absent: Callable[[int], Column], whole: Column | None = None) -> Column:
+    """What is wrong with a record: ``absent`` tells of a field whether the record has nothing for it, ``whole``
+    that the record cannot be read at all."""
+    found = [
+        F.when(
+            F.isnull(f"`{f.name}`"),
+            _reason(f.name, F.when(absent(i), ABSENT).otherwise(f"not {f.dataType.simpleString()}")),
+        )
+        for i, f in enumerate(schema.fields)
+    ]
+    by_field = F.filter(F.array(*found), lambda r: r.isNotNull()) if found else F.array()
+    by_field = by_field.cast(REASONS_TYPE)
+    if whole is None:
+        return by_field
+    return F.when(whole, F.array(_reason(None, F.lit(NO_OBJECT))).cast(REASONS_TYPE)).otherwise(by_field)
+
+
+def delimited_parser(parse: ParseSpec, schema: T.StructType, reasons: bool = False) -> RecordParser:
     """Fields by the position of their name in ``parse.columns``; empty cells are kept."""
     columns = parse.columns or ()
     unknown = [n for n in schema.names if n not in columns]
@@ -72,8 +99,14 @@ def delimited_parser(parse: ParseSpec, schema: T.StructType) -> RecordParser:
             ).alias(f.name)
             for f in schema.fields
         ]
-        out = df.withColumn(_CELLS, cells).select(*typed, *_others(df, schema))
-        return _flag(out, schema)
+        cut = df.withColumn(_CELLS, cells)
+        if not reasons:
+            return _flag(cut.select(*typed, *_others(df, schema)), schema)
+        out = _flag(cut.select(*typed, F.size(_CELLS).alias(_CELLS), *_others(df, schema)), schema)
+        places = [columns.index(n) for n in schema.names]
+        # a null record has no cells
+        missing = lambda i: F.coalesce(F.col(_CELLS) <= places[i], F.lit(True))
+        return out.withColumn(REASONS, _reasons(schema, missing)).drop(_CELLS)
 
     return run
 
@@ -140,7 +173,7 @@ def _list_field(text: Column, field: T.StructField) -> Column:
     return text if isinstance(field.dataType, T.StringType) else F.lit(None).cast(field.dataType)
 
 
-def json_parser(parse: ParseSpec, schema: T.StructType) -> RecordParser:
+def json_parser(parse: ParseSpec, schema: T.StructType, reasons: bool = False) -> RecordParser:
     """One variant parse per document, then one typed read per field.
 
     A path that may lead to several values gives a list of them: text for a field of type string, and no
@@ -181,12 +214,17 @@ def json_parser(parse: ParseSpec, schema: T.StructType) -> RecordParser:
             ).alias(f.name)
             for i, f in enumerate(schema.fields)
         ]
-        return _flag(found.select(*typed, *others), schema)
+        if not reasons:
+            return _flag(found.select(*typed, *others), schema)
+        out = _flag(found.select(*typed, _DOC, *(f"__kind_{i}" for i in places), *others), schema)
+        nothing = lambda i: F.coalesce(F.col(f"__kind_{i}") == "VOID", F.lit(True))
+        out = out.withColumn(REASONS, _reasons(schema, nothing, ~F.col(_DOC)))
+        return out.drop(_DOC, *(f"__kind_{i}" for i in places))
 
     return run
 
 
-def record_parser(parse: ParseSpec, schema: T.StructType) -> RecordParser:
+def record_parser(parse: ParseSpec, schema: T.StructType, reasons: bool = False) -> RecordParser:
     """The parser the settings ask for. A custom one is a factory ``(parse, schema) -> parser`` whose
     result may leave out the flag when it has dropped bad records itself."""
     if parse.record_parser:
@@ -196,12 +234,34 @@ def record_parser(parse: ParseSpec, schema: T.StructType) -> RecordParser:
             out = custom(df)
             return out if BAD in out.columns else out.withColumn(BAD, F.lit(False))
 
-        return run
-    if parse.format == "tsv":
-        return delimited_parser(parse, schema)
-    if parse.format == "json":
-        return json_parser(parse, schema)
-    raise ValueError(f"no parser for format {parse.format!r}")
+        parser: RecordParser = run
+    elif parse.format == "tsv":
+        parser = delimited_parser(parse, schema, reasons)
+    elif parse.format == "json":
+        parser = json_parser(parse, schema, reasons)
+    else:
+        raise ValueError(f"no parser for format {parse.format!r}")
+    return explained(parser) if reasons else parser
+
+
+def explained(parser: RecordParser) -> RecordParser:
+    """A parser that keeps the raw text of bad records, and tells of those it gives no reasons for that it
+    has refused them. It must let other columns pass through."""
+
+    def run(df: DataFrame) -> DataFrame:
+        out = df.withColumn(RAW, F.col(VALUE)).transform(parser)
+        if REASONS not in out.columns:
+            refused = F.array(_reason(None, F.lit(OWN_PARSER))).cast(REASONS_TYPE)
+            out = out.withColumn(REASONS, F.when(F.col(BAD), refused).otherwise(F.array().cast(REASONS_TYPE)))
+        return out.withColumn(RAW, F.when(F.col(BAD), F.col(RAW)))
+
+    return run
+
+
+def refused_records(parsed: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Raw text and reasons of the bad records, with columns ``carried`` through the parser."""
+    found = F.explode(F.when(F.col(BAD), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))).alias(_KEPT)
+    return parsed.select("*", found).select(F.col(RAW).alias(VALUE), F.col(REASONS).alias("reasons"), *(f"`{c}`" for c in carried))
 
 
 def good_records(df: DataFrame, parse: ParseSpec) -> DataFrame:
@@ -216,7 +276,7 @@ def good_records(df: DataFrame, parse: ParseSpec) -> DataFrame:
         stop = F.lit("a record could not be parsed; set skipBadRows to drop such records")
         none = F.raise_error(stop).cast("array<int>")
     kept = F.explode(F.when(F.col(BAD), none).otherwise(F.array(F.lit(0)))).alias(_KEPT)
-    return df.select("*", kept).drop(BAD, _KEPT)
+    return df.select("*", kept).drop(BAD, REASONS, RAW, _KEPT)
 
 
 def parse_records(df: DataFrame, parse: ParseSpec, schema: T.StructType) -> DataFrame:

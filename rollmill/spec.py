@@ -354,6 +354,9 @@ class RealTimeSpec:
     channel: Channel = Channel()
     processor: str | None = None
     stream_source: str | None = None
+    # Bad records go to ``quarantine/mb=<batch>`` of the store, with their reasons, instead of failing the
+    # batch or being dropped.
+    quarantine: bool = False
 
     def __post_init__(self) -> None:
         duration_millis(self.window)
@@ -372,6 +375,7 @@ class RealTimeSpec:
             channel=Channel.from_dict(channel) if channel else Channel(),
             processor=doc.get("processorClass"),
             stream_source=doc.get("streamingProcessClass"),
+            quarantine=bool(doc.get("quarantine")),
         )
 
 
@@ -444,6 +448,10 @@ class IndexerSpec:
     def realtime_root(self) -> str:
         return f"{self.store}/realtime"
 
+    @property
+    def quarantine_root(self) -> str:
+        return f"{self.store}/quarantine"
+
     @property
     def batch_root(self) -> str:
         return f"{self.store}/batch"

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 from functools import partial
 from typing import Any
 
@@ -25,10 +26,10 @@ from rollmill.operators.chain import Processor, load_hook
 from rollmill.operators.rollup import rollup
 from rollmill.session import configure, side_by_side
 from rollmill.sinks.manifests import send_manifest
-from rollmill.sinks.store import Written, write_micro_batch
+from rollmill.sinks.store import Written, write_micro_batch, write_refused
 from rollmill.sources import kafka
 from rollmill.sources.manifests import MICRO_BATCH_SCHEMA, all_manifests, last_message
-from rollmill.sources.records import BAD, RecordParser, good_records, record_parser
+from rollmill.sources.records import BAD, RecordParser, explained, good_records, record_parser, refused_records
 from rollmill.spec import IndexerSpec, TableSpec, input_schema
 
 log = logging.getLogger(__name__)
@@ -57,7 +58,11 @@ class StreamJob:
         timeless = [t.name for t in self.tables if column and column not in {d.name for d in t.time_dimensions}]
         if timeless:
             raise ValueError(f"tables without the time dimension {column}: {', '.join(timeless)}")
-        self.parser = parser or record_parser(indexer.real_time.parse, input_schema(tables))
+        self.quarantine = indexer.real_time.quarantine
+        if parser is None:
+            self.parser = record_parser(indexer.real_time.parse, input_schema(tables), self.quarantine)
+        else:
+            self.parser = explained(parser) if self.quarantine else parser
         custom = indexer.real_time.processor
         make: Callable[[TableSpec], Processor] = load_hook(custom) if custom else rollup
         self.processors = {t.name: make(t) for t in self.tables} | dict(processors or {})
@@ -110,9 +115,12 @@ class StreamJob:
         parsed = batch.persist()
         rolled: dict[str, DataFrame] = {}
         try:
-            records = good_records(parsed, self.indexer.real_time.parse)
+            parse = self.indexer.real_time.parse
+            records = good_records(parsed, replace(parse, skip_bad_rows=True) if self.quarantine else parse)
             # one parallel pass that fills the cache, and tells an empty batch
             batch_millis = records.agg(F.min(BATCH_TIME)).first()[0]
+            if self.quarantine:
+                self.save_refused(parsed)
             if kafka.OFFSET in parsed.columns:  # of a batch of bad records, too: the next manifest tells them
                 self.offsets = kafka.carried(self.known_offsets(), kafka.end_offsets(parsed))
             if batch_millis is None:
@@ -141,6 +149,13 @@ class StreamJob:
         self.notify(manifest)
         log.info("micro-batch %s (%s) written", batch_id, batch_millis)
 
+    def save_refused(self, parsed: DataFrame) -> None:
+        """Bad records of a micro-batch, also of one that has no others."""
+        batch_millis = parsed.agg(F.min(BATCH_TIME)).first()[0]
+        if batch_millis is not None:
+            carried = tuple(c for c in (kafka.TOPIC, kafka.PARTITION, kafka.OFFSET) if c in parsed.columns)
+            write_refused(refused_records(parsed, carried), self.indexer.quarantine_root, batch_millis)
+
     def known_offsets(self) -> list[dict]:
         """Where every partition met so far goes on."""
         if self.offsets is None:

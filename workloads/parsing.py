@@ -12,7 +12,7 @@ from rollmill.functions.text import clean_text
 from rollmill.functions.timefmt import TimeFormat
 from rollmill.operators.rollup import rerollup, rollup
 from rollmill.sinks.store import to_lines
-from rollmill.sources.records import parse_records
+from rollmill.sources.records import good_records, parse_records, record_parser, refused_records
 from rollmill.sources.store import parse_lines
 from rollmill.spec import Dimension, Metric, ParseSpec, TableSpec, input_schema
 from workloads.base import Workload, load, shown
@@ -248,6 +248,31 @@ def json_path_wildcards(spark: SparkSession, sf_dir: str) -> DataFrame:
 WEEK_TEXTS = {"sunday": "%Y-%U-%w", "monday": "%Y/%W/%A", "start": "%Y w%W", "both": "%Y%m%d %U %W %w"}
 
 
+BROKEN_PARSE = ParseSpec("json", null_string_as_empty=False, null_numeric_as_zero=False)
+
+
+def broken_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as documents: some whole, some without a field, with one of another kind, or no document."""
+    kind = F.col("event_id") % 10
+    fields = F.struct(
+        F.when(kind != 1, F.col("event_id")).alias("event_id"),
+        F.when(kind == 2, "many").otherwise(F.col("value").cast("string")).alias("value"),
+        F.when(~kind.isin(1, 3), F.col("event_type")).alias("event_type"),
+    )
+    doc = F.when(kind == 4, F.lit("{ no end")).when(kind == 5, F.lit("[]")).otherwise(F.to_json(fields))
+    return load(spark, sf_dir, "events").select(doc.alias("value"))
+
+
+def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records broke each rule, by field, beside what the good ones roll up to."""
+    parsed = broken_docs(spark, sf_dir).transform(record_parser(BROKEN_PARSE, input_schema([EVENTS]), reasons=True))
+    reasons = refused_records(parsed).select(F.explode("reasons").alias("r")).select("r.field", "r.rule")
+    broken = reasons.groupBy("field", "rule").agg(F.count(F.lit(1)).alias("n"))
+    good = good_records(parsed, BROKEN_PARSE).transform(rollup(EVENTS)).groupBy("event_type")
+    good = good.agg(F.sum("n").alias("n")).select(F.col("event_type").alias("field"), F.lit("good").alias("rule"), "n")
+    return broken.unionByName(good)
+
+
 def week_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every ship date printed by weeks, and read back from that."""
     days = load(spark, sf_dir, "lineitem").groupBy(F.to_date("l_shipdate").alias("day")).agg(F.count("*").alias("lines"))
@@ -396,6 +421,17 @@ WORKLOADS = {
                   count(*) AS n
            FROM orders GROUP BY 1""",
     ),
+    "quarantine_reasons": Workload(
+        quarantine_reasons,
+        """WITH e AS (SELECT *, event_id % 10 AS kind FROM events),
+                b AS (SELECT CASE WHEN kind IN (4, 5) THEN [{'f': NULL, 'r': 'not an object'}]
+                                  WHEN kind = 1 THEN [{'f': 'event_type', 'r': 'absent'}, {'f': 'event_id', 'r': 'absent'}]
+                                  WHEN kind = 2 THEN [{'f': 'value', 'r': 'not double'}]
+                                  WHEN kind = 3 THEN [{'f': 'event_type', 'r': 'absent'}] END AS reasons FROM e)
+           SELECT x.f AS field, x.r AS rule, count(*) AS n FROM (SELECT unnest(reasons) AS x FROM b) GROUP BY 1, 2
+           UNION ALL
+           SELECT event_type, 'good', count(*) FROM e WHERE kind NOT IN (1, 2, 3, 4, 5) GROUP BY 1""",
+    ),
     "week_dates": Workload(
         week_dates,
         """WITH d AS (SELECT date_trunc('day', l_shipdate)::DATE AS day, count(*) AS lines FROM lineitem GROUP BY 1)

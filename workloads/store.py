@@ -366,6 +366,26 @@ def stream_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(_stored(spark, job, table), 4).withColumn("manifests", F.lit(told).cast("bigint"))
 
 
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream with bad records: what it stored, and what it put aside, for which reasons."""
+    root, table = scratch_path(spark, "quarantine"), event_cube("hour", "cube")
+    job = indexer(root)
+    job = replace(job, real_time=replace(job.real_time, quarantine=True))
+    events = load(spark, sf_dir, "events")
+    late = F.when(F.col("event_id") % 7 == 0, "soon").otherwise(F.unix_micros("ts").cast("string"))
+    value = F.when(F.col("event_id") % 5 == 0, "much").otherwise(F.col("value").cast("string"))
+    raw = delimited(events, EVENT_COLUMNS, "\t", ts=late, value=value)
+    raw.write.text(f"{root}/raw")
+    records = spark.readStream.text(f"{root}/raw")
+    StreamJob(spark, job, [table]).start(f"{root}/checkpoint", records, available_now=True).awaitTermination()
+    stored = _stored(spark, job, table).groupBy("event_type").agg(F.sum("events").alias("records"))
+    stored = stored.select("event_type", F.lit("stored").alias("why"), "records")
+    aside = spark.read.schema("value string, reasons array<struct<field: string, rule: string>>").json(job.quarantine_root)
+    why = F.array_join(F.transform("reasons", lambda r: F.concat(r["field"], F.lit(": "), r["rule"])), ", ")
+    aside = aside.select(F.split("value", "\t")[3].alias("event_type"), why.alias("why"))
+    return stored.unionByName(aside.groupBy("event_type", "why").agg(F.count(F.lit(1)).alias("records")))
+
+
 def doubled(table: TableSpec):
     """A real-time processor for settings to name."""
     return chain(lambda df: df.withColumn("value", F.col("value") * 2), rollup(table))
@@ -688,6 +708,15 @@ WORKLOADS = {
         f"""SELECT event_type, date_trunc('hour', ts) AS ts, {_CUBE}, CAST(3 AS BIGINT) AS manifests
             FROM events GROUP BY 1, 2""",
     ),
+    "stream_quarantine": Workload(
+        stream_quarantine,
+        """SELECT event_type,
+                  CASE WHEN event_id % 35 = 0 THEN 'ts: not timestamp, value: not double'
+                       WHEN event_id % 7 = 0 THEN 'ts: not timestamp'
+                       WHEN event_id % 5 = 0 THEN 'value: not double' ELSE 'stored' END AS why,
+                  count(*) AS records
+           FROM events GROUP BY 1, 2""",
+    ),
     "processors_by_name": Workload(
         processors_by_name,
         """SELECT event_type, date_trunc('hour', ts) AS ts, round(sum(value * 2), 4) AS value_sum,
