@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from functools import cache
 
 import numpy as np
@@ -20,12 +21,10 @@ ODD = re.compile(r"[^\S \n]")
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 # Words whose pre-tokens are known without the library's pattern: letters, then punctuation.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-# Stands between plain words where many go through the model at once; no letter.
-MARK = "!"
 # Ids are kept as little-endian unsigned 32-bit numbers.
 WIDTH = 4
-# Pieces kept by a Python worker: at most two generations of this many.
-MEMO = 400_000
+# Pieces kept by a Python worker: at most two generations of this many, about 200 bytes each.
+MEMO = 800_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -39,17 +38,19 @@ def byte_letters() -> dict[int, str]:
 LETTERS = byte_letters()
 
 
+def needs_care(text: str) -> bool:
+    """Whether a text has white space other than single spaces and line ends between other characters."""
+    edge = text[:1] in (" ", "\n") or text[-1:] in (" ", "\n")
+    return edge or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or bool(ODD.search(text))
+
+
 class Encoder:
     def __init__(self, path: str, memo: int = MEMO):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one worker a core
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        # The same model over pre-tokens that are already cut and written in byte letters.
-        self.words = Tokenizer(self.tokenizer.model)
-        self.words.pre_tokenizer = pre_tokenizers.Split(MARK, "isolated")
-        self.mark = self.tokenizer.token_to_id(MARK)
         self.memo = memo
         # By what stands before a piece: nothing, or the space it was cut at.
         self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
@@ -61,15 +62,12 @@ class Encoder:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def pre_tokens(self, lead: str, words: list[str]) -> list[bytes]:
-        """Ids of words that are one pre-token each."""
+        """Ids of words that are one pre-token each, straight from the model."""
+        tokenize = self.tokenizer.model.tokenize
         out = []
-        for at in range(0, len(words), 1000):
-            part = [(lead + w).encode().decode("latin-1").translate(LETTERS) for w in words[at : at + 1000]]
-            found = self.words.encode_batch_fast([MARK.join(part)], add_special_tokens=False)[0]
-            ids = np.array(found.ids, dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.mark), len(ids)) * WIDTH
-            ids = ids.tobytes()
-            out += [ids[a:b] for a, b in zip([0, *(ends[:-1] + WIDTH).tolist()], ends.tolist())]
+        for word in words:
+            ids = [t.id for t in tokenize((lead + word).encode().decode("latin-1").translate(LETTERS))]
+            out.append(struct.pack(f"<{len(ids)}I", *ids))
         return out
 
     def learn(self, lead: str, pieces: set[str]) -> None:
@@ -113,12 +111,42 @@ class Encoder:
             ]
         return [b"".join(ids) for ids in found]
 
+    def slot_counts(self, texts: list[str], size: int) -> list[tuple[list[int], list[int]]]:
+        """Characters and tokens of every ``size`` pieces of each text. A piece begins at a single space between
+        characters that are no white space; each is looked up once, in the place it has in its text."""
+        spaced, starting, ends, chars, slots = [], [], [], [], []
+        for text in texts:
+            careful = needs_care(text)
+            pieces = (SAFE.split(text) if careful else text.split(" ")) if text else []
+            lines = not careful and "\n" in text
+            for at in range(0, len(pieces), size):
+                own = pieces[at : at + size]
+                chars.append(sum(map(len, own)) + len(own) - (at == 0))
+                if not lines:
+                    starting.append(own[:1] if at == 0 else [])
+                    spaced.append(own[1:] if at == 0 else own)
+                    ends.append(0)
+                    continue
+                after_space, alone, found = [], [], 0
+                for place, piece in enumerate(own, at):
+                    first, *more = piece.split("\n")
+                    (after_space if place else alone).append(first)
+                    alone += more
+                    found += len(more)
+                starting.append(alone)
+                spaced.append(after_space)
+                ends.append(found)
+            slots.append(len(chars))
+        width = len(self.line_end) // WIDTH
+        found = zip(self.look_up("", starting), self.look_up(" ", spaced), ends)
+        tokens = [(len(a) + len(b)) // WIDTH + n * width for a, b, n in found]
+        return [(chars[a:b], tokens[a:b]) for a, b in zip([0, *slots], slots)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every whole text, as bytes."""
         heads, rests, ends = [], [], []
         for text in texts:
-            edge = text[:1] == " " or text[-1:] in (" ", "\n")
-            if edge or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or ODD.search(text):
+            if needs_care(text):
                 rows = [SAFE.split(text)]
             else:
                 rows = [line.split(" ") for line in text.split("\n")]

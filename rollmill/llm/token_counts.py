@@ -150,13 +150,10 @@ def build_trees(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in batches:
-            rows = []
             texts = texts_of(batch)
-            slots = [slots_of(t) for t in texts]
-            ids = iter(encode.encode([s for own in slots for s in own]))
-            for doc_id, text, own in zip(batch.column("doc_id").to_pylist(), texts, slots):
-                rows.append((doc_id, text, [len(s) for s in own], [len(next(ids)) // WIDTH for _ in own]))
-            yield tree_batch(rows)
+            counts = encode.slot_counts(texts, SLOT_PIECES)
+            doc_ids = batch.column("doc_id").to_pylist()
+            yield tree_batch([(d, t, *own) for d, t, own in zip(doc_ids, texts, counts)])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, TREE)
 

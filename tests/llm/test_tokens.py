@@ -37,6 +37,21 @@ def test_pieces_encode_like_whole_texts(texts):
     assert [np.frombuffer(f, "<u4").tolist() for f in found] == [ids_of(t) for t in texts]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=60), max_size=5), st.integers(1, 4))
+def test_slots_are_counted_in_their_places(texts, size):
+    found = encoder(PATH).slot_counts(texts, size)
+    for text, (chars, tokens) in zip(texts, found, strict=True):
+        assert sum(chars) == len(text) and sum(tokens) == len(ids_of(text))
+        at = 0
+        for n, count in zip(chars, tokens, strict=True):
+            assert count == len(ids_of(text[at : at + n]))
+            at += n
+    slots = [token_counts.slots_of(t) for t in texts]
+    found = encoder(PATH).slot_counts(texts, token_counts.SLOT_PIECES)
+    assert [[len(s) for s in own] for own in slots] == [chars for chars, _ in found]
+
+
 def test_small_memo_changes_nothing():
     small, words = Encoder(PATH, memo=3), [f"word{i} Wort, été" for i in range(50)] * 2
     assert [np.frombuffer(f, "<u4").tolist() for f in small.encode(words)] == [ids_of(w) for w in words]
