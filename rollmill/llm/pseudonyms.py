@@ -40,13 +40,14 @@ ROUNDS = 12
 CENTURIES = 146_097  # days of 400 Gregorian years, 189 * 773
 LONGEST_NAME = 22  # characters of an e-mail name permuted together: 36^11 fits a long
 
-BEFORE, AFTER = r"(?<![0-9A-Za-z.+])", r"(?![0-9A-Za-z])"
+# A full stop before a value is part of it only behind a digit.
+BEFORE, AFTER = r"(?<![0-9A-Za-z+])(?<!\d\.)", r"(?![0-9A-Za-z])"
 PATTERNS = {
     "email": r"(?<![0-9A-Za-z._%+-])(?=[._%+-]*[0-9A-Za-z])[0-9A-Za-z._%+-]+@[0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)+",
     "date": BEFORE + r"(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4})" + AFTER,
     "social": BEFORE + r"\d{3}-\d{2}-\d{4}" + AFTER,
     "card": BEFORE + r"\d(?:[ -]?\d){12,18}" + AFTER,
-    "phone": r"(?<![0-9A-Za-z.])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-]?)\d{3}[ .-]?\d{4}" + AFTER,
+    "phone": r"(?<![0-9A-Za-z])(?<!\d\.)(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-]?)\d{3}[ .-]?\d{4}" + AFTER,
     "ip": BEFORE + r"\d{1,3}(?:\.\d{1,3}){3}" + r"(?![0-9A-Za-z]|\.\d)",
 }
 # A phone that may be the end of a card in groups of 4-6-4, or start with a card's last group.

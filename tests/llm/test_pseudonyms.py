@@ -100,3 +100,17 @@ def test_values_inside_longer_stretches(corpus):
     for i, row in enumerate(rows):
         assert shape(out[i]["text"]) == shape(row)
         assert not any(c in out[i]["text"] for c in cards) or not n[i]
+
+
+def test_values_behind_marks_and_at_the_end_of_sentences(corpus):
+    """A full stop, colon, slash or bracket before a value does not hide it; a number's own point does."""
+    flat = [(k, vs[0]) for k, vs in VALUES.items() if k != "email"]
+    marks = ["No.", "us.", "id:", "x/", "(", "a - "]
+    rows = [(f"{m}{v}", k) for k, v in flat for m in marks] + [(f"It was {v}.", k) for k, v in flat]
+    df = corpus.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in pseudonymise(df, "key").collect()}
+    for i, (text, kind) in enumerate(rows):
+        assert out[i][f"n_{kind}"] == 1, text
+    numbers = [(0, "3.4155030142265802"), (1, "12.469-555-4560"), (2, "0.123-45-6789")]
+    kept = texts(pseudonymise(corpus.createDataFrame(numbers, "doc_id long, text string"), "key"))
+    assert kept == dict(numbers)
