@@ -13,7 +13,9 @@
    hold several components besides the hub compare all members outside the largest component with
    all members, in blocks of bounded size inside a task, by signatures of 2048 minima that only these
    documents get; only pairs less than five standard errors under the threshold leave it, each once.
-   After this every pair that shares a band has been compared or is connected already.
+   Sizes of the sets (exactly) and the short signatures go first, so few pairs come to the long ones.
+   After this every pair that shares a band has been compared or is connected already. The work in a
+   bucket is still quadratic in the documents that share it without being alike or connected.
 
 Results: null and empty texts, and texts without words, have an empty set and are linked with
 nothing; rows sharing a doc_id count as one document with several texts; a row without doc_id is
@@ -117,7 +119,7 @@ def digests(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
 
 def sets_of(docs: DataFrame, how: MinHash) -> DataFrame:
     """node and the full set, as sorted 64-bit numbers in one binary value. Rows that repeat a set
-    of their neighbour's doc_id are left out."""
+    of the row before with the same doc_id are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, seen = None, set()
@@ -171,6 +173,14 @@ def confirm(pairs: DataFrame, sets: DataFrame, how: MinHash) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "set_x", "set_y").mapInArrow(run, "a long, b long")
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether every node either has one smaller neighbour or is the smallest of its component."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return ends.where("up > 1 OR (up = 1 AND down > 0)").isEmpty()
+
+
 def components(edges: DataFrame, name: str = "stars") -> DataFrame:
     """(node, root) for every node of (a, b) edges but the roots; the root is the smallest node.
 
@@ -178,28 +188,31 @@ def components(edges: DataFrame, name: str = "stars") -> DataFrame:
     both keep components and their number of rounds grows with the logarithm of the longest path.
     """
     spark = edges.sparkSession
-    large, small = F.greatest("a", "b"), F.least("a", "b")
-    now = edges.select(large.alias("a"), small.alias("b")).where("a <> b").distinct()
-    before = None
-    while True:
+    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
+    while not are_stars(now):
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        big = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        big = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = big.groupBy("a").agg(F.min("b").alias("m"))
         tied = big.join(least, "a")
         ends = F.explode(F.array("a", "b")).alias("a")
         now = tied.select(ends, F.col("m").alias("b")).where("a <> b").distinct()
         now = stage(now, scratch_path(spark, name))
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = mark
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
 
 
+def differing(many: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Minima whose low bits differ from those of ``own``, for each row of packed signatures."""
+    x = many ^ own
+    x |= x >> np.uint64(1)
+    x |= x >> np.uint64(2)
+    return np.bitwise_count(x & np.uint64(ONES)).sum(axis=1, dtype=np.int64)
+
+
 def long_signatures(sets: DataFrame, how: MinHash) -> DataFrame:
     """node and the low bits of LONG minima, packed, of each set."""
 
@@ -224,7 +237,7 @@ def leftover_pairs(
     from long signatures. A pair comes once, from the first band that it shares: there it is either
     compared or was compared as hub and member. ``tested`` pairs have been confirmed or not before."""
     spark = members.sparkSession
-    most = misses_allowed(how.percent, LONG, 5)
+    most, most_short = misses_allowed(how.percent, LONG, 5), misses_allowed(how.percent, how.size, 6)
     rest = members.join(hubs, ["bucket", "node"], "left_anti")
     sizes = rest.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     top = sizes.groupBy("bucket").agg(
@@ -238,7 +251,7 @@ def leftover_pairs(
     )
     rows = stage(rest.join(top, "bucket"), scratch_path(spark, "near-open"))
     nodes = rows.select("node").distinct()
-    signed = long_signatures(sets.join(nodes, "node", "left_semi"), how).join(reps.select("node", "bands"), "node")
+    signed = long_signatures(sets.join(nodes, "node", "left_semi"), how).join(reps, "node")
     rows = rows.join(stage(signed, scratch_path(spark, "near-long")), "node").withColumn("h", F.xxhash64("node"))
     rows = rows.where(F.array_contains("bands", F.col("bucket")))  # of a doc_id's texts, the one meant
 
@@ -248,7 +261,7 @@ def leftover_pairs(
         df = rows.where(F.col("comp") != F.col("top")) if minor else rows
         first, second = (mine, theirs) if minor else (theirs, mine)
         place = [first.alias("i"), second.alias("j"), F.lit(minor).alias("minor")]
-        return df.select("bucket", *place, "node", "comp", "long", "bands")
+        return df.select("bucket", *place, "node", "comp", "n_shingles", "sig", "long", "bands")
 
     spread_rows = spread("minor_blocks", "blocks", True).union(spread("blocks", "minor_blocks", False))
 
@@ -260,18 +273,19 @@ def leftover_pairs(
                 return
             longs = np.frombuffer(b"".join(r["long"] for r in every), dtype=np.uint64).reshape(len(every), -1)
             bands = np.array([r["bands"] for r in every], dtype=np.int64)
+            short = np.array([r["sig"] for r in every], dtype=np.int64).view(np.uint64)
+            size = np.array([r["n_shingles"] for r in every])
             comp = np.array([r["comp"] for r in every])
             node = np.array([r["node"] for r in every])
             out_a, out_b = [], []
             for r in minor:
+                low, high = np.minimum(size, r["n_shingles"]), np.maximum(size, r["n_shingles"])
+                hit = np.flatnonzero((comp != r["comp"]) & (100 * low >= how.percent * high))
+                own = np.array(r["sig"], dtype=np.int64).view(np.uint64)
+                hit = hit[differing(short[hit], own) <= most_short]
+                hit = hit[differing(longs[hit], np.frombuffer(r["long"], dtype=np.uint64)) <= most]
                 own = np.array(r["bands"], dtype=np.int64)
-                shared = bands == own
-                at = np.flatnonzero((own[shared.argmax(axis=1)] == key[0]) & (comp != r["comp"]))
-                x = longs[at] ^ np.frombuffer(r["long"], dtype=np.uint64)
-                x |= x >> np.uint64(1)
-                x |= x >> np.uint64(2)
-                differ = np.bitwise_count(x & np.uint64(ONES)).sum(axis=1, dtype=np.int64)
-                hit = at[differ <= most]
+                hit = hit[own[(bands[hit] == own).argmax(axis=1)] == key[0]]
                 out_a += [r["node"]] * len(hit)
                 out_b += node[hit].tolist()
             if out_a:
@@ -296,10 +310,9 @@ def leftover_pairs(
     return pairs.join(tested, ["a", "b"], "left_anti")
 
 
-def same_ids(known: DataFrame, classes: DataFrame) -> DataFrame:
+def same_ids(known: DataFrame, repeats: DataFrame, classes: DataFrame) -> DataFrame:
     """Links between the classes of a doc_id that comes with different texts."""
-    split = known.groupBy("doc_id").agg(F.min("set_a").alias("low"), F.max("set_a").alias("high"))
-    split = split.where("low <> high").select("doc_id")
+    split = repeats.where("low <> high").select("doc_id")
     own = known.join(split, "doc_id", "left_semi").join(classes, ["set_a", "set_b", "n_shingles"]).select("doc_id", "rep")
     least = own.groupBy("doc_id").agg(F.min("rep").alias("b"))
     return own.select("doc_id", F.col("rep").alias("a")).join(least, "doc_id").where("a <> b").select("a", "b")
@@ -315,40 +328,52 @@ def near_duplicates(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
     digest = staged(digests(docs, how), "digest")
     known = digest.where("doc_id IS NOT NULL AND n_shingles > 0")
     key = ["set_a", "set_b", "n_shingles"]
-    classes = staged(known.groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
-    reps = known.join(classes.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"], "left_semi")
-    reps = reps.dropDuplicates([*key, "doc_id"]).select(F.col("doc_id").alias("node"), "sig", "bands")
-
+    first = F.min(F.struct("doc_id", "sig", "bands")).alias("first")
+    classes = known.groupBy(*key).agg(first).select(*key, F.col("first.doc_id").alias("rep"), "first.sig", "first.bands")
+    classes = staged(classes, "classes")
+    reps = classes.select(F.col("rep").alias("node"), "n_shingles", "sig", "bands")
+    same = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("set_a").alias("low"), F.max("set_a").alias("high"))
+    repeats = staged(same.where("n > 1").select("doc_id", "low", "high"), "repeats")
+    repeated = not repeats.isEmpty()
+
+    # A bucket's hub goes by a hash; buckets of one member have nothing to compare.
     banded = reps.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = shared.where("low <> high").select("bucket")
-    members = staged(banded.join(shared, "bucket", "left_semi").distinct(), "members")
-    sigs = staged(reps.join(members.select("node").distinct(), "node", "left_semi").select("node", "sig"), "sigs")
-
-    pick = F.struct(F.xxhash64("node", "bucket").alias("h"), "node")
-    hubs = staged(members.groupBy("bucket").agg(F.min(pick).alias("hub")).select("bucket", "hub.node"), "hubs")
-    star = members.join(hubs.withColumnRenamed("node", "hub"), "bucket").where("node <> hub")
-    star = star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    x, y = (sigs.select(F.col("node").alias(n), F.col("sig").alias(f"sig_{n}")) for n in "ab")
+    pick = F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), "node")).alias("pick")
+    hubs = banded.groupBy("bucket").agg(pick, F.min("node").alias("low"), F.max("node").alias("high"))
+    hubs = staged(hubs.where("low <> high").select("bucket", F.col("pick.node").alias("node")), "hubs")
+    met = banded.join(hubs.withColumnRenamed("node", "hub"), "bucket").repartition("bucket", "node").distinct()
+    met = staged(met, "members")
+    members = met.select("bucket", "node")
+    star = met.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    x, y = (reps.select(F.col("node").alias(n), F.col("sig").alias(f"sig_{n}")) for n in "ab")
     alike = misses("sig_a", "sig_b", how.size // PER_LONG) <= misses_allowed(how.percent, how.size, 6)
     pairs = staged(star.join(x, "a").join(y, "b").where(alike).select("a", "b"), "pairs")
 
-    # Full sets only of documents that some candidate needs.
+    # Full sets only of documents that some candidate needs, and of repeated rows once.
     wanted = members.select("node").distinct()
     own = docs.select(F.col("doc_id").cast("long"), "text")
+    if repeated:
+        again = own.join(repeats, "doc_id", "left_semi").withColumn("version", F.xxhash64("text"))
+        again = again.dropDuplicates(["doc_id", "version"]).select("doc_id", "text")
+        own = own.join(repeats, "doc_id", "left_anti").union(again)
     sets = staged(sets_of(own.join(wanted, own.doc_id == wanted.node, "left_semi"), how), "sets")
-    links = staged(confirm(pairs, sets, how).union(same_ids(known, classes)), "links")
+    links = confirm(pairs, sets, how)
+    links = staged(links.union(same_ids(known, repeats, classes)) if repeated else links, "links")
     roots = components(links, "near-stars")
 
     rows = labelled(members, roots)
     rest = staged(leftover_pairs(rows, hubs, pairs, sets, reps, how), "rest")
+    # What these links join are whole components, by their roots.
     more = confirm(rest, sets, how)
-    as_edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    roots = components(staged(as_edges.union(more), "links"), "near-stars")
-
-    found = classes.join(roots, classes.rep == roots.node, "left")
-    found = found.select(*key, F.coalesce("root", "rep").alias("component_id"))
-    with_key = digest.where("doc_id IS NOT NULL AND n_shingles > 0").join(found, key)
+    for end in ("a", "b"):
+        to = roots.select(F.col("node").alias(end), "root")
+        more = more.join(to, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+    merged = components(staged(more.where("a <> b").distinct(), "more"), "near-stars")
+
+    found = labelled(classes.select(*key, F.col("rep").alias("node")), roots)
+    found = labelled(found.select(*key, F.col("comp").alias("node")), merged)
+    found = found.select(*key, F.col("comp").alias("component_id"))
+    with_key = known.join(found, key)
     alone = digest.where("doc_id IS NULL OR n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     out = with_key.select("doc_id", "n_shingles", "component_id").union(
         alone.select("doc_id", "n_shingles", "component_id")
