@@ -15,9 +15,11 @@ score is 0.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -66,27 +68,25 @@ def fit(sample: list[tuple[str, int]]) -> Model:
     """Full-batch Adam on the noisy-or likelihood, the toxic class with weight PRIOR."""
     if len({y for _, y in sample}) < 2:
         return Model(-50.0, {})
-    pool: dict[str, str] = {}  # one object a word, however often it comes
-    bags = [
-        [{pool.setdefault(w, w) for w in WORD.findall(s)} for s in SENTENCE.findall(text.lower())]
-        for text, _ in sample
-    ]
-    bags = [[s for s in bag if s] for bag in bags]
+    # Two passes over the texts, so that no word is held but those of one document.
     seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    for bag, (_, label) in zip(bags, sample):
-        seen[label].update({f for s in bag for w in s for f in features(w)})
+    for text, label in sample:
+        seen[label].update({f for w in set(WORD.findall(text.lower())) for f in features(w)})
     names = telling(seen, Counter(label for _, label in sample))
+    seen.clear()
     place = {f: i for i, f in enumerate(names)}
-    columns, rows, docs = [], [], []
+    columns, rows, docs = array("l"), array("l"), array("l")
     n = 0
-    for d, bag in enumerate(bags):
-        for s in bag:
-            own = {place[f] for w in s for f in features(w) if f in place}
-            columns.extend(sorted(own))
-            rows.extend([n] * len(own))
-            docs.append(d)
-            n += 1
-    col, row, doc = np.array(columns, int), np.array(rows, int), np.array(docs, int)
+    for d, (text, _) in enumerate(sample):
+        for sentence in SENTENCE.findall(text.lower()):
+            words = set(WORD.findall(sentence))
+            if words:
+                own = {place[f] for w in words for f in features(w) if f in place}
+                columns.extend(sorted(own))
+                rows.extend([n] * len(own))
+                docs.append(d)
+                n += 1
+    col, row, doc = (np.array(x, int) for x in (columns, rows, docs))
     y = np.array([y for _, y in sample], float)
     share = np.where(y == 1, PRIOR / max(y.sum(), 1), (1 - PRIOR) / max((1 - y).sum(), 1))
     theta = np.append(np.zeros(len(names)), START)
@@ -102,30 +102,31 @@ def fit(sample: list[tuple[str, int]]) -> Model:
         grad[:-1] += DECAY * theta[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         theta -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return Model(float(theta[-1]), {f: float(w) for f, w in zip(names, theta) if abs(w) > 0.01})
+    return Model(float(theta[-1]), {f: float(w) for f, w in zip(names, theta)})
 
 
 class Scorer:
     def __init__(self, model: Model):
         self.model, self.known = model, {}
 
-    def word(self, word: str) -> float:
+    def word(self, word: str) -> tuple[str, ...]:
+        """The features of a word that have a weight."""
         found = self.known.get(word)
         if found is None:
             if len(self.known) >= MEMO:
                 self.known = {}
-            get = self.model.weights.get
-            found = self.known[word] = sum(get(f, 0.0) for f in features(word))
+            found = self.known[word] = tuple(f for f in features(word) if f in self.model.weights)
         return found
 
     def sentences(self, text: str) -> list[tuple[int, int, float]]:
         """Begin, end and score of every sentence with a word. A feature that several words of a
-        sentence share counts for each of them."""
-        bias, score, out = self.model.bias, self.word, []
+        sentence share counts once, as in training."""
+        bias, weights, out = self.model.bias, self.model.weights, []
         for found in SENTENCE.finditer(text):
             words = set(WORD.findall(found[0].lower()))
             if words:
-                z = bias + sum(map(score, words))
+                own = {f for w in words for f in self.word(w)}
+                z = fsum([bias, *(weights[f] for f in own)])
                 out.append((found.start(), found.end(), 1 / (1 + np.exp(-min(max(z, -40.0), 40.0)))))
         return out
 

@@ -1,11 +1,13 @@
 """Held-out accuracy of the classifiers, located sentences, statistics and rules by brute force."""
 
+import math
 import random
 import re
 from collections import Counter
 
 import pytest
 from rollmill.llm import compress_quality, rule_lists, toxicity
+from rollmill.llm.queries import op9_compression_quality
 from rollmill.llm.samples import folded, labelled_sample
 
 BAD_WORDS = ["nastiword", "fouliword", "vileiword"]
@@ -39,6 +41,27 @@ def test_toxic_documents_and_sentences(corpus):
             assert any("iword" in text[s["begin"] : s["end"]] for s in got[i][spans])
 
 
+def test_scores_are_those_of_the_trained_function(corpus):
+    """Every score from the weights alone: each feature of a sentence once, noisy-or over sentences."""
+    model = toxicity.fit([(t, y) for _, t, y in toxic_rows(1, 300)])
+    assert len(model.weights) > 3
+    texts = [t for _, t, _ in toxic_rows(5, 40)] + ["Vileiword vileous vilerest. fouliword\nfine", "...", "12 34"]
+
+    def by_hand(text):
+        clean = 1.0
+        for sentence in re.split(r"[.!?\n]", text):
+            words = re.findall(r"[^\W\d_]+", sentence.lower())
+            own = {f for w in words for f in ("=" + w, "4" + w[:4], "5" + w[:5])}
+            if words:
+                clean *= 1 - 1 / (1 + math.exp(-model.bias - sum(model.weights.get(f, 0) for f in own)))
+        return 1 - clean
+
+    df = corpus.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scored, score, _ = toxicity.score_toxicity(df, model, spans=False)
+    for row in scored.collect():
+        assert row[score] == pytest.approx(by_hand(row["text"]), abs=1e-9)
+
+
 def test_noisy_or():
     assert toxicity.noisy_or([]) == 0
     assert abs(toxicity.noisy_or([0.5, 0.5]) - 0.75) < 1e-12
@@ -56,6 +79,38 @@ def test_compression_tells_good_from_bad():
     assert good[0] > bad[0]
 
 
+def test_copies_are_on_one_side_of_the_split():
+    r = random.Random(8)
+    texts = [prose(r, 30) for _ in range(40)]
+    side = compress_quality.sides([t for t in texts for _ in range(3)] + ["", " "])
+    assert all(len(set(side[i : i + 3])) == 1 for i in range(0, 120, 3)) and side[-1] == side[-2]
+    assert 19 <= sum(side[:120:3]) <= 21
+
+
+def test_quality_on_held_out_labels(corpus):
+    """Scores of the query over its whole table: recomputed for some texts, and right on held-out labels."""
+    sf = "/root/testdata/sf0.01"
+    rows = op9_compression_quality(corpus, sf).collect()
+    docs, labels = (corpus.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    truth = {x["doc_id"]: x["quality"] for x in labels.collect()}
+    held = [x for x in rows if x["held_out"] and truth.get(x["doc_id"]) in (0, 1)]
+    assert len(rows) == docs.count() and len(held) > 100
+    assert all(x["predicted"] == (x["score"] >= 0.5) for x in rows)
+    for want in (0, 1):
+        own = [x["predicted"] == want for x in held if truth[x["doc_id"]] == want]
+        assert sum(own) >= 0.9 * len(own)
+
+    model = compress_quality.fit(labelled_sample(docs, labels, "quality", folded("doc_id", 3) != 1))
+    packers = compress_quality.Sizes(model.good, model.bad)
+    texts = {x["doc_id"]: x["text"] or "" for x in docs.collect()}
+    for x in rows[::50]:
+        v = [(e - m) / s for e, m, s in zip(packers.evidence(texts[x["doc_id"]]), model.mean, model.scale)]
+        v = [min(max(e, -6), 6) for e in v]
+        terms = [*v, *(v[i] * v[j] for i in range(5) for j in range(i, 5)), 1]
+        z = sum(w * t for w, t in zip(model.weights, terms))
+        assert x["score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-6)
+
+
 def test_classifiers_stand_odd_rows(odd, nothing):
     r = random.Random(4)
     texts = [(prose(r, 40) + (" nastiword. " if i % 2 else ""), i % 2) for i in range(60)]
