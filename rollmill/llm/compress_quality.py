@@ -3,7 +3,8 @@
 zstandard dictionaries are trained on texts of each label. Every whole text is compressed in
 independent pieces of ``PIECE`` bytes, once with each dictionary and once with none; the difference
 of the two sizes over the length is the evidence. The three normalised sizes are made a probability
-by logistic regression on labelled texts that no dictionary has seen.
+by logistic regression on labelled texts that no dictionary has seen; equal texts are on one side of
+that split, and near copies with a probability of at least their similarity.
 
 Fitted on the driver from a bounded sample (``samples.labelled_sample``); scoring is one pass without
 a shuffle. Dictionaries are of fixed size.
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from rollmill.llm.base import fresh, texts_of, with_columns
+from rollmill.llm.words import mix, shingle_set, word_hashes, words_of
 
 PIECE = 1024
 DICTIONARY = 112_640
@@ -83,9 +85,19 @@ def train_dictionary(texts: list[str]) -> bytes:
         return b"".join(pieces)[-DICTIONARY:]
 
 
+def sides(texts: list[str]) -> list[int]:
+    """0 or 1 for each text, by its smallest shingle hash, so that copies go together; the different
+    hashes are dealt in turn."""
+    sets = [shingle_set(word_hashes(words_of(t)), 5) for t in texts]
+    least = [int(mix(s).min()) if len(s) else -1 for s in sets]
+    turn = {key: i % 2 for i, key in enumerate(sorted(set(least)))}
+    return [turn[key] for key in least]
+
+
 def fit(sample: list[tuple[str, int]]) -> Model | None:
     """Dictionaries from one half of the sample, calibration on the other."""
-    halves = [[(t, y) for i, (t, y) in enumerate(sample) if i % 2 == h] for h in (0, 1)]
+    side = sides([t for t, _ in sample])
+    halves = [[pair for pair, s in zip(sample, side) if s == h] for h in (0, 1)]
     good, bad = (train_dictionary([t for t, y in halves[0] if y == want]) for want in (1, 0))
     y = np.array([y for _, y in halves[1]], float)
     if not good or not bad or len(set(y.tolist())) < 2:
