@@ -56,9 +56,24 @@ def test_planted_cases(corpus):
 
 
 def test_run_equals_the_stages(corpus):
-    sf = "/root/testdata/sf0.001"
+    """Where pieces are placed depends on tasks, so sequences are checked by themselves."""
+    sf, folder = "/root/testdata/sf0.001", scratch_path(corpus, "by-hand")
+    df = corpus.read.parquet(f"{sf}/documents.parquet")
+    for name, step in corpus_pipeline.STAGES:
+        step(corpus, df, sf).write.parquet(f"{folder}/{name}")
+        df = corpus.read.parquet(f"{folder}/{name}")
+    cut = lambda rows: sorted((x["doc_id"], x["start"], x["length"], x["ids_crc32"], x["doc_tokens"]) for x in rows)
     rows = corpus_pipeline.run(corpus, sf).collect()
-    assert rows and {r["length"] for r in rows} <= set(range(1, 1025))
+    assert rows and cut(rows) == cut(df.collect())
+    sequences = {}
+    for x in rows:
+        sequences.setdefault(x["sequence_id"], []).append((x["offset"], x["length"]))
+    for pieces in sequences.values():
+        ends = [0]
+        for offset, length in sorted(pieces):
+            assert offset == ends[-1] and length > 0
+            ends.append(offset + length)
+        assert ends[-1] <= 1024
 
 
 def test_repeated_rows_leave_one(corpus):
