@@ -34,6 +34,7 @@ _TOKEN = re.compile(
     |\[\s*\?\s*\(""",
     re.VERBOSE,
 )
+_HEAD = re.compile(rf"""^\$(?P<head>(?:\.{_NAME}|\['[^'.]+'\]|\["[^".]+"\]|\[\d+\])+)""")
 _TERM = re.compile(
     rf"""^\s*@(?P<path>(?:\.{_NAME}|\['[^']+'\]|\["[^"]+"\]|\[\d+\])+)
     \s*(?:(?P<op>==|!=|<=|>=|<|>)\s*(?P<literal>'[^']*'|"[^"]*"|-?\d+(?:\.\d+)?|true|false|null))?\s*$""",
@@ -187,35 +188,40 @@ def _filter(alternatives: list[list[Term]]) -> Step:
 
 
 def _below(depth: Column) -> Step:
-    """Every value and all inside it; ``depth`` is how deep values can be nested at most."""
-    front = "array<struct<place: array<int>, v: variant>>"
+    """Every value that holds others, and all such inside it: the step after ``..`` finds nothing in the rest.
+    ``depth`` is how deep values can be nested at most; levels below the deepest cost next to nothing."""
 
-    def descend(value: Column) -> Column:
-        first = F.array(F.struct(F.array().cast("array<int>").alias("place"), value.alias("v"))).cast(front)
+    def holder(value: Column) -> Column:
+        return F.struct(value.alias("v"), children(value).alias("inside"))
 
-        def further(state: Column, _: Column) -> Column:
-            reached = F.flatten(
-                F.transform(
-                    state["front"],
-                    lambda s: F.transform(
-                        children(s["v"]),
-                        lambda v, i: F.struct(F.concat(s["place"], F.array(i)).alias("place"), v.alias("v")),
-                    ),
-                )
-            ).cast(front)
-            return F.struct(F.concat(state["all"], reached).alias("all"), reached.alias("front"))
+    def is_open(s: Column) -> Column:
+        return F.size(s["inside"]) > 0
 
-        start = F.struct(first.alias("all"), first.alias("front"))
-        found = F.aggregate(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), start, further)["all"]
+    def open_up(s: Column) -> Column:
+        """A value and, behind it, the holders that were inside: the list stays in document order."""
+        own = F.struct(s["v"].alias("v"), F.array().cast("array<variant>").alias("inside"))
+        return F.concat(F.array(own), F.filter(F.transform(s["inside"], holder), is_open))
 
-        def order(a: Column, b: Column) -> Column:
-            return F.when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0)
+    def descend(value: Column) -> Column:
+        def further(found: Column, _: Column) -> Column:
+            return F.when(F.exists(found, is_open), F.flatten(F.transform(found, open_up))).otherwise(found)
 
-        return F.transform(F.array_sort(found, order), lambda s: s["v"])
+        levels = F.sequence(F.lit(1), F.greatest(depth, F.lit(1)))
+        start = F.filter(F.array(holder(value)), is_open)
+        return F.aggregate(levels, start, further, lambda found: F.transform(found, lambda s: s["v"]))
 
     return _all(descend)
 
 
+def split_head(path: str) -> tuple[str, str]:
+    """The steps by names and numbers that a path begins with, in one spelling, and a path for the rest: paths that
+    begin alike share what the first leads to."""
+    found = _HEAD.match(path)
+    if not found or found.end() == len(path):
+        return "$", path
+    return "$" + re.sub(rf"\.({_NAME})", r"['\1']", found["head"]), "$" + path[found.end() :]
+
+
 def compile_path(path: str) -> Callable[[Column, Column], Column]:
     """``(variant, depth) -> array of variants``; ``depth`` is only looked at by ``..``."""
     if not path.startswith("$") or len(path) < 2:
@@ -251,7 +257,7 @@ def compile_path(path: str) -> Callable[[Column, Column], Column]:
         raise ValueError(f"nothing after .. in JSON path {path!r}")
 
     def run(value: Column, depth: Column) -> Column:
-        values = F.array(value)
+        values = F.when(value.isNull(), F.array().cast("array<variant>")).otherwise(F.array(value))
         for step in steps:
             values = (step or _below(depth))(values)
         return values
@@ -262,7 +268,9 @@ def compile_path(path: str) -> Callable[[Column, Column], Column]:
 def depth_of(text: Column) -> Column:
     """A bound on how deep the values of a JSON text are nested: its opening brackets, but at most as many as
     the JSON parser itself lets a document nest."""
-    opening = F.length(text) - F.length(F.translate(text, "{[", ""))
+    opening = F.lit(0)
+    for bracket in "{[":
+        opening = opening + F.octet_length(text) - F.octet_length(F.replace(text, F.lit(bracket), F.lit("")))
     return F.least(opening, F.lit(MOST_NESTED))
 
 

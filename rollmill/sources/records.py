@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollmill.functions.jsonpath import DEFINITE, compile_path, depth_of
+from rollmill.functions.jsonpath import DEFINITE, compile_path, depth_of, split_head
 from rollmill.functions.timefmt import TimeFormat
 from rollmill.operators.chain import load_hook
 from rollmill.spec import ParseSpec
@@ -140,7 +140,8 @@ def list_text(values: Column) -> Column:
     def shown(value: Column) -> Column:
         kind = F.schema_of_variant(value)
         nested = kind.startswith("ARRAY") | kind.startswith("OBJECT")
-        text = F.when(nested, F.to_json(value)).otherwise(_as_text(value, kind))
+        whole = kind == "BIGINT"  # prints as JSON, too, which is the cheaper way
+        text = F.when(whole | nested, F.to_json(value)).otherwise(_as_text(value, kind))
         return F.coalesce(text, F.lit("null"))
 
     return F.concat(F.lit("["), F.array_join(F.transform(values, shown), ", "), F.lit("]"))
@@ -180,7 +181,9 @@ def json_parser(parse: ParseSpec, schema: T.StructType, reasons: bool = False) -
     value for any other type, so its record is bad.
     """
     paths = json_paths(parse, schema)
-    many = {n: compile_path(p) for n, p in paths.items() if not DEFINITE.match(p)}
+    split = {n: split_head(p) for n, p in paths.items() if not DEFINITE.match(p)}
+    many = {n: compile_path(rest) for n, (_, rest) in split.items()}
+    heads = {head: f"__head_{i}" for i, head in enumerate(dict.fromkeys(head for head, _ in split.values())) if head != "$"}
 
     def run(df: DataFrame) -> DataFrame:
         text = F.col(VALUE)
@@ -190,11 +193,12 @@ def json_parser(parse: ParseSpec, schema: T.StructType, reasons: bool = False) -
         depth = [depth_of(text).alias(_DEPTH)] if any(".." in paths[n] for n in many) else []
         docs = df.select(F.when(whole, F.try_parse_json(text)).alias(_DOC), *depth, *others)
         doc, deep = F.col(_DOC), F.col(_DEPTH) if depth else F.lit(1)
+        docs = docs.select("*", *(F.try_variant_get(doc, h, "variant").alias(c) for h, c in heads.items()))
         # each path is walked once; kind and typed value are read from what it leads to
         places = range(len(schema.fields))
         held = [
             (
-                F.when(doc.isNotNull(), list_text(many[n](doc, deep)))
+                F.when(doc.isNotNull(), list_text(many[n](F.col(heads.get(split[n][0], _DOC)), deep)))
                 if n in many
                 else F.try_variant_get(doc, paths[n], "variant")
             ).alias(f"__held_{i}")

@@ -1,0 +1,34 @@
+"""What parsing of JSON reads once, and that it finds the same."""
+
+from rollmill.functions.jsonpath import split_head
+from rollmill.sources.records import parse_records
+from rollmill.spec import Dimension, Metric, ParseSpec, TableSpec, input_schema
+
+PATHS = {"parts": "$.lines[*].part", "last": "$['lines'][-1].part", "deep": "$..part", "one": "$.lines[0]..part"}
+TABLE = TableSpec("t", tuple(Dimension(n) for n in PATHS), (Metric("n", "count"),))
+
+
+def test_heads_of_paths():
+    assert split_head("$.a[0]['b c'][*].d") == ("$['a'][0]['b c']", "$[*].d")
+    assert split_head("$.a..b") == ("$['a']", "$..b")
+    assert split_head("$..b") == ("$", "$..b")
+    assert split_head("$[0,1].b") == ("$", "$[0,1].b")
+
+
+def test_paths_that_begin_alike_share_the_beginning(spark):
+    docs = [
+        '{"part": 0, "lines": [{"part": 1, "in": [[{"part": 2}], {}, 7]}, {"part": 3.50}, {}]}',
+        '{"lines": null}',
+        '{"other": {"part": {"part": "x"}}}',
+        "{}",
+    ]
+    df = spark.createDataFrame([(d,) for d in docs], "value string")
+    rows = parse_records(df, ParseSpec("json", field_mapping=PATHS), input_schema([TABLE]))
+    assert [tuple(r) for r in rows.select(*PATHS).collect()] == [
+        ("[1, 3.5]", "[]", "[0, 1, 2, 3.5]", "[1, 2]"),
+        ("[]", "[]", "[]", "[]"),
+        ("[]", "[]", '[{"part":"x"}, x]', "[]"),
+        ("[]", "[]", "[]", "[]"),
+    ]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("$['lines'], VariantType") == 1
