@@ -5,24 +5,28 @@ A ``bitset`` metric keeps its ids in the row key. Counting them per coarser key
 several micro-batches, days or kinds are merged bit by bit, so a count over a coarser key moves at most
 one bitmap per task, key and range, however many rows and ids there are.
 
-Rows of bitmaps have the table's dimensions, ``metric``, ``bucket`` (the range of ids) and ``bits``. They
+Rows of bitmaps have the table's dimensions, ``metric``, ``bucket`` (the range of ids), ``bits`` and ``words``.
+A range with many ids has the whole bitmap as ``bits``; one with ids in less than half of its words of 64
+bits has those words in ``words`` only, so ids scattered over many ranges cost a word each, not 4 KB. Rows
 can be stored and merged again in any order and any number of times: merging the same rows twice changes
-nothing, unlike counts. Null ids are in none. Bits cost 4 KB for a range with a single id; tables whose ids
-are scattered over far more ranges than they have ids do better with the plain count of ``finalise``.
+nothing, unlike counts. Null ids are in none.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollmill.operators.chain import Processor
 from rollmill.operators.rollup import aggregate_column
 from rollmill.spec import TableSpec
 
-METRIC, BUCKET, BITS = "metric", "bucket", "bits"
+METRIC, BUCKET, BITS, WORDS = "metric", "bucket", "bits", "words"
+# A range has 512 words of 64 bits; from so many on that hold an id, it is kept as one bitmap.
+RANGE_WORDS, DENSE = 512, 256
+_PLACE, _WORD = "__place", "__word"
 
 
 def _quoted(names: Sequence[str]) -> list:
@@ -30,7 +34,7 @@ def _quoted(names: Sequence[str]) -> list:
 
 
 def _check(table: TableSpec) -> None:
-    clash = sorted({METRIC, BUCKET, BITS} & {d.name for d in table.dimensions})
+    clash = sorted({METRIC, BUCKET, BITS, WORDS} & {d.name for d in table.dimensions})
     if clash:
         raise ValueError(f"table {table.name}: dimensions named as columns of bitmaps: {', '.join(clash)}")
 
@@ -45,25 +49,68 @@ def bitmaps(table: TableSpec, by: Sequence[str] | None = None) -> Processor:
 
     def run(df: DataFrame) -> DataFrame:
         found = df.select(*_quoted(groups), F.explode(F.array(*ids)).alias("__id")).where("__id.id IS NOT NULL")
-        keys = F.col(f"__id.{METRIC}").alias(METRIC), F.bitmap_bucket_number("__id.id").alias(BUCKET)
-        return found.groupBy(*_quoted(groups), *keys).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("__id.id")).alias(BITS)
+        position = F.bitmap_bit_position("__id.id")
+        # bit of a position as in the bytes of a bitmap: the first byte is the highest of its word
+        shift = (F.lit(56) - position % 64 + position % 8 * 2).cast("int")
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), shift)
+        words = found.select(
+            *_quoted(groups),
+            F.col(f"__id.{METRIC}").alias(METRIC),
+            F.bitmap_bucket_number("__id.id").alias(BUCKET),
+            F.floor(position / 64).cast("smallint").alias(_PLACE),
+            bit.alias(_WORD),
         )
+        return _packed(words, groups)
 
     return run
 
 
+def _packed(words: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Words, any number of a place, to one row per key, metric and range."""
+    keys = [*_quoted(by), METRIC, BUCKET]
+    once = words.groupBy(*keys, _PLACE).agg(F.bit_or(_WORD).alias(_WORD))
+    held = F.sort_array(F.collect_list(F.struct(F.col(_PLACE).alias("place"), F.col(_WORD).alias("word"))))
+    found = once.groupBy(*keys).agg(held.alias(WORDS))
+    full = F.map_from_entries(WORDS)
+    places = F.sequence(F.lit(0), F.lit(RANGE_WORDS - 1))
+    text = F.transform(places, lambda p: F.lpad(F.hex(F.coalesce(F.try_element_at(full, p.cast("smallint")), F.lit(0))), 16, "0"))
+    dense = F.size(WORDS) >= DENSE
+    bits = F.when(dense, F.unhex(F.array_join(text, ""))).alias(BITS)
+    return found.select(*keys, bits, F.when(~dense, F.col(WORDS)).alias(WORDS))
+
+
+def _words(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Words of bitmaps: whole ones are merged first, the others give their words as they are."""
+    keys = [*_quoted(by), METRIC, BUCKET]
+    whole = df.where(F.col(BITS).isNotNull()).groupBy(*keys).agg(F.bitmap_or_agg(BITS).alias(BITS))
+    places = F.sequence(F.lit(0), F.lit(RANGE_WORDS - 1))
+
+    def word(p: Column) -> Column:
+        return F.conv(F.hex(F.substring(F.col(BITS), p * 8 + 1, F.lit(8))), 16, -10).cast("bigint")
+
+    cut = F.explode(F.transform(places, lambda p: F.struct(p.cast("smallint").alias("place"), word(p).alias("word"))))
+    few = df.where(F.col(BITS).isNull()).select(*keys, F.explode(WORDS).alias("w"))
+    both = whole.select(*keys, cut.alias("w")).where("w.word <> 0").union(few)
+    return both.select(*keys, F.col("w.place").alias(_PLACE), F.col("w.word").alias(_WORD))
+
+
 def merge_bitmaps(by: Sequence[str]) -> Processor:
     """Bitmaps of several makings, or of finer keys, to one per key of ``by``, metric and range."""
-    return lambda df: df.groupBy(*_quoted(by), METRIC, BUCKET).agg(F.bitmap_or_agg(BITS).alias(BITS))
+    return lambda df: _packed(_words(df, by), by)
+
+
+def size_of(bits: str = BITS, words: str = WORDS) -> Column:
+    """Ids in a bitmap, whole or as words."""
+    few = F.aggregate(words, F.lit(0).cast("bigint"), lambda n, w: n + F.bit_count(w["word"]))
+    return F.coalesce(F.bitmap_count(bits), few)
 
 
 def count_ids(by: Sequence[str]) -> Processor:
     """Distinct ids per key of ``by`` and metric, from bitmaps."""
 
     def run(df: DataFrame) -> DataFrame:
-        merged = df.transform(merge_bitmaps(by))
-        return merged.groupBy(*_quoted(by), METRIC).agg(F.sum(F.bitmap_count(BITS)).alias("ids"))
+        words = _words(df, by).groupBy(*_quoted(by), METRIC, BUCKET, _PLACE).agg(F.bit_or(_WORD).alias(_WORD))
+        return words.groupBy(*_quoted(by), METRIC).agg(F.sum(F.bit_count(_WORD).cast("bigint")).alias("ids"))
 
     return run
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rollmill.operators.bitmaps import bitmaps, count_ids, finalise_bitmaps, merge_bitmaps, report
+from rollmill.operators.bitmaps import bitmaps, count_ids, finalise_bitmaps, merge_bitmaps, report, size_of
 from rollmill.operators.rollup import finalise, rollup
 from rollmill.spec import Dimension, Metric, TableSpec
 
@@ -69,3 +69,26 @@ def test_empty_and_unusable_tables(spark):
         bitmaps(TableSpec("x", (Dimension("a"),), ()))
     with pytest.raises(ValueError, match="bucket"):
         bitmaps(TableSpec("x", (Dimension("bucket"),), (Metric("u", "bitset"),)))
+
+
+def test_ranges_with_few_ids_cost_words_and_mix_with_full_ones(spark):
+    """Scattered ids do not take a bitmap of 4 KB each; a range is full in one batch and not in the other."""
+    scattered = spark.range(0, 3000).select(F.lit("s").alias("a"), ((F.col("id") - 1500) * 9_973).alias("u"))
+    full = spark.range(1, 32_769).select(F.lit("f").alias("a"), F.col("id").alias("u"))
+    some = spark.range(-70_000, 70_000, 997).select(F.lit("f").alias("a"), F.col("id").alias("u"))
+    table = TableSpec("t", (Dimension("a"),), (Metric("u", "bitset", max=2**40),))
+    batches = [b.transform(rollup(table)) for b in (scattered, full.where("u % 3 > 0"), full.where("u % 3 = 0"), some)]
+    maps = None
+    for batch in batches:
+        made = batch.transform(bitmaps(table))
+        maps = made if maps is None else maps.unionByName(made)
+    assert maps.where("a = 's' AND bits IS NOT NULL").isEmpty() and maps.where("bits IS NOT NULL").count() == 2
+    merged = maps.transform(merge_bitmaps(["a"]))
+    got = merged.select("a", "bucket", size_of().alias("n"))
+    ids = scattered.union(full).union(some)
+    want = ids.groupBy("a", F.bitmap_bucket_number("u").alias("bucket")).agg(F.count_distinct("u").alias("n"))
+    assert rows_of(got) == rows_of(want)
+    # a whole bitmap holds the bits that Spark's own function sets
+    own = full.union(some).where("u BETWEEN 1 AND 32768").agg(F.bitmap_construct_agg(F.bitmap_bit_position("u")))
+    assert merged.where("a = 'f' AND bucket = 1").select("bits").first()[0] == own.first()[0]
+    assert rows_of(merged.transform(count_ids(["a"]))) == rows_of(ids.groupBy("a", F.lit("u")).agg(F.count_distinct("u")))

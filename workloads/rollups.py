@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollmill.operators.bitmaps import bitmaps, merge_bitmaps, report
+from rollmill.operators.bitmaps import bitmaps, merge_bitmaps, report, size_of
 from rollmill.operators.chain import chain
 from rollmill.operators.rollup import finalise, keep_between, rerollup, rollup
 from rollmill.session import scratch_path
@@ -164,7 +164,7 @@ def bitset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     rolled = load(spark, sf_dir, "events").transform(wide_ids).transform(rollup(USERS))
     merged = rolled.transform(bitmaps(USERS)).transform(merge_bitmaps(["ts"]))
     merged = merged.withColumn("ts", F.col("ts").cast("timestamp"))
-    return shown(merged.select("ts", "metric", "bucket", F.bitmap_count("bits").alias("ids")))
+    return shown(merged.select("ts", "metric", "bucket", size_of().alias("ids")))
 
 
 def bitset_distinct_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
