@@ -8,14 +8,18 @@
 3. Candidates share a band. Each bucket compares its members with one of them, its hub, which is
    picked by a hash and differs from bucket to bucket: one pair a row, not all pairs of the bucket.
    Signatures give an estimate of the similarity, corrected for chance agreement of four bits, by
-   counting bits; pairs six standard errors under the threshold go, the rest are confirmed on full sets.
+   counting bits; pairs six standard errors under the threshold or too unlike in size go, the rest are
+   confirmed on full sets.
 4. Links are contracted to components (alternating large and small stars). Buckets that then still
    hold several components besides the hub compare all members outside the largest component with
    all members, in blocks of bounded size inside a task, by signatures of 2048 minima that only these
-   documents get; only pairs less than five standard errors under the threshold leave it, each once.
-   Sizes of the sets (exactly) and the short signatures go first, so few pairs come to the long ones.
-   After this every pair that shares a band has been compared or is connected already. The work in a
-   bucket is still quadratic in the documents that share it without being alike or connected.
+   documents get. Sizes of the sets (exactly) and the short signatures go first, so few pairs come to the
+   long ones. No pair leaves the task: documents with a partner less than five standard errors under the
+   threshold do, one row each, and meet once more with their full sets, where links are confirmed and
+   only those go out that join components not joined in that task yet, fewer than it has documents.
+   After this every pair that shares a band has been compared or is connected already. Rows grow with the
+   documents; the comparisons in a bucket are still quadratic in those that share it without being alike
+   or connected.
 
 Results: null and empty texts, and texts without words, have an empty set and are linked with
 nothing; rows sharing a doc_id count as one document with several texts; a row without doc_id is
@@ -41,6 +45,8 @@ PER_LONG = 64 // BITS
 # Rows of a bucket compared with each other in one task.
 BLOCK = 4096
 ONES = 0x1111111111111111
+# Shingles of either side of a comparison of full sets in one task, plus at most one document's.
+SHINGLES = 2_000_000
 # Minima of the signatures that tell apart what shares a bucket and is not connected.
 LONG = 2048
 
@@ -230,13 +236,67 @@ def long_signatures(sets: DataFrame, how: MinHash) -> DataFrame:
     return sets.mapInArrow(run, "node long, long binary")
 
 
-def leftover_pairs(
-    members: DataFrame, hubs: DataFrame, tested: DataFrame, sets: DataFrame, reps: DataFrame, how: MinHash
-) -> DataFrame:
-    """Pairs of different components within a bucket, none of them the hub, that pass the estimate
-    from long signatures. A pair comes once, from the first band that it shares: there it is either
-    compared or was compared as hub and member. ``tested`` pairs have been confirmed or not before."""
-    spark = members.sparkSession
+MEETS = ("bucket", "i", "j", "k", "l")
+MEETING = "bucket long, i int, j int, k int, l int, minor boolean, node long, comp long"
+
+
+def meeting(bucket: int, i: int, j: int, minor: dict, others: dict, room: int) -> pa.RecordBatch:
+    """Rows that bring the documents of a block together again (node to component and set size), in
+    parts ``k`` of the one side and ``l`` of the other that hold ``room`` shingles and one document's."""
+    sides = []
+    for side in (minor, others):
+        ends = np.cumsum([z for _, z in side.values()]) // room
+        sides.append(np.unique(ends, return_inverse=True)[1].tolist())
+    parts = [max(s) + 1 for s in sides]
+    rows = [(p, q, True, n, c) for (n, (c, _)), p in zip(minor.items(), sides[0]) for q in range(parts[1])]
+    rows += [(p, q, False, n, c) for (n, (c, _)), q in zip(others.items(), sides[1]) for p in range(parts[0])]
+    k, l, of, node, comp = zip(*rows)
+    place = [pa.array([bucket] * len(rows), pa.int64()), *(pa.array([x] * len(rows), pa.int32()) for x in (i, j))]
+    place += [pa.array(k, pa.int32()), pa.array(l, pa.int32()), pa.array(of, pa.bool_())]
+    return pa.RecordBatch.from_arrays(
+        [*place, pa.array(node, pa.int64()), pa.array(comp, pa.int64())], names=[*MEETS, "minor", "node", "comp"]
+    )
+
+
+def linked(rows: list[tuple[bool, int, int, bytes]], how: MinHash) -> pa.RecordBatch:
+    """Links between components that the full sets of (minor, node, component, set) confirm, minor
+    documents against the others; links that join what others join already are left out."""
+    minor, every = [r for r in rows if r[0]], [r for r in rows if not r[0]]
+    a, b, up = [], [], {}
+
+    def top(c: int) -> int:
+        while c in up:
+            c = up[c]
+        return c
+
+    if minor and every:
+        sizes = np.array([len(r[3]) // 8 for r in every])
+        comp = np.array([r[2] for r in every])
+        starts = np.cumsum(sizes) - sizes
+        known, at = np.unique(np.frombuffer(b"".join(r[3] for r in every), dtype=np.uint64), return_inverse=True)
+        for _, node, own_comp, own in minor:
+            own = np.frombuffer(own, dtype=np.uint64)
+            marked = np.zeros(len(known), dtype=np.int32)
+            place = np.searchsorted(known, own)
+            place[place == len(known)] = 0
+            marked[place[known[place] == own]] = 1
+            both = np.add.reduceat(marked[at], starts)
+            hold = (100 * both >= how.percent * (len(own) + sizes - both)) & (comp != own_comp)
+            for x in np.flatnonzero(hold).tolist():
+                one, other = top(own_comp), top(every[x][2])
+                if one != other:
+                    up[max(one, other)] = min(one, other)
+                    a.append(max(node, every[x][1]))
+                    b.append(min(node, every[x][1]))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def candidates(members: DataFrame, hubs: DataFrame, sets: DataFrame, reps: DataFrame, how: MinHash) -> DataFrame:
+    """Documents, other than the hub, with a partner of another component in their bucket by the estimate
+    from long signatures: once for each block and part of a bucket in which they and partners meet. A
+    pair counts in the first band that it shares: there it is either compared or was compared as hub
+    and member."""
+    spark, room = members.sparkSession, SHINGLES
     most, most_short = misses_allowed(how.percent, LONG, 5), misses_allowed(how.percent, how.size, 6)
     rest = members.join(hubs, ["bucket", "node"], "left_anti")
     sizes = rest.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
@@ -277,7 +337,8 @@ def leftover_pairs(
             size = np.array([r["n_shingles"] for r in every])
             comp = np.array([r["comp"] for r in every])
             node = np.array([r["node"] for r in every])
-            out_a, out_b = [], []
+            near = np.zeros(len(every), dtype=bool)
+            found = {}
             for r in minor:
                 low, high = np.minimum(size, r["n_shingles"]), np.maximum(size, r["n_shingles"])
                 hit = np.flatnonzero((comp != r["comp"]) & (100 * low >= how.percent * high))
@@ -286,10 +347,12 @@ def leftover_pairs(
                 hit = hit[differing(longs[hit], np.frombuffer(r["long"], dtype=np.uint64)) <= most]
                 own = np.array(r["bands"], dtype=np.int64)
                 hit = hit[own[(bands[hit] == own).argmax(axis=1)] == key[0]]
-                out_a += [r["node"]] * len(hit)
-                out_b += node[hit].tolist()
-            if out_a:
-                yield pa.RecordBatch.from_pydict({"a": out_a, "b": out_b})
+                near[hit] = True
+                if len(hit):
+                    found[r["node"]] = (r["comp"], r["n_shingles"])
+            if found:
+                others = {n: (c, z) for n, c, z in zip(node[near].tolist(), comp[near].tolist(), size[near].tolist())}
+                yield meeting(*key, found, others, room)
 
         key, held = None, []
         for batch in batches:
@@ -301,13 +364,35 @@ def leftover_pairs(
                 held.append(row)
         yield from flush(key, held)
 
-    pairs = (
-        spread_rows.repartition("bucket", "i", "j")
-        .sortWithinPartitions("bucket", "i", "j")
-        .mapInArrow(compare, "a long, b long")
+    return spread_rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(compare, MEETING)
+
+
+def leftover_pairs(
+    members: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame, reps: DataFrame, how: MinHash
+) -> DataFrame:
+    """Links between components within a bucket, confirmed on full sets. A task leaves out those that
+    join what its other links have joined."""
+    spark = members.sparkSession
+    rows = stage(candidates(labelled(members, roots), hubs, sets, reps, how), scratch_path(spark, "near-meet"))
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            keys = zip(*(batch.column(k).to_pylist() for k in MEETS))
+            rows = zip(*(batch.column(k).to_pylist() for k in ("minor", "node", "comp", "shingles")))
+            for own, row in zip(keys, rows):
+                if own != key:
+                    yield linked(held, how)
+                    key, held = own, []
+                held.append(row)
+        yield linked(held, how)
+
+    return (
+        rows.join(sets, "node")
+        .repartition(*MEETS)
+        .sortWithinPartitions(*MEETS)
+        .mapInArrow(links, "a long, b long")
     )
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.join(tested, ["a", "b"], "left_anti")
 
 
 def same_ids(known: DataFrame, repeats: DataFrame, classes: DataFrame) -> DataFrame:
@@ -345,8 +430,12 @@ def near_duplicates(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
     met = staged(met, "members")
     members = met.select("bucket", "node")
     star = met.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    x, y = (reps.select(F.col("node").alias(n), F.col("sig").alias(f"sig_{n}")) for n in "ab")
+    x, y = (
+        reps.select(F.col("node").alias(n), F.col("sig").alias(f"sig_{n}"), F.col("n_shingles").alias(f"size_{n}"))
+        for n in "ab"
+    )
     alike = misses("sig_a", "sig_b", how.size // PER_LONG) <= misses_allowed(how.percent, how.size, 6)
+    alike = alike & (100 * F.least("size_a", "size_b") >= how.percent * F.greatest("size_a", "size_b"))
     pairs = staged(star.join(x, "a").join(y, "b").where(alike).select("a", "b"), "pairs")
 
     # Full sets only of documents that some candidate needs, and of repeated rows once.
@@ -361,10 +450,8 @@ def near_duplicates(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
     links = staged(links.union(same_ids(known, repeats, classes)) if repeated else links, "links")
     roots = components(links, "near-stars")
 
-    rows = labelled(members, roots)
-    rest = staged(leftover_pairs(rows, hubs, pairs, sets, reps, how), "rest")
     # What these links join are whole components, by their roots.
-    more = confirm(rest, sets, how)
+    more = leftover_pairs(members, hubs, roots, sets, reps, how)
     for end in ("a", "b"):
         to = roots.select(F.col("node").alias(end), "root")
         more = more.join(to, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")

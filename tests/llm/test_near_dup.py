@@ -84,6 +84,33 @@ def test_leftovers_find_what_hubs_miss(corpus, monkeypatch):
 real_leftover = near_dup.leftover_pairs
 
 
+@pytest.mark.parametrize("shingles", [None, 300])
+def test_a_bucket_does_not_emit_its_pairs(corpus, monkeypatch, shingles):
+    """Documents that are all alike, without a link from the hubs: rows grow with them, not with their pairs.
+    Tasks with room for two documents find the same, by more links."""
+    r = random.Random(3)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(i, " ".join(w if k != at else f"own{i}" for k, w in enumerate(base))) for i, at in enumerate(r.choices(range(120), k=200))]
+    real = near_dup.confirm
+    calls, made = [], []
+
+    def first_finds_nothing(pairs, sets, how):
+        calls.append(pairs)
+        return real(pairs, sets, how).where(F.lit(len(calls) > 1))
+
+    def counted(m, h, t, *rest):
+        out = real_leftover(m, h.limit(0), t.limit(0), *rest).cache()
+        made.append(out.count())
+        return out
+
+    if shingles:
+        monkeypatch.setattr(near_dup, "SHINGLES", shingles)
+    monkeypatch.setattr(near_dup, "confirm", first_finds_nothing)
+    monkeypatch.setattr(near_dup, "leftover_pairs", counted)
+    assert found(near_duplicates(corpus.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert shingles or made[0] < len(rows) * MinHash().bands
+
+
 def test_components_of_a_path(corpus):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (102, 101)]
     roots = {r["node"]: r["root"] for r in components(corpus.createDataFrame(edges, "a long, b long")).collect()}
