@@ -31,8 +31,13 @@ VALUE = "value"
 _DOC = "__doc"
 _DEPTH = "__depth"
 _CELLS = "__cells"
+_TOP = "__top"
 _KEPT = "__kept"
 
+_TOP_KEY = re.compile(r"""^\$(?:\.([A-Za-z_][\w\-]*)|\['([^']+)'\]|\["([^"]+)"\])$""")
+# Keys of a document from which one pass over all its keys beats a search for each.
+STRUCT_FROM = 3
+
 RecordParser = Callable[[DataFrame], DataFrame]
 
 _REGEX_META = set(".$|()[{^?*+\\")
@@ -174,8 +179,20 @@ def _list_field(text: Column, field: T.StructField) -> Column:
     return text if isinstance(field.dataType, T.StringType) else F.lit(None).cast(field.dataType)
 
 
+def top_keys(paths: dict[str, str]) -> dict[str, str]:
+    """Path to key, for paths that are one key of the document: those read as one struct, whose names must
+    differ by more than case. One or two are as quickly looked up."""
+    keys: dict[str, str] = {}
+    for path in dict.fromkeys(paths.values()):
+        found = _TOP_KEY.match(path)
+        key = found and next(filter(None, found.groups()))
+        if key and key.upper().lower() not in (k.upper().lower() for k in keys.values()):
+            keys[path] = key
+    return keys if len(keys) >= STRUCT_FROM else {}
+
+
 def json_parser(parse: ParseSpec, schema: T.StructType, reasons: bool = False) -> RecordParser:
-    """One variant parse per document, then one typed read per field.
+    """One variant parse per document, one pass over its keys, then one typed read per field.
 
     A path that may lead to several values gives a list of them: text for a field of type string, and no
     value for any other type, so its record is bad.
@@ -183,6 +200,8 @@ def json_parser(parse: ParseSpec, schema: T.StructType, reasons: bool = False) -
     paths = json_paths(parse, schema)
     split = {n: split_head(p) for n, p in paths.items() if not DEFINITE.match(p)}
     many = {n: compile_path(rest) for n, (_, rest) in split.items()}
+    tops = top_keys({n: p for n, p in paths.items() if n not in many})
+    in_top = ", ".join(f"`{k.replace('`', '``')}`: variant" for k in tops.values())
     heads = {head: f"__head_{i}" for i, head in enumerate(dict.fromkeys(head for head, _ in split.values())) if head != "$"}
 
     def run(df: DataFrame) -> DataFrame:
@@ -193,13 +212,16 @@ def json_parser(parse: ParseSpec, schema: T.StructType, reasons: bool = False) -
         depth = [depth_of(text).alias(_DEPTH)] if any(".." in paths[n] for n in many) else []
         docs = df.select(F.when(whole, F.try_parse_json(text)).alias(_DOC), *depth, *others)
         doc, deep = F.col(_DOC), F.col(_DEPTH) if depth else F.lit(1)
-        docs = docs.select("*", *(F.try_variant_get(doc, h, "variant").alias(c) for h, c in heads.items()))
+        top = [F.try_variant_get(doc, "$", f"struct<{in_top}>").alias(_TOP)] if tops else []
+        docs = docs.select("*", *top, *(F.try_variant_get(doc, h, "variant").alias(c) for h, c in heads.items()))
         # each path is walked once; kind and typed value are read from what it leads to
         places = range(len(schema.fields))
         held = [
             (
                 F.when(doc.isNotNull(), list_text(many[n](F.col(heads.get(split[n][0], _DOC)), deep)))
                 if n in many
+                else F.col(_TOP).getField(tops[paths[n]])
+                if paths[n] in tops
                 else F.try_variant_get(doc, paths[n], "variant")
             ).alias(f"__held_{i}")
             for i, n in enumerate(schema.names)

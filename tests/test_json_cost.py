@@ -1,5 +1,7 @@
 """What parsing of JSON reads once, and that it finds the same."""
 
+from pyspark.sql import functions as F
+
 from rollmill.functions.jsonpath import split_head
 from rollmill.sources.records import parse_records
 from rollmill.spec import Dimension, Metric, ParseSpec, TableSpec, input_schema
@@ -32,3 +34,26 @@ def test_paths_that_begin_alike_share_the_beginning(spark):
     ]
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("$['lines'], VariantType") == 1
+
+
+KEYS = {"a": "$.id", "b": "$['ID']", "c": "$[\"it's `x`.y\"]", "d": "$['n-1']", "e": "$.id", "f": "$.in.id", "g": "$.when"}
+
+
+def test_keys_of_a_document_are_read_in_one_pass(spark):
+    kinds = {"d": "double", "e": "int", "g": "time"}
+    table = TableSpec("k", tuple(Dimension(n, type=kinds.get(n, "string")) for n in KEYS), (Metric("n", "count"),))
+    docs = [
+        '{"id": 1, "ID": "2", "it\'s `x`.y": [1], "n-1": 2.5, "in": {"id": 7}, "when": 1000, "more": {"id": 9}}',
+        '{"id": 1, "id": 3, "n-1": "4", "when": "1970-01-01T00:00:01+00:00", "in": null}',
+        '{"ID": null, "id": "5", "it\'s `x`.y": {"id": 0}, "n-1": 1e3, "when": 1000}',
+    ]
+    df = spark.createDataFrame([(d,) for d in docs], "value string")
+    rows = parse_records(df, ParseSpec("json", field_mapping=KEYS), input_schema([table]))
+    assert [tuple(r) for r in rows.select("a", "b", "c", "d", "e", "f", F.unix_millis("g")).collect()] == [
+        ("1", "2", "[1]", 2.5, 1, "7", 1000),
+        ("3", "", "", 4.0, 3, "", 1000),
+        ("5", "", '{"id":0}', 1000.0, 5, "", 1000),
+    ]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # one pass, and a search for the key that differs by case only and for the nested one
+    assert plan.count("$, StructField(") == 1 and plan.count(", VariantType, false") == 2
